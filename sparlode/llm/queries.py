@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table, ship
 from .exact_dedup import exact_dedup
+from .setsketch import near_dedup
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,8 +27,17 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingles reach a Jaccard similarity of 0.75."""
+    ship(spark)
+    return near_dedup(spark, read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup}
+    return {
+        "op1_exact_dedup": op1_exact_dedup,
+        "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
