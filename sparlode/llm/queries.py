@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read_table, ship
+from .common import read_table, ship, tokenizer_file
 from .exact_dedup import exact_dedup
+from .packing import pack
 from .setsketch import near_dedup
 
 
@@ -33,10 +34,17 @@ def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as power-of-two pieces of at most 2048 tokens."""
+    ship(spark)
+    return pack(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+        "op7_packing": op7_packing,
     }
 
 
