@@ -103,3 +103,10 @@ def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def splitting_pattern() -> str:
+    """The pattern that goes with the rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN

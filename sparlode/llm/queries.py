@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read_table, ship, tokenizer_file
+from .bpe_codec import encode_decode
+from .common import read_table, ship, splitting_pattern, tokenizer_file
 from .exact_dedup import exact_dedup
 from .packing import pack
 from .setsketch import near_dedup
@@ -40,11 +41,18 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by byte-level BPE ranks and decoded again."""
+    ship(spark)
+    return encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), splitting_pattern())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
         "op7_packing": op7_packing,
+        "op9_bpe_round_trip": op9_bpe_round_trip,
     }
 
 
