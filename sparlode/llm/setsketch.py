@@ -27,8 +27,8 @@ from .shingles import shingles, word_hashes
 
 BASE, RATE, TOP = 1.001, 20.0, 65534
 REGISTERS, BAND = 128, 4
-#: A pair whose estimate lies more than this below the threshold isn't verified: over six standard errors of 128 registers.
-SLACK = 0.25
+#: A pair whose estimate lies more than this below the threshold isn't verified: 4.5 standard errors of 128 registers.
+SLACK = 0.17
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64)
@@ -102,19 +102,26 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
         yield pa.record_batch([batch.column(0), batch.column(2), pa.array(found, pa.binary())], names=["id", "registers", "elements"])
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if len(x) > len(y):
+        x, y = y, x
+    if not len(x) or 100 * len(x) < percent * len(y):
+        return False
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b, ea, eb, ra, rb = (batch.column(k) for k in ("a", "b", "elements_a", "elements_b", "registers_a", "registers_b"))
-        keep = []
-        for i in range(batch.num_rows):
-            x, y = (np.frombuffer(e[i].as_buffer(), dtype=np.uint64) for e in (ea, eb))
-            rx, ry = (np.frombuffer(r[i].as_buffer(), dtype="<u2")[None, :] for r in (ra, rb))
-            if joint_estimate(rx, ry, np.array([len(x)]), np.array([len(y)]))[0] < percent / 100 - SLACK:
-                keep.append(False)
-                continue
-            both = len(x) + len(y) - len(np.union1d(x, y))
-            keep.append(100 * both >= percent * (len(x) + len(y) - both))
-        mask = pa.array(keep, pa.bool_())
+        if not batch.num_rows:
+            continue
+        rx, ry = (np.frombuffer(b"".join(r.to_pylist()), dtype="<u2").reshape(-1, REGISTERS) for r in (ra, rb))
+        sets = [[np.frombuffer(e.as_buffer(), dtype=np.uint64) for e in column] for column in (ea, eb)]
+        likely = joint_estimate(rx, ry, *(np.array([len(x) for x in column]) for column in sets)) >= percent / 100 - SLACK
+        mask = pa.array([bool(l) and _linked(x, y, percent) for l, x, y in zip(likely, *sets)], pa.bool_())
         yield pa.record_batch([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
 
@@ -126,43 +133,69 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(lambda it: _verified(it, percent), "a long, b long")
 
 
-def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Cross-component pairs of one block that the sketches don't rule out."""
-    table = pa.Table.from_batches(list(batches))
-    ids = table["id"].to_numpy()
-    comp, size, query = table["component"].to_numpy(), table["n"].to_numpy(), table["query"].to_numpy(zero_copy_only=False)
-    regs = np.frombuffer(b"".join(table["registers"].to_pylist()), dtype="<u2").reshape(len(ids), REGISTERS)
-    targets = np.flatnonzero(~query)
-    out_a, out_b = [], []
+def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
+    """Links between the queries and the targets of one block that join components.
+
+    A query meets the targets it shares a band with, likeliest first, and is verified on the
+    full sets. A target whose component is joined already needs no more links.
+    """
+    ids, comp, query = table["id"].to_numpy(), table["component"].to_numpy(), table["query"].to_numpy()
+    regs = np.frombuffer(b"".join(table["registers"].to_pylist()), dtype="<u2").reshape(-1, REGISTERS)
+    bands_of = np.ascontiguousarray(regs).view("<u8")  # a band is four registers of two bytes
+    sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for c in table["elements"].chunks for x in c]
+    size = np.array([len(x) for x in sets])
+    root = {c: c for c in np.unique(comp).tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    targets, found = np.flatnonzero(~query), ([], [])
     for q in np.flatnonzero(query):
-        lo, hi = np.minimum(size[targets], size[q]), np.maximum(size[targets], size[q])
-        near = targets[(comp[targets] != comp[q]) & (100 * lo >= percent * hi)]
-        if len(near):
-            likely = joint_estimate(regs[near], np.broadcast_to(regs[q], (len(near), REGISTERS)), size[near], np.full(len(near), size[q]))
-            for t in near[likely >= percent / 100 - SLACK]:
-                out_a.append(min(ids[q], ids[t]))
-                out_b.append(max(ids[q], ids[t]))
-    yield pa.record_batch([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
-
-
-def residual_pairs(member: DataFrame, classes: DataFrame, component: DataFrame, percent: int, block: int = 2048) -> DataFrame:
-    """Pairs that share a band but not yet a component.
-
-    In each band bucket, the rows outside its largest component are queries against all its
-    rows, in blocks: a bucket costs its size times the number of blocks of such queries, and
-    no task holds more than a block of either. Buckets within one component need nothing.
+        low, high = np.minimum(size[targets], size[q]), np.maximum(size[targets], size[q])
+        near = targets[(comp[targets] != comp[q]) & (100 * low >= percent * high)]
+        near = near[(bands_of[near] == bands_of[q]).any(axis=1)]
+        if not len(near):
+            continue
+        likely = joint_estimate(regs[near], np.broadcast_to(regs[q], (len(near), REGISTERS)), size[near], np.full(len(near), size[q]))
+        for k in np.argsort(-likely, kind="stable"):
+            if likely[k] < percent / 100 - SLACK:
+                break
+            t = near[k]
+            one, other = find(int(comp[q])), find(int(comp[t]))
+            if one != other and _linked(sets[q], sets[t], percent):
+                root[max(one, other)] = min(one, other)
+                found[0].append(int(ids[q]))
+                found[1].append(int(ids[t]))
+    return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+
+def residual_links(member: DataFrame, sets: DataFrame, component: DataFrame, percent: int, block: int = 1024) -> DataFrame:
+    """Links between rows that share a band but not yet a component, enough to join all that belong together.
+
+    Buckets within one component need nothing. Of any other bucket, the rows outside its
+    largest component are queries against all its rows. Buckets with the same largest
+    component are taken together, so a row is sent once for all its bands, in blocks of a
+    bounded number of targets and queries. Pairs are compared where they meet and only links
+    are returned, at most one for two components and block.
     """
     placed = member.join(component.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     by_comp = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
-    stats = by_comp.groupBy("key").agg(F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("c"), F.count("*").alias("parts")).where("parts > 1")
-    rows = placed.join(stats.select("key", F.col("main.component").alias("main"), F.col("c"), (F.col("c") - F.col("main.c")).alias("others")), "key")
-    rows = rows.withColumn("cuts", F.ceil(F.col("c") / block)).withColumn("sets", F.ceil(F.col("others") / (block // 4)))
-    spot = F.pmod(F.xxhash64("id"), F.col("cuts"))
-    own = F.pmod(F.xxhash64("id"), F.col("sets"))
-    targets = rows.select("key", spot.alias("cut"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("sets") - 1)).alias("set"), "id", "n", "component", F.lit(False).alias("query"))
-    queries = rows.where("component != main").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut"), own.alias("set"), "id", "n", "component", F.lit(True).alias("query"))
-    blocks = targets.unionByName(queries).join(classes.select("id", "registers"), "id")
-    return blocks.groupBy("key", "cut", "set").applyInArrow(lambda t: pa.Table.from_batches(list(_close(iter(t.to_batches()), percent)) if t.num_rows else []), "a long, b long").distinct()
+    mains = by_comp.groupBy("key").agg(F.max(F.struct("c", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("main.component").alias("main"))
+    rows = placed.join(mains, "key").select("main", "id", "component", (F.col("component") != F.col("main")).alias("query")).distinct()
+    size = rows.groupBy("main").agg(F.ceil(F.count("*") / block).alias("cuts"), F.ceil(F.count_if("query") / (block // 4)).alias("parts"))
+    rows = rows.join(size, "main")
+    cut, part = F.pmod(F.xxhash64("id"), F.col("cuts")), F.pmod(F.xxhash64("id"), F.col("parts"))
+
+    def each(n: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    targets = rows.select("main", cut.alias("cut"), each("parts").alias("part"), "id", "component", F.lit(False).alias("query"))
+    queries = rows.where("query").select("main", each("cuts").alias("cut"), part.alias("part"), "id", "component", "query")
+    blocks = targets.unionByName(queries).join(sets, "id")
+    return blocks.groupBy("main", "cut", "part").applyInArrow(lambda t: _links_in_block(t, percent), "a long, b long")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5) -> DataFrame:
@@ -190,7 +223,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
     star = member.where((F.col("id") != F.col("first.id")) & (100 * F.least("n", "first.n") >= percent * F.greatest("n", "first.n")))
     links = scratch.put(verify(star.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct(), sets, percent), "links")
     parts = scratch.put(connected_components(links, scratch, "cc1"), "parts")
-    more = scratch.put(verify(residual_pairs(member.select("key", "id", "n"), classes, parts, percent), sets, percent), "more")
+    more = scratch.put(residual_links(member.select("key", "id"), sets, parts, percent), "more")
     for name in ("members", "sets"):
         scratch.drop(name)
     if more.isEmpty():
