@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import language_id, toxicity
 from .bpe_codec import encode_decode
-from .common import read_table, ship, splitting_pattern, tokenizer_file
+from .common import crc_remainder, read_table, ship, splitting_pattern, tokenizer_file
 from .exact_dedup import exact_dedup
 from .packing import pack
 from .setsketch import near_dedup
@@ -47,12 +49,32 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), splitting_pattern())
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from the labels that aren't held out."""
+    ship(spark)
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    index = toxicity.fit(spark, docs, labels.where(crc_remainder("doc_id", 4) != 2))
+    found = toxicity.score(spark, docs, index)
+    return found.withColumn("held_out", F.coalesce(crc_remainder("doc_id", 4) == 2, F.lit(False)))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main language of all documents, learnt from those that aren't held out."""
+    ship(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(crc_remainder("doc_id", 3) != 1))
+    found = language_id.identify(spark, docs, model)
+    return found.withColumn("held_out", F.coalesce(crc_remainder("doc_id", 3) == 1, F.lit(False)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op3_toxicity": op3_toxicity,
         "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
         "op7_packing": op7_packing,
         "op9_bpe_round_trip": op9_bpe_round_trip,
+        "op10_language_id": op10_language_id,
     }
 
 
