@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language_id, toxicity
 from .bpe_codec import encode_decode
 from .common import crc_remainder, read_table, ship, splitting_pattern, tokenizer_file
+from .embedding_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .packing import pack
 from .setsketch import near_dedup
@@ -37,6 +38,12 @@ def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of 0.95 or more."""
+    ship(spark)
+    return embedding_dedup(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as power-of-two pieces of at most 2048 tokens."""
     ship(spark)
@@ -72,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op3_toxicity": op3_toxicity,
         "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+        "op6_embedding_near_dedup": op6_embedding_near_dedup,
         "op7_packing": op7_packing,
         "op9_bpe_round_trip": op9_bpe_round_trip,
         "op10_language_id": op10_language_id,
