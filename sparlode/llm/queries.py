@@ -14,6 +14,7 @@ from .embedding_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .packing import pack
 from .setsketch import near_dedup
+from .suffix_dedup import suffix_dedup
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,12 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"), splitting_pattern())
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 400-byte strings that occur more than once."""
+    ship(spark)
+    return suffix_dedup(spark, read_table(spark, sf_dir, "documents"), keep_first=False)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, learnt from the labels that aren't held out."""
     ship(spark)
@@ -77,6 +84,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_toxicity": op3_toxicity,
         "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
         "op6_embedding_near_dedup": op6_embedding_near_dedup,
