@@ -13,9 +13,14 @@ from .common import crc_remainder, read_table, ship, splitting_pattern, tokenize
 from .embedding_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .packing import pack
+from .paragraph_dedup import paragraph_dedup
+from .pii import replace_pii
 from .setsketch import near_dedup
 from .suffix_dedup import suffix_dedup
 
+#: For the registered queries only; a deployment passes a secret of its own.
+SURROGATE_KEY = b"registered queries, not a secret"
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents stay when equal texts keep the largest doc_id."""
@@ -39,6 +44,12 @@ def op4_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without paragraphs that repeat an earlier one."""
+    ship(spark)
+    return paragraph_dedup(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors with a cosine of 0.95 or more."""
     ship(spark)
@@ -51,6 +62,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by surrogates."""
+    ship(spark)
+    return replace_pii(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by byte-level BPE ranks and decoded again."""
     ship(spark)
@@ -87,8 +104,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_suffix_dedup": op2_suffix_dedup,
         "op3_toxicity": op3_toxicity,
         "op4_setsketch_near_dedup": op4_setsketch_near_dedup,
+        "op5_paragraph_dedup": op5_paragraph_dedup,
         "op6_embedding_near_dedup": op6_embedding_near_dedup,
         "op7_packing": op7_packing,
+        "op8_pii_surrogates": op8_pii_surrogates,
         "op9_bpe_round_trip": op9_bpe_round_trip,
         "op10_language_id": op10_language_id,
     }

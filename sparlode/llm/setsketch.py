@@ -102,7 +102,7 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
         yield pa.record_batch([batch.column(0), batch.column(2), pa.array(found, pa.binary())], names=["id", "registers", "elements"])
 
 
-def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets reach the similarity."""
     if len(x) > len(y):
         x, y = y, x
@@ -121,7 +121,7 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         rx, ry = (np.frombuffer(b"".join(r.to_pylist()), dtype="<u2").reshape(-1, REGISTERS) for r in (ra, rb))
         sets = [[np.frombuffer(e.as_buffer(), dtype=np.uint64) for e in column] for column in (ea, eb)]
         likely = joint_estimate(rx, ry, *(np.array([len(x) for x in column]) for column in sets)) >= percent / 100 - SLACK
-        mask = pa.array([bool(l) and _linked(x, y, percent) for l, x, y in zip(likely, *sets)], pa.bool_())
+        mask = pa.array([bool(l) and linked(x, y, percent) for l, x, y in zip(likely, *sets)], pa.bool_())
         yield pa.record_batch([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
 
@@ -165,14 +165,14 @@ def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
                 break
             t = near[k]
             one, other = find(int(comp[q])), find(int(comp[t]))
-            if one != other and _linked(sets[q], sets[t], percent):
+            if one != other and linked(sets[q], sets[t], percent):
                 root[max(one, other)] = min(one, other)
                 found[0].append(int(ids[q]))
                 found[1].append(int(ids[t]))
     return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
 
-def residual_links(member: DataFrame, sets: DataFrame, component: DataFrame, percent: int, block: int = 1024) -> DataFrame:
+def residual_links(member: DataFrame, sets: DataFrame, component: DataFrame, percent: int, block: int = 1024, in_block=_links_in_block) -> DataFrame:
     """Links between rows that share a band but not yet a component, enough to join all that belong together.
 
     Buckets within one component need nothing. Of any other bucket, the rows outside its
@@ -195,7 +195,7 @@ def residual_links(member: DataFrame, sets: DataFrame, component: DataFrame, per
     targets = rows.select("main", cut.alias("cut"), each("parts").alias("part"), "id", "component", F.lit(False).alias("query"))
     queries = rows.where("query").select("main", each("cuts").alias("cut"), part.alias("part"), "id", "component", "query")
     blocks = targets.unionByName(queries).join(sets, "id")
-    return blocks.groupBy("main", "cut", "part").applyInArrow(lambda t: _links_in_block(t, percent), "a long, b long")
+    return blocks.groupBy("main", "cut", "part").applyInArrow(lambda t: in_block(t, percent), "a long, b long")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5) -> DataFrame:

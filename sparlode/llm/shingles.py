@@ -16,9 +16,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> _S)) * _MIX
 
 
-def word_hashes(text: str | None) -> np.ndarray:
+def word_hashes(text: str | bytes | None) -> np.ndarray:
     """Lower-cases A-Z and hashes the words between the blanks \\x20 and \\x09-\\x0D."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+    words = raw.lower().split()
     return np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
