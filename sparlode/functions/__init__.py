@@ -1 +1 @@
-"""."""
+"""The scalar function vocabulary."""

@@ -1 +1 @@
-"""."""
+"""Filters, aggregates, facets, joins and windows over nested columns."""
