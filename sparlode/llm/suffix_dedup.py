@@ -210,10 +210,23 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             yield pa.record_batch([pa.array(w[0]), pa.array(w[1]), *same, pa.array(np.arange(n) + first), pa.array(np.arange(n))], names=names)
 
 
+def _merged(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The byte ranges of a segment's repeated windows, neighbours joined."""
+    for batch in batches:
+        ranges = []
+        for begins in batch.column(3):
+            flags = np.zeros(1 + max(begins.as_py()), dtype=bool)
+            flags[begins.as_py()] = True
+            ranges.append([{"begin": a, "end": b} for a, b in _runs(flags, length)])
+        yield pa.record_batch([*(batch.column(k) for k in range(3)), pa.array(ranges, _RANGES)], names=["bucket", "c1", "c2", "ranges"])
+
+
+_RANGES = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+
+
 def _removed(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept", "spans"] * with_text]
-    spans_kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.binary(), spans_kind] * with_text]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.binary(), _RANGES] * with_text]
     for batch in batches:
         rows: list[list] = [[] for _ in names]
         for i, doc_id in enumerate(batch.column(0).to_pylist()):
@@ -263,7 +276,7 @@ def suffix_dedup(
     ).where("n > 1 OR many")
     found = scratch.put(every.join(told.select("bucket", "n", (F.col("equal") & ~F.col("many")).alias("equal"), "lead"), "bucket"), "found")
     # Buckets of equal segments: all repeat, or all but the first.
-    whole = found.where("equal" if not keep_first else F.col("equal") & (place != F.col("lead"))).select("row", F.col("first").alias("begin"), (F.col("last") + length).alias("end"))
+    whole = found.where("equal" if not keep_first else F.col("equal") & (place != F.col("lead"))).select("row", F.array(F.struct(F.col("first").alias("begin"), (F.col("last") + length).alias("end"))).alias("ranges"))
     mixed = found.where("NOT equal").select(*every.columns)
     heads = mixed.groupBy("bucket", "c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct(F.coalesce("id", F.lit(-(2**63))).alias("i"), "row", "first", "last")).alias("r"))
     heads = scratch.put(heads.select("bucket", "c1", "c2", "copies", "r.i", "r.row", "r.first", "r.last"), "heads")
@@ -277,16 +290,17 @@ def suffix_dedup(
     spot = F.struct("id", "row", "spot")
     seen = windows.groupBy("w1", "w2").agg(F.count("*").alias("met"), F.min(spot).alias("earliest")).where("met > 1")
     divided = windows.join(seen, ["w1", "w2"], "left").where((spot != F.col("earliest")) if keep_first else (F.col("met") > 1) | (F.col("copies") > 1))
-    ranges = ranges.unionByName(divided.select("bucket", "c1", "c2", "begin", (F.col("begin") + length).alias("end")))
     ranges = ranges.groupBy("bucket", "c1", "c2").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
+    begins = divided.groupBy("bucket", "c1", "c2").agg(F.collect_set("begin").alias("begins"))
+    ranges = ranges.unionByName(begins.mapInArrow(lambda it: _merged(it, length), "bucket long, c1 long, c2 long, ranges array<struct<begin: long, end: long>>"))
     marked = mixed.join(ranges, ["bucket", "c1", "c2"])
     if keep_first:  # copies after the first repeat as a whole
         lead = heads.select("bucket", "c1", "c2", F.struct("i", "row", "first").alias("lead"))
         marked = mixed.join(lead, ["bucket", "c1", "c2"]).join(ranges, ["bucket", "c1", "c2"], "left")
         all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("begin"), (F.col("last") - F.col("first") + length).alias("end")))
         marked = marked.withColumn("ranges", F.when(place != F.col("lead"), all_of_it).otherwise(F.col("ranges"))).where("ranges IS NOT NULL")
-    inside = marked.select("row", "first", F.explode("ranges").alias("x")).select("row", (F.col("first") + F.col("x.begin")).alias("begin"), (F.col("first") + F.col("x.end")).alias("end"))
-    gone = scratch.put(whole.unionByName(inside).groupBy("row").agg(F.collect_set(F.struct("begin", "end")).alias("ranges")), "gone")
+    inside = marked.select("row", F.transform("ranges", lambda x: F.struct((x["begin"] + F.col("first")).alias("begin"), (x["end"] + F.col("first")).alias("end"))).alias("ranges"))
+    gone = scratch.put(whole.unionByName(inside).groupBy("row").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "gone")
     for name in ("segments", "found", "cut", "windows"):
         scratch.drop(name)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<struct<begin: long, end: long>>" * with_text
