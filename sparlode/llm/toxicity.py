@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,23 +45,44 @@ def word_counts(text: str | None) -> Counter:
     return Counter(WORD.findall((text or "").lower()))
 
 
+class Vocabulary:
+    """The terms that examples are compared by: term -> (number, idf)."""
+
+    def __init__(self, terms: dict[str, tuple[int, float]]):
+        self.terms = terms
+        self.stems = {t.rstrip("*")[: HEADS[0]] for t in terms}
+
+    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and weights of a document's words, of length 1."""
+        found: Counter = Counter()
+        for word, n in counts.items():
+            if word[: HEADS[0]] in self.stems:
+                for t in terms_of(word):
+                    if t in self.terms:
+                        found[t] += n
+        pairs = sorted((self.terms[t][0], (1.0 + math.log(n)) * self.terms[t][1]) for t, n in found.items())
+        at = np.array([p[0] for p in pairs], dtype=np.int64)
+        weight = np.array([p[1] for p in pairs], dtype=np.float64)
+        return at, weight / math.sqrt(float((weight**2).sum())) if len(weight) else weight
+
+
 class Index:
     """Exact nearest entries by cosine, with block-max bounds."""
 
-    def __init__(self, terms: dict[str, tuple[int, float]], examples: list[tuple[int, dict[str, int], int]], neighbours: int, evidence: int = 3):
-        self.terms, self.neighbours = terms, neighbours
-        self.stems = {t.rstrip("*")[: HEADS[0]] for t in terms}
+    def __init__(self, vocabulary: "Vocabulary", examples: Iterable[tuple[int, np.ndarray, np.ndarray, int]], neighbours: int, evidence: int = 3):
+        """examples: identifier, term numbers, weights, label; in order of identifiers."""
+        self.vocabulary, self.neighbours = vocabulary, neighbours
+        terms = vocabulary.terms
         entries: dict[tuple, list] = {}
-        for doc_id, counts, label in sorted(examples, key=lambda e: e[0]):
-            at, weight = self.vector(counts)
-            entry = entries.setdefault((tuple(at), tuple(np.round(weight, 12))), [0, 0, [], at, weight])
+        for doc_id, at, weight, label in examples:
+            entry = entries.setdefault((at.tobytes(), np.round(weight, 12).tobytes()), [0, 0, [], at, weight])
             entry[0] += 1
             entry[1] += label
             if len(entry[2]) < evidence:
                 entry[2].append(doc_id)
         total = [sum(e[k] for e in entries.values()) for k in (0, 1)]
         self.base = (total[1] + 0.5) / (total[0] + 1.0)
-        none = entries.pop(((), ()), [0, 0, []])
+        none = entries.pop((b"", b""), [0, 0, []])
         self.none = (none[0], none[1], none[2])
         # Entries led by the same term lie together, which makes the bounds tight.
         rows = sorted(entries.values(), key=lambda e: (int(e[3][np.argmax(e[4])]), -float(e[4].max()), e[2][0]))
@@ -80,19 +101,6 @@ class Index:
             self.postings.append((local, at, weight, len(part)))
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
-    def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and weights of a document's words, of length 1."""
-        found: Counter = Counter()
-        for word, n in counts.items():
-            if word[: HEADS[0]] in self.stems:
-                for t in terms_of(word):
-                    if t in self.terms:
-                        found[t] += n
-        pairs = sorted((self.terms[t][0], (1.0 + math.log(n)) * self.terms[t][1]) for t, n in found.items())
-        at = np.array([p[0] for p in pairs], dtype=np.int64)
-        weight = np.array([p[1] for p in pairs], dtype=np.float64)
-        return at, weight / math.sqrt(float((weight**2).sum())) if len(weight) else weight
-
     def nearest(self, at: np.ndarray, weight: np.ndarray, skip: int = -1) -> list[tuple[float, int]]:
         """(cosine, entry) of the nearest entries, nearest first, until `neighbours` examples are met; ties go to the earlier entry.
 
@@ -163,13 +171,17 @@ class Index:
         self.curve = (x, np.maximum.accumulate(y))
 
     def score(self, text: str | None) -> tuple[float, list[tuple[float, int]], np.ndarray]:
-        at, weight = self.vector(word_counts(text))
+        at, weight = self.vocabulary.vector(word_counts(text))
         raw, near = self.vote(at, weight)
         return float(min(1.0, max(0.0, np.interp(raw, *self.curve)))), near, at
 
 
-def select_terms(counts: dict[str, tuple[int, int]], positive: int, negative: int, max_terms: int, least: float) -> dict[str, tuple[int, float]]:
-    """Terms that go with the label, as term -> (number, idf); counts has the positive and negative examples of each."""
+def select_terms(counts: dict[str, tuple[int, int]], positive: int, negative: int, max_terms: int, least: float, support: float = 0.015) -> dict[str, tuple[int, float]]:
+    """Terms that go with the label, as term -> (number, idf); counts has the positive and negative examples of each.
+
+    A term needs a share `support` of the positive examples (and 3 of them): examples that are
+    near copies of each other make rare words look significant.
+    """
     total = positive + negative
 
     def part(a: float, b: float) -> float:
@@ -178,7 +190,7 @@ def select_terms(counts: dict[str, tuple[int, int]], positive: int, negative: in
     found = []
     for term, (p, n) in counts.items():
         k = p + n
-        if k < total and p * negative > 2 * n * positive:
+        if k < total and p >= max(3.0, support * positive) and p * negative > 2 * n * positive:
             g = 2 * (part(p, k * positive / total) + part(n, k * negative / total) + part(positive - p, (total - k) * positive / total) + part(negative - n, (total - k) * negative / total))
             if g >= least:
                 found.append((-g, term, k))
@@ -197,16 +209,23 @@ def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+def _vector_rows(batches: Iterator[pa.RecordBatch], shipped) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        got = [shipped.value.vector(dict(zip(words, counts))) for words, counts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        yield pa.record_batch(
+            [batch.column(0), batch.column(1), pa.array([x[0].tobytes() for x in got], pa.binary()), pa.array([x[1].tobytes() for x in got], pa.binary())], names=["id", "label", "at", "weight"]
+        )
+
+
 def fit(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    max_examples: int = 12_000, max_terms: int = 4096, least: float = 25.0, neighbours: int = 15,
+    max_examples: int = 10_000, max_terms: int = 4096, least: float = 50.0, neighbours: int = 15,
 ) -> Index:
     """An index of at most about max_examples labelled documents.
 
     The sample is the identifiers with the smallest hashes: a share of all labelled rows that
     makes max_examples of them, with a tenth to spare. Rows whose label or identifier is null
-    are left out; of several labels of one identifier the largest counts; of several texts
-    each is an example.
+    are left out; of several labels of one identifier or text the largest counts.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     marked = marked.groupBy("id").agg(F.max("label").alias("label"))
@@ -214,18 +233,23 @@ def fit(
     chosen = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0)).limit(int(1.1 * max_examples) + 100)
     scratch = Scratch(spark, "toxicity")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").select("id", "text", "label")
+    # Copies of a text are one example; if their labels differ, the largest counts.
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("text").agg(F.min("id").alias("id"), F.max("label").alias("label")).select("id", "text", "label")
     rows = scratch.put(sample.mapInArrow(_example_rows, "id long, label int, words array<string>, counts array<long>, terms array<string>"), "examples")
     totals = {r["label"] > 0: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     positive, negative = totals.get(True, 0), totals.get(False, 0)
     counted = rows.select(F.explode("terms").alias("term"), "label").groupBy("term").agg(F.count_if(F.col("label") > 0).alias("p"), F.count_if(F.col("label") <= 0).alias("n"))
     # Only terms that could be significant come to the driver, fewer than the examples' positive labels allow.
-    likely = counted.where((F.col("p") >= 3) & (F.col("p") * negative > 2 * F.col("n") * positive)).orderBy(F.desc(F.col("p") / (F.col("p") + F.col("n") + 5) * F.col("p")), "term").limit(16 * max_terms)
-    terms = select_terms({r["term"]: (r["p"], r["n"]) for r in likely.collect()}, positive, negative, max_terms, least)
-    stems = sorted({t.rstrip("*")[: HEADS[0]] for t in terms})
-    kept = F.filter(F.arrays_zip("words", "counts"), lambda x: F.substring(x["words"], 1, HEADS[0]).isin(stems)) if stems else F.filter(F.arrays_zip("words", "counts"), lambda x: F.lit(False))
-    examples = [(r["id"], {x["words"]: x["counts"] for x in r["kept"]}, int(r["label"] > 0)) for r in rows.select("id", "label", kept.alias("kept")).collect()]
-    index = Index(terms, examples, neighbours)
+    likely = counted.where((F.col("p") >= 3) & (F.col("p") * negative > 2 * F.col("n") * positive)).orderBy(F.desc(F.col("p") / (F.col("p") + F.col("n") + 5) * F.col("p")), "term").limit(4 * max_terms)
+    got = likely.toArrow()
+    counts = {t: (p, n) for t, p, n in zip(*(got[c].to_pylist() for c in ("term", "p", "n")))}
+    vocabulary = Vocabulary(select_terms(counts, positive, negative, max_terms, least))
+    del got, counts
+    shipped = spark.sparkContext.broadcast(vocabulary)
+    vectors = rows.select("id", "label", "words", "counts").mapInArrow(lambda it: _vector_rows(it, shipped), "id long, label int, at binary, weight binary").toArrow().sort_by("id")
+    columns = (vectors[c] for c in ("id", "at", "weight", "label"))
+    examples = ((i.as_py(), np.frombuffer(a.as_buffer(), dtype=np.int64), np.frombuffer(w.as_buffer(), dtype=np.float64), int(y.as_py() > 0)) for i, a, w, y in zip(*columns))
+    index = Index(vocabulary, examples, neighbours)
     index.calibrate()
     scratch.drop("examples")
     return index
@@ -233,7 +257,7 @@ def fit(
 
 def _scored(batches: Iterator[pa.RecordBatch], shipped, threshold: float) -> Iterator[pa.RecordBatch]:
     index = shipped.value
-    names = {n: t for t, (n, _) in index.terms.items()}
+    names = {n: t for t, (n, _) in index.vocabulary.terms.items()}
     for batch in batches:
         rows: list[list] = [[], [], [], [], []]
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
