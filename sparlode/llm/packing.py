@@ -9,6 +9,7 @@ a document's pieces depend on that document alone.
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 from collections.abc import Iterator
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 #: Words whose ids a worker remembers; beyond that, words longer than SHORT are forgotten.
 CACHED_WORDS, SHORT = 900_000, 8
 #: Documents whose unseen words are encoded together.
-TOGETHER = 128
+TOGETHER = 512
 _LOADED: dict[str, "Words"] = {}
 #: How byte-level tokenizers write the bytes that aren't printable Latin-1: from U+0100 on, in order.
 _BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
@@ -39,10 +40,14 @@ class Words:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merges = Tokenizer(self.tokenizer.model)
+        model = json.loads(self.tokenizer.to_str())["model"]
+        # The same merges, without the model's own cache: words come here once.
+        same = {k: model[k] for k in ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k) is not None}
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.merges = Tokenizer(models.BPE(vocab=model["vocab"], merges=pairs, cache_capacity=0, **same))
         self.merges.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         self.known: dict[str, bytes] = {"": b""}
 
@@ -52,23 +57,28 @@ class Words:
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words as little-endian unsigned 32-bit integers."""
-        found, plain, rest = {}, [], []
+        found, plain, cores, rest = {}, [], [], []
         for w in words:
             core = w.rstrip(".,")
-            if core.isalpha() and max(core) < "\u0130":
-                plain.append((w, core.lower(), w[len(core) :]))
+            if not core.isalpha():
+                rest.append(w)
+            elif core.isascii():
+                plain.append((w, w[len(core) :]))
+                cores.append(core.lower())
+            elif max(core) < "\u0130":
+                plain.append((w, w[len(core) :]))
+                cores.append(core.lower().encode().decode("latin-1").translate(_BYTES))
             else:
                 rest.append(w)
-        tails = self._whole(sorted({x[2] for x in plain} - {""})) | {"": b""}
+        tails = {"": b""} | self._whole(list({t for _, t in plain if t}))
         for i in range(0, len(rest), 2048):
             found |= self._whole(rest[i : i + 2048])
         for i in range(0, len(plain), 2048):
             part = plain[i : i + 2048]
-            line = "\n".join([x[1] for x in part]).encode().decode("latin-1")
-            got = self.merges.encode_batch([line.translate(_BYTES | {10: 10})], add_special_tokens=False)[0]
+            got = self.merges.encode_batch(["\n".join(cores[i : i + 2048])], add_special_tokens=False)[0]
             buffer, at = array("I", got.ids).tobytes(), np.searchsorted(got.word_ids, np.arange(len(part) + 1)) * 4
-            for (w, _, tail), a, b in zip(part, at.tolist(), at[1:].tolist()):
-                found[w] = buffer[a:b] + tails[tail]
+            ends = at.tolist()
+            found.update([(w, buffer[a:b] + tails[tail] if tail else buffer[a:b]) for (w, tail), a, b in zip(part, ends, ends[1:])])
         return found
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
