@@ -2,9 +2,9 @@
 
 Rows cross to Python, so this is for compatibility with code that names a format; read_index
 and plain Parquet are the fast way. Files are read by pyarrow, so paths must be local or
-mounted on every executor. Filters on top-level columns are pushed when Spark offers them
-(spark.sql.python.filterPushdown.enabled); options: path, schema comes from the first file
-unless given.
+mounted on every executor. The schema comes from the files unless given. Options: path; push,
+"true" to prune by filters on top-level columns, which needs the session setting
+spark.sql.python.filterPushdown.enabled.
 """
 
 from __future__ import annotations
@@ -61,13 +61,6 @@ class Reader(api.DataSourceReader):
     def __init__(self, path: str, schema: StructType):
         self.path, self.schema, self.filters = path, schema, []
 
-    def pushFilters(self, filters: list[api.Filter]):
-        for f in filters:
-            e = _expression(f)
-            if e is not None:
-                self.filters.append(e)
-            yield f  # Spark checks every filter again
-
     def partitions(self) -> list[FilePartition]:
         return [FilePartition(f) for f in _dataset(self.path).files] or [FilePartition("")]
 
@@ -83,6 +76,15 @@ class Reader(api.DataSourceReader):
             yield batch.cast(target) if batch.schema != target else batch
 
 
+class PushingReader(Reader):
+    def pushFilters(self, filters: list[api.Filter]):
+        for f in filters:
+            e = _expression(f)
+            if e is not None:
+                self.filters.append(e)
+            yield f  # Spark checks every filter again
+
+
 class Writer(api.DataSourceArrowWriter):
     def __init__(self, path: str, overwrite: bool):
         self.path, self.overwrite, self.job = _local(path), overwrite, uuid.uuid4().hex
@@ -133,7 +135,8 @@ class Source(api.DataSource):
         return from_arrow_schema(_dataset(self.options["path"]).schema)
 
     def reader(self, schema: StructType) -> Reader:
-        return Reader(self.options["path"], schema)
+        kind = PushingReader if self.options.get("push", "false").lower() == "true" else Reader
+        return kind(self.options["path"], schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> Writer:
         return Writer(self.options["path"], overwrite)
