@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import aggregate, as_of_join, facet, interval_join, statistics
+from . import aggregate, as_of_join, compact, facet, interval_join, read_index, statistics, update_by_key, write_index
 from .functions.vocabulary import call
 from .operators.predicates import Path, all_of, any_of, where
 from .operators.windows import sessions, top_rows
+from .plans.session import FOOTER_AGGREGATES, configure
+from .sources import storage
+from .sources.formats import read_as, write_as
+from .sources.storage import Options, create_table
 from .streaming.windows import windowed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -788,39 +795,46 @@ def n_nan_order(spark, d):
 # --- storage -------------------------------------------------------------------------------
 
 
-def _place(spark: SparkSession, name: str) -> str:
-    """A folder for a table that a query writes: under the folder all executors share."""
-    import tempfile
-    import uuid
+_PLACES: list[tuple[SparkSession, str]] = []
+
 
+def _place(spark: SparkSession, name: str) -> str:
+    """A folder for a table that a query writes: under the folder all executors share, deleted when the driver exits."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sparlode-tables-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    at = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _PLACES.append((spark, at))
+    return at
+
+
+@atexit.register
+def _clean() -> None:
+    while _PLACES:
+        spark, at = _PLACES.pop()
+        for path in (at, storage.side(at)):
+            try:
+                storage.delete(spark, path)
+            except Exception:  # the session may be gone at exit; the folders are scratch
+                pass
 
 
 @query("SELECT doc_id, lang, source, n_chars FROM documents")
 def io_roundtrip(spark, d):
-    from . import read_index, write_index
-
     write_index(read(spark, d, "documents").select("doc_id", "lang", "source", "n_chars"), at := _place(spark, "roundtrip"))
     return read_index(spark, at).df
 
 
 @query("SELECT doc_id, n_chars, lang FROM documents WHERE lang = 'de'")
 def io_partitioned(spark, d):
-    from . import read_index, write_index
-
     write_index(read(spark, d, "documents").select("doc_id", "n_chars", "lang"), at := _place(spark, "partitioned"), partition_by=["lang"])
     return read_index(spark, at).where("lang = 'de'")
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 0 ELSE n_chars END AS n_chars FROM documents")
 def io_overwrite_by_key(spark, d):
-    from . import read_index, update_by_key, write_index
-
     docs = read(spark, d, "documents").select("doc_id", "n_chars")
     write_index(docs, at := _place(spark, "update"))
     update_by_key(spark, at, docs.where("doc_id % 10 = 0").withColumn("n_chars", F.lit(0).cast("long")), ["doc_id"])
@@ -829,8 +843,6 @@ def io_overwrite_by_key(spark, d):
 
 @query("SELECT doc_id, lang FROM documents")
 def io_compact(spark, d):
-    from . import compact, read_index, write_index
-
     write_index(read(spark, d, "documents").select("doc_id", "lang").repartition(6), at := _place(spark, "compact"))
     compact(spark, at, 1)
     return read_index(spark, at).df
@@ -838,34 +850,66 @@ def io_compact(spark, d):
 
 @query("SELECT doc_id, lang FROM documents WHERE n_chars > 3000")
 def io_sql_path(spark, d):
-    from . import write_index
-
     write_index(read(spark, d, "documents").select("doc_id", "lang", "n_chars"), at := _place(spark, "sqlpath"))
     return spark.sql(f"SELECT doc_id, lang FROM parquet.`{at}` WHERE n_chars > 3000")
 
 
+@query("SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders WHERE year(o_orderdate) = 1998 AND o_totalprice > 100000")
+def f_partition_prune(spark, d):
+    orders = read(spark, d, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("y"))
+    write_index(orders, at := _place(spark, "years"), partition_by=["y"])
+    return read_index(spark, at).where("y = 1998 AND o_totalprice > 100000")
+
+
+@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n, max(o_orderkey) AS last FROM orders GROUP BY 1")
+def a_group_partition_col(spark, d):
+    orders = read(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"))
+    write_index(orders, at := _place(spark, "groups"), partition_by=["y"])
+    return aggregate(read_index(spark, at).df, ["y"], {"n": ("count",), "last": ("max", "o_orderkey")})
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, n_chars FROM documents WHERE doc_id % 2 = 1")
+def io_append(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "n_chars")
+    write_index(docs.where("doc_id % 2 = 0"), at := _place(spark, "append"))
+    write_index(docs.where("doc_id % 2 = 1"), at, mode="append")
+    return read_index(spark, at).df
+
+
+@query("SELECT k AS kind, p_partkey, p_name, p_retailprice FROM part CROSS JOIN (VALUES ('orc'), ('json'), ('csv')) t(k)")
+def io_formats(spark, d):
+    part, out = read(spark, d, "part").select("p_partkey", "p_name", "p_retailprice"), None
+    for kind in ("orc", "json", "csv"):
+        write_as(part, at := _place(spark, kind), kind)
+        one = read_as(spark, at, kind, part.schema).withColumn("kind", F.lit(kind))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'fr')")
+def io_ddl_insert(spark, d):
+    at = _place(spark, "ddl")
+    name = "t_" + at.rsplit("-", 1)[1]
+    create_table(spark, name, "doc_id BIGINT, lang STRING", path=at)
+    read(spark, d, "documents").where("lang IN ('en', 'fr')").select("doc_id", "lang").write.insertInto(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay where they are
+    return spark.read.parquet(at)
+
+
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE json_extract_string(props, '$.k') = '12'")
 def x_shredded_filter(spark, d):
-    from . import read_index, write_index
-    from .sources.storage import Options
-
     write_index(tagged(spark, d).select("event_id", "props"), at := _place(spark, "shred"), options=Options(shred={"props": ["k"]}))
     return read_index(spark, at).where("props['k'] = '12'").select("event_id", F.col("props")["k"].alias("k"))
 
 
 @query(f"SELECT unnest(v) AS token, count(*) AS n FROM ({_TOKENS}) GROUP BY 1")
 def x_summary_facet(spark, d):
-    from . import read_index, write_index
-    from .sources.storage import Options
-
     write_index(tokens(spark, d).select("doc_id", "tokens"), at := _place(spark, "terms"), options=Options(summarise=["tokens"]))
     return read_index(spark, at).facet({"token": "tokens"})
 
 
 @query("SELECT count(*) AS n, min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem")
 def x_footer_aggregates(spark, d):
-    from .plans.session import FOOTER_AGGREGATES, configure
-
     with configure(spark, FOOTER_AGGREGATES):
         t = read(spark, d, "lineitem").agg(F.count("*").alias("n"), F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"))
         t._jdf.queryExecution().executedPlan()  # planned under these settings

@@ -6,22 +6,41 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def as_of_join(left: DataFrame, right: DataFrame, by: Iterable[str], left_time: str, right_time: str, values: Iterable[str], suffix: str = "") -> DataFrame:
+def as_of_join(
+    left: DataFrame, right: DataFrame, by: Iterable[str], left_time: str, right_time: str, values: Iterable[str], suffix: str = "", chunk: float | None = None
+) -> DataFrame:
     """Each left row with the values of the latest right row of its keys that isn't later than it.
 
     Both sides are merged into one timeline per key and the last right row is carried
     forward, so the work is one shuffle and one sort, whatever the number of matches. Of
     right rows with one time the largest by `values` counts. Rows with a null time match
     nothing. Left columns are kept; values get the suffix.
+
+    chunk cuts the timelines into pieces of so many units (seconds for timestamps), for keys
+    with very many rows: pieces are sorted apart, and each gets the last right row of the
+    pieces before it from a table with one row per key and piece.
     """
     by, values = list(by), list(values)
     kept = [c for c in left.columns if c not in by]
-    l = left.select(*by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*kept).alias("_left"), F.lit(None).cast(right.select(F.struct(*values).alias("s")).schema["s"].dataType).alias("_right"))
+    kind = right.select(F.struct(*values).alias("s")).schema["s"].dataType
+    l = left.select(*by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*kept).alias("_left"), F.lit(None).cast(kind).alias("_right"))
     r = right.where(F.col(right_time).isNotNull()).select(*by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(l.schema["_left"].dataType).alias("_left"), F.struct(*values).alias("_right"))
-    line = Window.partitionBy(*by).orderBy(F.asc_nulls_first("_t"), "_side", F.asc_nulls_first("_right")).rowsBetween(Window.unboundedPreceding, 0)
-    found = l.unionByName(r).withColumn("_last", F.last("_right", ignorenulls=True).over(line)).where("_side = 1")
+    both, cut = l.unionByName(r), []
+    if chunk is not None:
+        timed = isinstance(l.schema["_t"].dataType, (T.TimestampType, T.TimestampNTZType))
+        at = F.unix_micros(F.col("_t").cast("timestamp")) / F.lit(1e6) if timed else F.col("_t").cast("double")
+        both, cut = both.withColumn("_piece", F.floor(at / F.lit(float(chunk)))), ["_piece"]
+    line = Window.partitionBy(*by, *cut).orderBy(F.asc_nulls_first("_t"), "_side", F.asc_nulls_first("_right")).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_last", F.last("_right", ignorenulls=True).over(line)).where("_side = 1")
+    if cut:
+        ends = both.groupBy(*by, *cut).agg(F.max(F.when(F.col("_side") == 0, F.struct("_t", "_right"))).alias("_end"))
+        earlier = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.withColumn("_before", F.last("_end", ignorenulls=True).over(earlier)).select(*by, *cut, F.col("_before._right").alias("_before"))
+        same = [found[c].eqNullSafe(ends[c]) for c in [*by, *cut]]
+        found = found.join(ends, same, "left").select(*[found[c] for c in by], found["_t"], found["_left"], F.coalesce(found["_last"], ends["_before"]).alias("_last"))
     found = found.withColumn("_last", F.when(F.col("_t").isNotNull(), F.col("_last")))
     return found.select(*by, *[F.col(f"_left.`{c}`").alias(c) for c in kept], *[F.col(f"_last.`{c}`").alias(c + suffix) for c in values])
 

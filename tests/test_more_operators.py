@@ -16,8 +16,16 @@ from sparlode.streaming.windows import facet_stream, read_stream, session_window
 def test_as_of(spark):
     l = spark.createDataFrame([(1, 5, "a"), (1, 1, "b"), (2, 9, "c"), (1, None, "d")], "k int, t int, x string")
     r = spark.createDataFrame([(1, 2, 10), (1, 5, 20), (1, 5, 30), (2, 10, 40), (1, None, 50)], "k int, t int, v int")
-    got = {x.x: x.v_right for x in as_of_join(l, r, ["k"], "t", "t", ["v"], suffix="_right").collect()}
-    assert got == {"a": 30, "b": None, "c": None, "d": None}
+    for chunk in (None, 1, 3, 100):
+        got = {x.x: x.v_right for x in as_of_join(l, r, ["k"], "t", "t", ["v"], suffix="_right", chunk=chunk).collect()}
+        assert got == {"a": 30, "b": None, "c": None, "d": None}
+
+
+def test_as_of_in_pieces(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    right = e.where("event_id % 3 = 0").select("user_id", F.col("ts").alias("at"), F.col("event_id").alias("last"))
+    whole = sorted(map(str, as_of_join(e, right, ["user_id"], "ts", "at", ["last"]).collect()))
+    assert whole == sorted(map(str, as_of_join(e, right, ["user_id"], "ts", "at", ["last"], chunk=86400).collect()))
 
 
 def test_interval(spark):
