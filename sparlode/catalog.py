@@ -795,7 +795,7 @@ def n_nan_order(spark, d):
 # --- storage -------------------------------------------------------------------------------
 
 
-_PLACES: list[tuple[SparkSession, str]] = []
+_PLACES: list[tuple] = []
 
 
 def _place(spark: SparkSession, name: str) -> str:
@@ -806,19 +806,18 @@ def _place(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sparlode-tables-")
     at = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _PLACES.append((spark, at))
+    _PLACES.extend(storage.folder(spark, p) for p in (at, storage.side(at)))
     return at
 
 
 @atexit.register
 def _clean() -> None:
     while _PLACES:
-        spark, at = _PLACES.pop()
-        for path in (at, storage.side(at)):
-            try:
-                storage.delete(spark, path)
-            except Exception:  # the session may be gone at exit; the folders are scratch
-                pass
+        fs, where = _PLACES.pop()
+        try:
+            fs.delete(where, True)
+        except Exception:  # the JVM is gone, too; the folders are scratch
+            pass
 
 
 @query("SELECT doc_id, lang, source, n_chars FROM documents")

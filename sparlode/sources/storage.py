@@ -23,24 +23,25 @@ from ..plans import shredding, summary
 from ..plans.cache import registry
 
 
-def _fs(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str) -> tuple:
+    """A path's file system and the path, as JVM objects."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _fs(spark, path)
+    fs, where = folder(spark, path)
     return fs.exists(where)
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    fs, where = _fs(spark, path)
+    fs, where = folder(spark, path)
     fs.delete(where, True)
 
 
 def rename(spark: SparkSession, old: str, new: str) -> None:
-    fs, where = _fs(spark, old)
+    fs, where = folder(spark, old)
     if not fs.rename(where, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)):
         raise OSError(f"could not rename {old} to {new}")
 
@@ -146,7 +147,7 @@ def read_index(
     paths = [path] if isinstance(path, str) else list(path)
     if recursive:
         for p in paths:
-            fs, where = _fs(spark, p)
+            fs, where = folder(spark, p)
             if fs.exists(where) and any("=" in s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()):
                 raise ValueError(f"{p} is partitioned: recursive lookup would lose its partition columns")
         reader = reader.option("recursiveFileLookup", "true")
