@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
-_ROOTS: list[tuple[SparkSession, str]] = []
+_ROOTS: list[tuple] = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,20 +54,20 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """A folder's file system and path, as JVM objects."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 @atexit.register
 def clean() -> None:
-    """Delete every scratch folder of this process whose session is still there."""
+    """Delete every scratch folder of this process; sessions may be stopped by then, the JVM not."""
     while _ROOTS:
-        spark, root = _ROOTS.pop()
+        fs, where = _ROOTS.pop()
         try:
-            _delete(spark, root)
-        except Exception:  # the session may be gone at exit; the folder is scratch
+            fs.delete(where, True)
+        except Exception:  # the JVM is gone, too; the folder is scratch
             pass
 
 
@@ -77,7 +77,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
-        _ROOTS.append((spark, self.root))
+        _ROOTS.append(_folder(spark, self.root))
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -85,7 +85,8 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
-        _delete(self.spark, f"{self.root}/{name}")
+        fs, where = _folder(self.spark, f"{self.root}/{name}")
+        fs.delete(where, True)
 
 
 def wide(spark: SparkSession) -> int:
