@@ -98,6 +98,77 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(crc_remainder("doc_id", 3) == 1, F.lit(False)))
 
 
+#: Words, distinct shingles, pairs by shared shingle, then everything reachable; for small tables.
+OP4_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                                        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS s
+    FROM split
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), pair AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+    SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)
+), way AS (
+    SELECT a AS u, b AS v FROM link UNION ALL SELECT b, a FROM link
+), reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, w.v FROM reach r JOIN way w ON w.u = r.other
+)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id, d.doc_id = min(r.other) AS kept
+FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN size s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+OP5_SQL = r"""
+WITH RECURSIVE line AS (
+    SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) - 1 AS place, len(ls) AS many
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+), split AS (
+    SELECT *, l || CASE WHEN place < many - 1 THEN chr(10) ELSE '' END AS piece,
+           regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM line
+), para AS (
+    SELECT row_number() OVER (ORDER BY doc_id, place) AS pid, doc_id, place, words FROM split WHERE len(words) >= 10
+), shingle AS (
+    SELECT DISTINCT pid, unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS s FROM para
+), size AS (
+    SELECT pid, count(*) AS n FROM shingle GROUP BY pid
+), pair AS (
+    SELECT a.pid AS a, b.pid AS b, count(*) AS common FROM shingle a JOIN shingle b ON a.s = b.s AND a.pid < b.pid GROUP BY ALL
+), link AS (
+    SELECT a, b FROM pair JOIN size x ON x.pid = a JOIN size y ON y.pid = b WHERE 100 * common >= 75 * (x.n + y.n - common)
+), way AS (
+    SELECT a AS u, b AS v FROM link UNION ALL SELECT b, a FROM link
+), reach(pid, other) AS (
+    SELECT pid, pid FROM para UNION SELECT r.pid, w.v FROM reach r JOIN way w ON w.u = r.other
+), gone AS (
+    SELECT p.doc_id, p.place FROM para p JOIN reach r USING (pid) GROUP BY p.pid, p.doc_id, p.place HAVING min(r.other) <> p.pid
+), marked AS (
+    SELECT s.*, g.place IS NOT NULL AS out, len(words) >= 10 AS is_para FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.place = s.place
+), runs AS (
+    SELECT *, out AND NOT coalesce(lag(out) OVER (PARTITION BY doc_id ORDER BY place), FALSE) AS opens FROM marked
+)
+SELECT doc_id, CAST(sum(strlen(piece)) AS BIGINT) AS n_bytes, CAST(coalesce(sum(strlen(piece)) FILTER (WHERE out), 0) AS BIGINT) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+       sha256(coalesce(string_agg(piece, '' ORDER BY place) FILTER (WHERE NOT out), '')) AS kept_sha256, count(*) FILTER (WHERE is_para) AS n_paragraphs,
+       coalesce(list(place ORDER BY place) FILTER (WHERE out), []) AS removed
+FROM runs GROUP BY doc_id
+"""
+
+OP6_SQL = """
+WITH RECURSIVE vec AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), way AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM vec a JOIN vec b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, w.v FROM reach r JOIN way w ON w.u = r.other
+)
+SELECT vec_id, (SELECT count(*) FROM way WHERE u = r.vec_id) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach r GROUP BY vec_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -114,4 +185,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op4_setsketch_near_dedup": OP4_SQL, "op5_paragraph_dedup": OP5_SQL, "op6_embedding_near_dedup": OP6_SQL}
