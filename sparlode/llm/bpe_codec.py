@@ -26,20 +26,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pre-tokens a worker remembers; the longest one remembered, and the longest one kept when there are too many.
-CACHED, REMEMBERED_LENGTH, SHORT = 600_000, 64, 7
+CACHED, REMEMBERED_LENGTH, SHORT = 900_000, 64, 7
 #: Pre-tokens per query, and characters of text whose unseen pre-tokens are encoded together.
 PER_QUERY, TOGETHER = 20_000, 3_000_000
+#: Token-position rows that one query may make over all its steps, unless a word needs more than 16.
+STEP_ROWS = 6_000_000
 _LOADED: dict[tuple[str, str], "Codec"] = {}
 
 #: spot: offset in the texts of all words together, with a gap after each word; a token's neighbour is at spot + size.
-CONTRACT = """
-CREATE TEMP TABLE steps AS
+STEPS = """
 WITH RECURSIVE step(round, word, spot, token, size) AS (
-    SELECT 0, word, spot, token, 1 FROM start
+    SELECT 0, word, spot, token, size FROM start
     UNION ALL
     (WITH pair AS (
         SELECT n.word, n.spot, n.size, n.spot + n.size AS next_spot, n.size + o.size AS span, m.rank, m.alone
         FROM step n JOIN step o ON o.spot = n.spot + n.size JOIN merges m ON m.lr = n.token * 65536 + o.token
+        WHERE n.round < $most
     ), lowest AS (
         SELECT word, min(rank) AS rank FROM pair GROUP BY word
     ), hit AS (
@@ -57,14 +59,17 @@ WITH RECURSIVE step(round, word, spot, token, size) AS (
     JOIN lowest x ON x.word = n.word
     LEFT JOIN merge a ON a.spot = n.spot
     ANTI JOIN merge b ON b.next_spot = n.spot)
+), final AS (
+    SELECT word, max(round) AS round FROM step GROUP BY word
 )
-SELECT * FROM step
 """
-FINAL = """
-SELECT s.word, string_agg(CAST(s.token AS VARCHAR), ' ' ORDER BY s.spot) AS ids
-FROM steps s JOIN (SELECT word, max(round) AS round FROM steps GROUP BY word) USING (word, round)
-GROUP BY s.word ORDER BY s.word
+CONTRACT = STEPS + """
+SELECT s.word, string_agg(CAST(s.token AS VARCHAR), ' ' ORDER BY s.spot) AS ids, any_value(s.round) AS round
+FROM step s JOIN final USING (word, round) GROUP BY s.word ORDER BY s.word
 """
+ADVANCE = "CREATE OR REPLACE TEMP TABLE reached AS " + STEPS + "SELECT s.* FROM step s JOIN final USING (word, round)"
+FINISHED = "SELECT word, string_agg(CAST(token AS VARCHAR), ' ' ORDER BY spot) FROM reached WHERE round < $most GROUP BY word"
+GO_ON = "CREATE OR REPLACE TEMP TABLE start AS SELECT word, spot, token, size FROM reached WHERE round = $most"
 DECODE = """
 SELECT t.word, string_agg(v.hex, '' ORDER BY t.place) AS hex
 FROM (SELECT word, unnest(ids) AS id, generate_subscripts(ids, 1) AS place FROM
@@ -96,8 +101,7 @@ class Codec:
         self._load("merges", lr=pa.array(pair, pa.int64()), rank=pa.array(rank, pa.int32()), alone=pa.array(alone))
         self._load("vocabulary", id=pa.array(list(self.ranks.values()), pa.int32()), hex=pa.array([t.hex() for t in self.ranks]))
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.ids: dict[str, bytes] = {}
-        self.decoded: dict[str, bytes] = {}
+        self.known: dict[str, tuple[bytes, bytes]] = {}  # pre-token -> ids (decimal, joined by blanks), the bytes they decode to
 
     def _held_below(self) -> set[int]:
         """Ranks whose token starts or ends a token of lower rank."""
@@ -114,17 +118,35 @@ class Codec:
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM incoming")
         self.db.unregister("incoming")
 
-    def contract(self, words: list[bytes]) -> list[str]:
-        """The ids of each word, in decimal, joined by blanks."""
+    def _start(self, words: list[bytes]) -> int:
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         flat = np.frombuffer(b"".join(words), dtype=np.uint8)
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         spot = np.arange(len(flat), dtype=np.int64) + word
-        self._load("start", word=pa.array(word), spot=pa.array(spot), token=pa.array(self.byte_ids[flat].astype(np.int64)))
-        self.db.execute("DROP TABLE IF EXISTS steps")
-        self.db.execute(CONTRACT)
-        got = self.db.execute(FINAL).fetchall()
-        return [x[1] for x in got]
+        self._load("start", word=pa.array(word), spot=pa.array(spot), token=pa.array(self.byte_ids[flat].astype(np.int64)), size=pa.array(np.ones(len(flat), dtype=np.int32)))
+        return len(flat)
+
+    def contract(self, words: list[bytes]) -> list[str]:
+        """The ids of each word, in decimal, joined by blanks."""
+        most = max(16, STEP_ROWS // max(1, self._start(words)))
+        got = self.db.execute(CONTRACT, {"most": most}).fetchall()
+        out = [ids for _, ids, _ in got]
+        if late := [k for k, x in enumerate(got) if x[2] == most]:
+            for k, ids in zip(late, self._at_length([words[k] for k in late])):
+                out[k] = ids
+        return out
+
+    def _at_length(self, words: list[bytes]) -> list[str]:
+        """The same for words that take many steps: each query goes on from where the last one stopped, so rows of old steps don't pile up."""
+        out, rows = [""] * len(words), self._start(words)
+        while rows:
+            most = {"most": max(1, STEP_ROWS // rows)}
+            self.db.execute(ADVANCE, most)
+            for word, ids in self.db.execute(FINISHED, most).fetchall():
+                out[word] = ids
+            self.db.execute(GO_ON, most)
+            rows = self.db.execute("SELECT count(*) FROM start").fetchall()[0][0]
+        return out
 
     def decode(self, encoded: list[str]) -> list[bytes]:
         """The bytes of each list of ids (decimal, joined by blanks, at least one)."""
@@ -142,29 +164,25 @@ class Codec:
             if rest:
                 for k, got in zip(rest, self.contract([raw[k] for k in rest])):
                     ids[k] = got
-            self.ids.update(zip(part, (x.encode() for x in ids)))
-            self.decoded.update(zip(part, self.decode(ids)))
+            self.known.update(zip(part, zip([x.encode() for x in ids], self.decode(ids))))
 
     def round_trip(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """For each text its ids (decimal, joined by blanks) and the bytes that these decode to."""
         for part in _portions(texts):
             split = [self.split(t) for t in part]
-            if len(self.ids) > CACHED:
-                self._forget()
-            fresh = sorted(set().union(*split).difference(self.ids), key=len)
+            if len(self.known) > CACHED:
+                self.known = {w: x for w, x in self.known.items() if len(w) <= SHORT}
+                if len(self.known) > CACHED // 2:
+                    self.known = {}
+            fresh = sorted(set().union(*split).difference(self.known), key=len)
             self.learn(fresh)
             for words in split:
-                yield b" ".join(map(self.ids.__getitem__, words)), b"".join(map(self.decoded.__getitem__, words))
+                found = list(map(self.known.__getitem__, words))
+                yield b" ".join([x[0] for x in found]), b"".join([x[1] for x in found])
             for w in reversed(fresh):
                 if len(w) <= REMEMBERED_LENGTH:
                     break
-                del self.ids[w], self.decoded[w]
-
-    def _forget(self) -> None:
-        self.ids = {w: x for w, x in self.ids.items() if len(w) <= SHORT}
-        if len(self.ids) > CACHED // 2:
-            self.ids = {}
-        self.decoded = {w: self.decoded[w] for w in self.ids}
+                del self.known[w]
 
 
 def _portions(texts: list[str]) -> Iterator[list[str]]:
