@@ -21,25 +21,31 @@ def concatenate(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def suffix_order(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(order, rank): the suffixes sorted by their first `depth` symbols (all if None), equal ones by position.
 
-    Prefix doubling: ranks by h symbols give ranks by up to 2h of them. Suffixes that agree
-    in the symbols compared have the same rank.
+    Prefix doubling: ranks by h symbols give ranks by up to 2h of them, beginning with as many
+    symbols as fit in one integer. Suffixes that agree in the symbols compared have the same
+    rank.
     """
     n = len(symbols)
     if not n:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     depth = n if depth is None else min(depth, n)
-    order = np.argsort(symbols, kind="stable")
-    rank = _ranks(symbols, order)
-    h = 1
+    bits = int(symbols.max()).bit_length()
+    h = max(1, min(62 // bits, depth))
+    key = symbols.copy()
+    for j in range(1, h):
+        key <<= bits
+        key[: n - j] |= symbols[j:]
+    order = np.argsort(key)
+    rank = _ranks(key, order)
     while h < depth and rank[order[-1]] < n - 1:
         step = min(h, depth - h)
         ahead = np.zeros(n, dtype=np.int64)
         ahead[: n - step] = rank[step:] + 1
         key = rank * (n + 1) + ahead
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rank = _ranks(key, order)
         h += step
-    return order, rank
+    return np.argsort(rank * n + np.arange(n)), rank
 
 
 def _ranks(key: np.ndarray, order: np.ndarray) -> np.ndarray:
