@@ -5,9 +5,9 @@ builds a graph of its vectors. Then blocks of queries meet every shard: all clas
 queries against all shards, in blocks of a bounded size. In each meeting a sample of the
 queries is audited against brute force over the shard, and the beam is doubled until the
 audit's recall is reached; a query whose whole beam lies above the threshold is widened on
-its own until its beam reaches below it, or holds the whole shard. Cosines are verified in
-double precision. A meeting returns a count per query and, for the components, a spanning
-forest of its links, never all pairs of a group.
+its own, to the whole shard, and so are all once the beam is a sixteenth of it. Cosines are
+verified in double precision. A meeting returns a count per query and, for the components, the
+smallest member that its links reach from each, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, wide
 from .components import connected_components
 from .hnsw import Graph
 
@@ -101,34 +101,26 @@ def find_links(graph: Graph, units: np.ndarray, queries: np.ndarray, cosine: flo
         return out
 
     margin = cosine - 1e-4  # the search works in single precision
-    while True:
+    while 16 * beam < n:
         found, near = graph.search(queries, beam)
         # Queries whose beam ends above the threshold may have more links beyond it.
         out = verified(np.arange(len(queries)), np.where(near >= margin, found, -1))
-        open_, wide = np.flatnonzero(near[:, -1] >= margin), beam
-        while len(open_) and wide < n:
-            wide = min(2 * wide, n)
-            for i in range(0, len(open_), 256):
-                part = open_[i : i + 256]
-                more, close = graph.search(queries[part], wide) if 4 * wide < n else _whole(units, queries[part], wide)
-                for row, links, last in zip(part, verified(part, np.where(close >= margin, more, -1)), close[:, -1]):
-                    out[row] = links
-                    near[row, -1] = last
-            open_ = open_[near[open_, -1] >= margin]
+        open_ = np.flatnonzero(near[:, -1] >= margin)
+        for row, links in zip(open_, _whole(units, queries[open_], cosine)):
+            out[row] = links
         hits = sum(int(truth[k, out[a]].sum()) for k, a in enumerate(audited))
-        if hits >= RECALL * truth.sum() or beam >= n:
+        if hits >= RECALL * truth.sum():
             return out
-        beam = min(2 * beam, n)
+        beam *= 2
+    return _whole(units, queries, cosine)  # a beam that wide costs more than looking at the whole shard
 
 
-def _whole(units: np.ndarray, queries: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
-    near = queries @ units.T
-    order = np.argsort(-near, axis=1, kind="stable")[:, :wide]
-    return order, np.take_along_axis(near, order, 1)
+def _whole(units: np.ndarray, queries: np.ndarray, cosine: float) -> list[np.ndarray]:
+    return [np.flatnonzero(row) for i in range(0, len(queries), 256) for row in (queries[i : i + 256] @ units.T) >= cosine]
 
 
 def _meet(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
-    """(a, b, n): n links of query a in the shard (b null), or the link a - b of a spanning forest (n null)."""
+    """(a, b, n): n links of query a in the shard (b null), or a is linked to b, the smallest that the meeting's links reach from it (n null)."""
     loaded: tuple = (None, None)
     for batch in batches:
         for row in range(batch.num_rows):
@@ -146,16 +138,15 @@ def _meet(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Recor
                     root[x] = x = root[root[x]]
                 return x
 
-            counted, edges = [], []
+            counted = []
             for q, at in zip(asked.tolist(), links):
                 at = at[ids[at] != q]
                 if len(at):
                     counted.append((q, int(copies[at].sum())))
                     for t in ids[at].tolist():
                         one, other = find(q), find(t)
-                        if one != other:
-                            root[max(one, other)] = min(one, other)
-                            edges.append((q, t))
+                        root[max(one, other)] = min(one, other)
+            edges = [(x, find(x)) for x in list(root) if find(x) != x]
             yield pa.record_batch(
                 [pa.array([c[0] for c in counted] + [e[0] for e in edges], pa.int64()), pa.array([None] * len(counted) + [e[1] for e in edges], pa.int64()), pa.array([c[1] for c in counted] + [None] * len(edges), pa.int64())],
                 names=["a", "b", "n"],
@@ -194,7 +185,7 @@ def embedding_dedup(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     asked = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     total = graphs.agg(F.sum(sum(F.octet_length(c) for c in ("graph", "units", "ids", "copies")))).first()[0] or 0
     if total <= BROADCAST:
-        met = asked.repartition(parts * shards, "block", "shard").join(F.broadcast(graphs), ["dim", "shard"])
+        met = asked.repartition(min(parts * shards, 8 * wide(spark)), "block", "shard").join(F.broadcast(graphs), ["dim", "shard"])
     else:  # each graph goes to several tasks, each with some blocks of queries
         salts = max(1, parts // 4)
         salted = graphs.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))

@@ -45,6 +45,33 @@ def _select(vectors: np.ndarray, own: np.ndarray, candidates: np.ndarray, m: int
     return out.astype(np.int32)
 
 
+def _connect(vectors: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """The links with further ones, so that every node can be reached from the first.
+
+    Tight groups may end up with links among themselves only. Each node out of reach gets a
+    link from the nearest node within reach, in a column added for it, until none is left.
+    """
+    n = len(links)
+    reached = np.zeros(n, dtype=bool)
+    frontier = np.zeros(1, dtype=np.int64)
+    while n:
+        while len(frontier):
+            reached[frontier] = True
+            ahead = np.unique(links[frontier])
+            frontier = ahead[(ahead >= 0) & ~reached[ahead]]
+        lost = np.flatnonzero(~reached)
+        if not len(lost):
+            break
+        inside = np.flatnonzero(reached)
+        source = np.concatenate([inside[(vectors[lost[i : i + 256]] @ vectors[inside].T).argmax(axis=1)] for i in range(0, len(lost), 256)])
+        heads, first = np.unique(source, return_index=True)
+        column = np.full((n, 1), -1, dtype=links.dtype)
+        column[heads, 0] = lost[first]
+        links = np.concatenate([links, column], axis=1)
+        frontier = lost[first].astype(np.int64)
+    return links
+
+
 class Graph:
     """vectors: rows of length 1. levels: top first, (node numbers, links as positions in that level)."""
 
@@ -85,7 +112,7 @@ class Graph:
             links[batch] = chosen
             self._link_back(vectors, links, batch, chosen, m)
             done = batch[-1] + 1
-        self.levels.append((nodes, links))
+        self.levels.append((nodes, _connect(vectors, links)))
 
     @staticmethod
     def _link_back(vectors: np.ndarray, links: np.ndarray, batch: np.ndarray, chosen: np.ndarray, m: int) -> None:
