@@ -115,7 +115,7 @@ def piece_lengths(n: int, limit: int) -> list[int]:
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, limit: int, end_id: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
     words, end = words_of(path), end_id.to_bytes(4, "little")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
-    for batch in batches:
+    for batch in (whole.slice(i, 2000) for whole in batches for i in range(0, whole.num_rows, 2000)):
         rows: list[list] = [[] for _ in names]
         texts = [t or "" for t in batch.column(1).to_pylist()]
         for doc_id, ids in zip(batch.column(0).to_pylist(), words.encode(texts)):
