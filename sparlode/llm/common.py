@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import functools
+import gc
 import os
 import tempfile
 import uuid
@@ -13,6 +14,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000
 _SHIPPED: set[str] = set()
 _ROOTS: list[tuple] = []
 
@@ -80,10 +83,30 @@ class Scratch:
         _ROOTS.append(_folder(spark, self.root))
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        """Write a table and read it again.
+
+        While it is written, batches for Python hold at most BATCH_ROWS rows: rows hold whole
+        texts, and an executor has a batch in each direction for every core.
+        """
+        path, conf = f"{self.root}/{name}", self.spark.conf
+        before = conf.get(_BATCH, None)
+        if before is None or not 0 < int(before) <= BATCH_ROWS:
+            conf.set(_BATCH, str(BATCH_ROWS))
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            conf.unset(_BATCH) if before is None else conf.set(_BATCH, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished jobs now; it does so when the driver's JVM collects their plans.
+
+        The plan that ran last is still held, so a tiny one takes its place.
+        """
+        gc.collect()
+        self.spark.range(1).write.format("noop").mode("overwrite").save()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, name: str) -> None:
         fs, where = _folder(self.spark, f"{self.root}/{name}")
         fs.delete(where, True)

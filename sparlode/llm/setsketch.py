@@ -73,7 +73,7 @@ SKETCHES = "id long, n long, hi long, lo long, registers binary"
 
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _sliced(batches, 2000):
         ids, out = batch.column(0), ([], [], [], [])
         for text in batch.column(1):
             found = shingles(word_hashes(text.as_py()), width)
@@ -96,8 +96,15 @@ def bands(classes: DataFrame) -> DataFrame:
     return classes.select(F.explode(keys).alias("key"), "id", "n")
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, where what is made of a row is larger than the row."""
     for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for batch in _sliced(batches):
         found = [shingles(word_hashes(t.as_py()), width).tobytes() for t in batch.column(1)]
         yield pa.record_batch([batch.column(0), batch.column(2), pa.array(found, pa.binary())], names=["id", "registers", "elements"])
 
@@ -114,10 +121,8 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _sliced(batches):
         a, b, ea, eb, ra, rb = (batch.column(k) for k in ("a", "b", "elements_a", "elements_b", "registers_a", "registers_b"))
-        if not batch.num_rows:
-            continue
         rx, ry = (np.frombuffer(b"".join(r.to_pylist()), dtype="<u2").reshape(-1, REGISTERS) for r in (ra, rb))
         sets = [[np.frombuffer(e.as_buffer(), dtype=np.uint64) for e in column] for column in (ea, eb)]
         likely = joint_estimate(rx, ry, *(np.array([len(x) for x in column]) for column in sets)) >= percent / 100 - SLACK
