@@ -1,17 +1,21 @@
 """Removal of repeated paragraphs by MinHash banding.
 
-Paragraphs are the lines of a text with at least `min_words` words. Equal shingle sets are one
+The units that repeat in real texts are seldom whole lines: a passage may stand inside a longer
+one. A paragraph here is a sentence of at least `min_words` words, or the short sentences between
+two such sentences of a line if together they have as many words. Where a passage lies in a line
+changes at most its first and last unit. Equal shingle sets are one
 class; classes that share a band of MinHash values are compared on their full sets, first
 with the smallest class of their bucket, then, where a bucket still holds several components,
 in blocks. Components of links are clusters, and all paragraphs of a cluster but the first
 (in order of document id and place) are removed. The number of bands follows from the recall
-that a pair at the threshold must have.
+that a pair at the threshold must have; pairs above it are found more surely.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +26,11 @@ from pyspark.sql import functions as F
 from .common import Scratch
 from .components import connected_components
 from .setsketch import linked, residual_links
-from .shingles import mix, shingles, word_hashes
+from .shingles import all_shingles, mix
 from .suffix_dedup import remove
 
 #: Values in a band, and the chance with which a pair at the threshold must share one.
-BAND, RECALL = 3, 0.9999
+BAND, RECALL = 2, 0.98
 _rng = np.random.default_rng(20240302)
 _A = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, 256, dtype=np.uint64)
@@ -37,52 +41,81 @@ def bands_needed(similarity: float, recall: float = RECALL, band: int = BAND) ->
     return math.ceil(math.log(1.0 - recall) / math.log(1.0 - similarity**band))
 
 
-def band_keys(elements: np.ndarray, bands: int) -> np.ndarray:
-    """A 64-bit key for each band of the MinHash values of a set."""
-    low = np.full(bands * BAND, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for i in range(0, len(elements), 4096):
-        np.minimum(low, (elements[i : i + 4096, None] * _A[None, : len(low)] + _B[None, : len(low)]).min(axis=0), out=low)
-    key = np.arange(1, bands + 1, dtype=np.uint64)
+def band_keys(elements: np.ndarray, begins: np.ndarray, bands: int) -> np.ndarray:
+    """A 64-bit key for each band (columns) of the MinHash values of each set (rows); the sets lie one after the other."""
+    n = bands * BAND
+    low = np.empty((len(begins), n), dtype=np.uint64)
+    if len(elements) <= 1 << 15:
+        np.minimum.reduceat(elements[:, None] * _A[None, :n] + _B[None, :n], begins, axis=0, out=low)
+    else:
+        for k in range(n):
+            low[:, k] = np.minimum.reduceat(elements * _A[k] + _B[k], begins)
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(begins), bands))
     for j in range(BAND):
-        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + low[j::BAND])
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + low[:, j::BAND])
     return key.view(np.int64)
 
 
-def lines(data: bytes, min_words: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """(number, begin, end, line) of the paragraphs; end is past the line's newline."""
-    begin = number = 0
-    for line in data.split(b"\n"):
-        end = min(begin + len(line) + 1, len(data))
-        if len(line) > 2 * min_words - 2 and len(line.split()) >= min_words:
-            yield number, begin, end, line
-        number += 1
-        begin = end
+#: A sentence with the blanks after it, else the rest of a line.
+PIECE = re.compile(rb"[^\n]*?[.!?][ \t]+\n?|[^\n]*\n|[^\n]+")
+
+
+def units(data: bytes, min_words: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(begin, end, lower-case words) of the paragraphs; a newline belongs to the last of its line."""
+    at = 0
+    begin, words = 0, []  # the short sentences waiting
+    for piece in PIECE.findall(data.lower()):
+        found = piece.split()
+        end = at + len(piece)
+        if len(found) >= min_words:
+            if len(words) >= min_words:
+                yield begin, at, words
+            yield at, end, found
+            begin, words = end, []
+        else:
+            words += found
+            if piece.endswith(b"\n"):
+                if len(words) >= min_words:
+                    yield begin, end, words
+                begin, words = end, []
+        at = end
+    if len(words) >= min_words:
+        yield begin, at, words
 
 
 def _paragraph_rows(batches: Iterator[pa.RecordBatch], min_words: int, width: int, bands: int) -> Iterator[pa.RecordBatch]:
-    names = ["row", "id", "place", "n", "hi", "lo", "keys"]
-    kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())]
+    names = ["row", "id", "place", "past", "hi", "lo", "keys"]
     for batch in batches:
-        for i in range(0, batch.num_rows, 1024):
-            part = batch.slice(i, 1024)
-            rows: list[list] = [[] for _ in names]
+        for i in range(0, batch.num_rows, 512):
+            part = batch.slice(i, 512)
+            rows: list[list] = [[] for _ in names[:-1]]
+            keys = [np.zeros((0, bands), dtype=np.int64)]
             for row, doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)):
-                for place, _, _, line in lines((text.as_py() or "").encode(), min_words):
-                    found = shingles(word_hashes(line), width)
-                    digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                    for column, value in zip(rows, (row, doc_id, place, len(found), int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), band_keys(found, bands))):
+                found = list(units((text.as_py() or "").encode(), min_words))
+                if not found:
+                    continue
+                elements, begins = all_shingles([words for *_, words in found], width)
+                keys.append(band_keys(elements, begins, bands))
+                ends = [*begins[1:].tolist(), len(elements)]
+                for (place, past, _), a, b in zip(found, begins.tolist(), ends):
+                    digest = hashlib.blake2b(elements[a:b].tobytes(), digest_size=16).digest()
+                    for column, value in zip(rows, (row, doc_id, place, past, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True))):
                         column.append(value)
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
+            flat = np.concatenate(keys)
+            offsets = pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands)
+            yield pa.record_batch([*(pa.array(c, pa.int64()) for c in rows), pa.ListArray.from_arrays(offsets, pa.array(flat.ravel()))], names=names)
 
 
 def _wanted_sets(batches: Iterator[pa.RecordBatch], min_words: int, width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             wanted = {x["place"]: x for x in batch.column(1)[i].as_py()}
-            out = [(wanted[place]["cls"], wanted[place]["keys"], shingles(word_hashes(line), width).tobytes()) for place, _, _, line in lines((batch.column(0)[i].as_py() or "").encode(), min_words) if place in wanted]
-            if out:
-                ids, keys, elements = zip(*out)
-                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([np.array(k, dtype=np.int64).tobytes() for k in keys], pa.binary()), pa.array(elements, pa.binary())], names=["id", "registers", "elements"])
+            found = [(wanted[begin], words) for begin, _, words in units((batch.column(0)[i].as_py() or "").encode(), min_words) if begin in wanted]
+            if found:
+                elements, begins = all_shingles([words for _, words in found], width)
+                sets = [x.tobytes() for x in np.split(elements, begins[1:])]
+                keys = [np.array(x["keys"], dtype=np.int64).tobytes() for x, _ in found]
+                yield pa.record_batch([pa.array([x["cls"] for x, _ in found], pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["id", "registers", "elements"])
 
 
 def _star_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -124,52 +157,58 @@ def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
 
-def _without(batches: Iterator[pa.RecordBatch], min_words: int, with_text: bool) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_paragraphs", "removed", *["kept"] * with_text]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int64()), *[pa.string()] * with_text]
+def _without(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", *["kept"] * with_text]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), *[pa.string()] * with_text]
     for batch in batches:
         rows: list[list] = [[] for _ in names]
         for i, doc_id in enumerate(batch.column(0).to_pylist()):
             data = (batch.column(1)[i].as_py() or "").encode()
-            gone = set(batch.column(2)[i].as_py() or [])
-            found = [(number, begin, end) for number, begin, end, _ in lines(data, min_words)]
-            kept, spans = remove(data, [(begin, end) for number, begin, end in found if number in gone])
-            values = (doc_id, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), len(found), sorted(gone), kept.decode())
+            gone = sorted((x["place"], x["past"]) for x in batch.column(2)[i].as_py() or [])
+            kept, spans = remove(data, gone)
+            values = (doc_id, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), [x[0] for x in gone], kept.decode())
             for column, value in zip(rows, values):
                 column.append(value)
         yield pa.record_batch([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
 
 
 def paragraph_dedup(
-    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10, percent: int = 75, width: int = 5, with_text: bool = False
+    spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 8, percent: int = 75, width: int = 5, with_text: bool = False
 ) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed (bytes), n_spans, kept_sha256, n_paragraphs, removed.
+    """One row per document: doc_id, n_bytes, n_removed (bytes), n_spans, kept_sha256, removed.
 
     Paragraphs of at least min_words words are linked when the Jaccard similarity of their
     sets of `width`-word shingles is at least percent / 100; of each component of links the
-    first paragraph, by document id and place, stays. removed lists the line numbers (from 0)
-    that go, with their newline. Shorter lines are never removed. with_text adds the
+    first paragraph, by document id and place, stays. removed lists the byte offsets at which
+    the paragraphs begin that go, with the blanks or newline after them. Text that is in no
+    paragraph is never removed. with_text adds the
     remaining text. Null texts are empty. Rows repeated under one id with one text are one
     document and marked alike; a null id comes first in order and stays null. An empty table
     gives an empty result; other columns are ignored.
     """
+    if min_words < width:
+        raise ValueError("min_words must be at least width")
     scratch = Scratch(spark, "paragraphs")
     text = F.col(f"`{text_col}`")
     bands = bands_needed(percent / 100)
     source = docs.select(F.xxhash64(F.col(f"`{id_col}`"), text).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
-    every = scratch.put(source.mapInArrow(lambda it: _paragraph_rows(it, min_words, width, bands), "row long, id long, place long, n long, hi long, lo long, keys array<long>"), "paragraphs")
+    every = scratch.put(source.mapInArrow(lambda it: _paragraph_rows(it, min_words, width, bands), "row long, id long, place long, past long, hi long, lo long, keys array<long>"), "paragraphs")
     lead = F.struct(F.coalesce("id", F.lit(-(2**63))).alias("id"), "row", "place")
-    grouped = every.groupBy("hi", "lo").agg(F.min(F.struct(lead.alias("lead"), "n", "keys")).alias("r"), F.count("*").alias("copies"))
+    grouped = every.groupBy("hi", "lo").agg(F.min(F.struct(lead.alias("lead"), "keys")).alias("r"), F.count("*").alias("copies"))
     # The number of a class is written with it, so it does not change when a task is run again.
-    classes = scratch.put(grouped.select(F.monotonically_increasing_id().alias("cls"), "hi", "lo", "copies", "r.lead", "r.n", "r.keys"), "classes")
-    band = classes.select(F.explode("keys").alias("key"), F.col("cls").alias("id"), "n")
-    first = band.groupBy("key").agg(F.min(F.struct("id", "n")).alias("first"), F.count("*").alias("c")).where("c > 1").select("key", "first")
-    member = scratch.put(band.join(first, "key").select("key", "id", "n", "first"), "members")
+    classes = scratch.put(grouped.select(F.monotonically_increasing_id().alias("cls"), "hi", "lo", "copies", "r.lead", "r.keys"), "classes")
+    places = scratch.put(every.drop("keys"), "places")
+    scratch.drop("paragraphs")
+    scratch.release()
+    band = classes.select(F.explode("keys").alias("key"), F.col("cls").alias("id"))
+    first = band.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").select("key", "first")
+    member = scratch.put(band.join(first, "key").select("key", "id", "first"), "members")
+    scratch.release()
     wanted = classes.join(member.select(F.col("id").alias("cls")).distinct(), "cls").select(F.col("lead.row").alias("row"), F.struct("cls", F.col("lead.place").alias("place"), "keys").alias("x"))
     listed = wanted.groupBy("row").agg(F.collect_list("x").alias("listed"))
     texts = source.select("row", "text").join(listed, "row").select("text", "listed")
     sets = scratch.put(texts.mapInArrow(lambda it: _wanted_sets(it, min_words, width), "id long, registers binary, elements binary"), "sets")
-    star = member.where((F.col("id") != F.col("first.id")) & (100 * F.least("n", "first.n") >= percent * F.greatest("n", "first.n"))).select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct()
+    star = member.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     sides = [sets.select(F.col("id").alias(x), F.col("elements").alias(f"elements_{x}")) for x in "ab"]
     pairs = star.join(sides[0], "a").join(sides[1], "b").select("a", "b", "elements_a", "elements_b")
     links = scratch.put(pairs.mapInArrow(lambda it: _star_links(it, percent), "a long, b long"), "links")
@@ -182,9 +221,9 @@ def paragraph_dedup(
     placed = scratch.put(placed.where("copies > 1 OR node IS NOT NULL").drop("node"), "placed")
     keeper = placed.groupBy("component").agg(F.min("lead").alias("keeper"))
     told = placed.join(keeper, "component").select("hi", "lo", "keeper")
-    gone = every.drop("keys").join(told, ["hi", "lo"]).where((F.col("row") != F.col("keeper.row")) | (F.col("place") != F.col("keeper.place")))
-    gone = scratch.put(gone.groupBy("row").agg(F.collect_set("place").alias("removed")), "gone")
-    for name in ("paragraphs", "classes"):
+    gone = places.join(told, ["hi", "lo"]).where((F.col("row") != F.col("keeper.row")) | (F.col("place") != F.col("keeper.place")))
+    gone = scratch.put(gone.groupBy("row").agg(F.collect_set(F.struct("place", "past")).alias("removed")), "gone")
+    for name in ("places", "classes"):
         scratch.drop(name)
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_paragraphs long, removed array<long>" + ", kept string" * with_text
-    return source.join(gone, "row", "left").select("id", "text", "removed").mapInArrow(lambda it: _without(it, min_words, with_text), schema)
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>" + ", kept string" * with_text
+    return source.join(gone, "row", "left").select("id", "text", "removed").mapInArrow(lambda it: _without(it, with_text), schema)

@@ -122,14 +122,21 @@ FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN size s ON s.doc_i
 """
 
 OP5_SQL = r"""
-WITH RECURSIVE line AS (
-    SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) - 1 AS place, len(ls) AS many
-    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+WITH RECURSIVE piece AS (
+    SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS k
+    FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\n]*?[.!?][ \t]+\n?|[^\n]*\n|[^\n]+') AS ps FROM documents)
+), counted AS (
+    SELECT *, len(regexp_extract_all(p, '[^\x20\x09-\x0D]+')) >= 8 AS long FROM piece
+), begun AS (
+    SELECT *, long OR coalesce(lag(long) OVER w, TRUE) OR suffix(lag(p) OVER w, chr(10)) AS opens, coalesce(sum(strlen(p)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spot
+    FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+), numbered AS (
+    SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM begun
 ), split AS (
-    SELECT *, l || CASE WHEN place < many - 1 THEN chr(10) ELSE '' END AS piece,
-           regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM line
+    SELECT doc_id, run, CAST(min(spot) AS BIGINT) AS place, string_agg(p, '' ORDER BY k) AS piece,
+           regexp_extract_all(translate(string_agg(p, '' ORDER BY k), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM numbered GROUP BY doc_id, run
 ), para AS (
-    SELECT row_number() OVER (ORDER BY doc_id, place) AS pid, doc_id, place, words FROM split WHERE len(words) >= 10
+    SELECT row_number() OVER (ORDER BY doc_id, place) AS pid, doc_id, place, words FROM split WHERE len(words) >= 8
 ), shingle AS (
     SELECT DISTINCT pid, unnest(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS s FROM para
 ), size AS (
@@ -145,14 +152,14 @@ WITH RECURSIVE line AS (
 ), gone AS (
     SELECT p.doc_id, p.place FROM para p JOIN reach r USING (pid) GROUP BY p.pid, p.doc_id, p.place HAVING min(r.other) <> p.pid
 ), marked AS (
-    SELECT s.*, g.place IS NOT NULL AS out, len(words) >= 10 AS is_para FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.place = s.place
+    SELECT s.*, g.place IS NOT NULL AS out FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.place = s.place
 ), runs AS (
     SELECT *, out AND NOT coalesce(lag(out) OVER (PARTITION BY doc_id ORDER BY place), FALSE) AS opens FROM marked
 )
-SELECT doc_id, CAST(sum(strlen(piece)) AS BIGINT) AS n_bytes, CAST(coalesce(sum(strlen(piece)) FILTER (WHERE out), 0) AS BIGINT) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
-       sha256(coalesce(string_agg(piece, '' ORDER BY place) FILTER (WHERE NOT out), '')) AS kept_sha256, count(*) FILTER (WHERE is_para) AS n_paragraphs,
+SELECT d.doc_id, any_value(strlen(coalesce(d.text, ''))) AS n_bytes, CAST(coalesce(sum(strlen(piece)) FILTER (WHERE out), 0) AS BIGINT) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+       sha256(coalesce(string_agg(piece, '' ORDER BY place) FILTER (WHERE NOT out), '')) AS kept_sha256,
        coalesce(list(place ORDER BY place) FILTER (WHERE out), []) AS removed
-FROM runs GROUP BY doc_id
+FROM documents d LEFT JOIN runs ON runs.doc_id = d.doc_id GROUP BY d.doc_id
 """
 
 OP6_SQL = """

@@ -33,3 +33,22 @@ def shingles(words: np.ndarray, width: int = 5) -> np.ndarray:
     for j in range(took):
         total += mix(words[j : n - took + 1 + j] + np.uint64(j)) * _POSITION[j % 5]
     return np.unique(mix(total))
+
+
+def all_shingles(split: list[list[bytes]], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of several texts of at least `width` lower-case words, as `shingles` gives them, one after the other, and where each text's begin."""
+    size = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+    words = np.fromiter((xxh3_64_intdigest(w) for ws in split for w in ws), dtype=np.uint64, count=int(size.sum()))
+    many = size - width + 1
+    text = np.repeat(np.arange(len(split)), many)
+    at = np.arange(int(many.sum())) + text * (width - 1)
+    total = np.full(len(at), width, dtype=np.uint64)
+    for j in range(width):
+        total += (mix(words + np.uint64(j)) * _POSITION[j % 5])[at + j]
+    total = mix(total)
+    order = np.lexsort((total, text))
+    total, text = total[order], text[order]
+    first = np.ones(len(total), dtype=bool)
+    first[1:] = (total[1:] != total[:-1]) | (text[1:] != text[:-1])
+    total, text = total[first], text[first]
+    return total, np.searchsorted(text, np.arange(len(split)))

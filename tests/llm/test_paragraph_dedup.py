@@ -1,18 +1,21 @@
 import random
 
-from sparlode.llm.paragraph_dedup import bands_needed, paragraph_dedup
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sparlode.llm.paragraph_dedup import BAND, RECALL, band_keys, bands_needed, paragraph_dedup, units
+from sparlode.llm.shingles import all_shingles, shingles, word_hashes
 
 from .conftest import LONG, by_id
 
 
-def brute(rows, min_words=10, percent=75):
-    """Line numbers that go, by comparing all pairs of lines."""
+def brute(rows, min_words=8, percent=75):
+    """Offsets that go, by comparing all pairs of paragraphs."""
     items = []
     for i, t in sorted(rows):
-        for place, line in enumerate((t or "").encode().split(b"\n")):
-            w = line.lower().split()
-            if len(w) >= min_words:
-                items.append((i, place, {tuple(w[k : k + 5]) for k in range(len(w) - 4)}))
+        for begin, _, w in units((t or "").encode(), min_words):
+            items.append((i, begin, {tuple(w[k : k + 5]) for k in range(len(w) - 4)}))
     root = list(range(len(items)))
 
     def find(x):
@@ -25,9 +28,9 @@ def brute(rows, min_words=10, percent=75):
                 one, other = find(a), find(b)
                 root[max(one, other)] = min(one, other)
     gone = {i: [] for i, _ in rows}
-    for k, (i, place, _) in enumerate(items):
+    for k, (i, begin, _) in enumerate(items):
         if find(k) != k:
-            gone[i].append(place)
+            gone[i].append(begin)
     return {i: [(sorted(v),)] for i, v in gone.items()}
 
 
@@ -68,4 +71,41 @@ def test_repeated_rows_and_null_ids(shipped, docs):
 
 def test_bands():
     b = bands_needed(0.75)
-    assert 1 - (1 - 0.75**3) ** b >= 0.9999 > 1 - (1 - 0.75**3) ** (b - 1)
+    assert 1 - (1 - 0.75**BAND) ** b >= RECALL > 1 - (1 - 0.75**BAND) ** (b - 1)
+
+
+def test_sets_together_as_one_by_one():
+    split = [t.lower().encode().split() for _, t in sample() if t and len(t.split()) >= 5]
+    elements, begins = all_shingles(split)
+    ends = [*begins[1:], len(elements)]
+    assert [elements[a:b].tolist() for a, b in zip(begins, ends)] == [shingles(word_hashes(b" ".join(w))).tolist() for w in split]
+    keys = band_keys(elements, begins, 12)
+    assert (keys == np.concatenate([band_keys(elements[a:b], np.zeros(1, dtype=np.int64), 12) for a, b in zip(begins, ends)])).all()
+    assert (band_keys(np.tile(elements, 200)[: 1 << 16], np.zeros(1, dtype=np.int64), 12) == band_keys(elements, np.zeros(1, dtype=np.int64), 12)).all()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab. !\n\t", max_size=80))
+def test_units_partition_what_they_cover(text):
+    data = text.encode()
+    at = 0
+    for begin, end, words in units(data, 3):
+        assert at <= begin < end <= len(data) and words == data[begin:end].split() and len(words) >= 3
+        assert b"\n" not in data[begin : end - 1]
+        at = end
+
+
+def test_passage_inside_lines():
+    """Whatever surrounds a passage, its inner sentences are the same units."""
+    passage = "First of all this begins. Then comes a sentence that has more than eight words in it. Short. Another sentence of the passage that is long enough to count, too."
+    found = [{bytes(f"{a}{passage}{b}".encode()[x:y]).strip() for x, y, _ in units(f"{a}{passage}{b}".encode(), 8)} for a, b in (("", ""), ("some words before ", " and some after"), ("One. Two three.\n", "\nEnd."))]
+    assert len(set.intersection(*found)) >= 2
+
+
+def test_passage_goes_from_all_but_one(shipped, docs):
+    rng = random.Random(9)
+    passage = " ".join(" ".join(rng.choice("abcdefghij") * rng.randrange(2, 9) + str(rng.randrange(50)) for _ in range(n)).capitalize() + "." for n in (10, 14, 9, 22))
+    other = lambda n: " ".join(f"u{rng.random()}" for _ in range(n))
+    rows = [(i, f"{other(20)} {passage} {other(15)}") for i in range(1, 30)]
+    got = by_id(paragraph_dedup(shipped, docs(rows)), "n_removed")
+    assert got[1] == [(0,)] and all(got[i][0][0] > 0.5 * len(passage) for i in range(2, 30))
