@@ -30,7 +30,7 @@ from .shingles import all_shingles, mix
 from .suffix_dedup import remove
 
 #: Values in a band, and the chance with which a pair at the threshold must share one.
-BAND, RECALL = 2, 0.98
+BAND, RECALL = 2, 0.9999
 _rng = np.random.default_rng(20240302)
 _A = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, 256, dtype=np.uint64)

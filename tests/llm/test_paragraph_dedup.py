@@ -74,6 +74,10 @@ def test_bands():
     assert 1 - (1 - 0.75**BAND) ** b >= RECALL > 1 - (1 - 0.75**BAND) ** (b - 1)
 
 
+def test_a_pair_at_the_threshold_is_hardly_missed():
+    assert (1 - 0.75**BAND) ** bands_needed(0.75) <= 1e-4
+
+
 def test_sets_together_as_one_by_one():
     split = [t.lower().encode().split() for _, t in sample() if t and len(t.split()) >= 5]
     elements, begins = all_shingles(split)
