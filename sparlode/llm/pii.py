@@ -7,18 +7,24 @@ wherever it occurs, in any document and on any executor, without a shared table.
 a format carries (card checksums, octets of an address, hexadecimal digits, a key's prefix)
 hold for the replacement when they held for the value. Known given names change to given
 names of the same gender and script and known surnames to surnames, by a permutation of the
-list; other name words change letter by letter, vowels to vowels.
+list; other name words change letter by letter, vowels to vowels; letters of other scripts
+change to letters of the same script.
 
-`collisions` checks the outcome over a corpus: replacements that stand for two values, values
-with two replacements, and replacements that are themselves somebody's value.
+Before anything is replaced, the surrogates of the whole corpus are checked: a value whose
+surrogate is another value's too, or the value itself, gets a further choice under another key.
+`collisions` reports on an outcome: replacements that stand for two values, values with two
+replacements, and replacements that are themselves somebody's value.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+import sys
+import unicodedata
+from collections import defaultdict
 from collections.abc import Iterator
-from hashlib import blake2b
+from hashlib import blake2b, sha256
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,11 +47,18 @@ TITLES = {"Mr": "male", "Mrs": "female", "Ms": "female", "Miss": "female", "Dr":
 #: Alphabets that characters are permuted in, by the order tried.
 ALPHABETS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ"]
 HEX, CODE = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-ROUNDS = 8
+#: For secrets without a Latin letter or digit.
+SYMBOLS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
+#: Rounds of a permutation, and choices for a value whose surrogates collide.
+ROUNDS, CHOICES = 8, 8
 
 _GIVEN = {n: (kind, k) for kind, names in GIVEN.items() for k, n in enumerate(names)}
 _SURNAME = {n: (kind, k) for kind, names in SURNAMES.items() for k, n in enumerate(names)}
-_NAME_WORD = r"[^\W\d_a-zа-яα-ω][^\W\d_]+"
+#: Vowel signs and other marks, which are parts of words in many scripts.
+_MARKS = "".join(f"{chr(a)}-{chr(b)}" for a, b in [(0x300, 0x36F), (0x483, 0x487), (0x591, 0x5BD), (0x5BF, 0x5BF), (0x5C1, 0x5C2), (0x5C4, 0x5C5), (0x610, 0x61A), (0x64B, 0x65F), (0x670, 0x670), (0x6D6, 0x6DC), (0x900, 0x903), (0x93A, 0x93C), (0x93E, 0x94F), (0x981, 0x983), (0x9BC, 0x9BC), (0x9BE, 0x9CD), (0xA01, 0xA03), (0xA3C, 0xA51), (0xA81, 0xA83), (0xABC, 0xABC), (0xABE, 0xACD), (0xB01, 0xB03), (0xB3E, 0xB4D), (0xB82, 0xB82), (0xBBE, 0xBCD), (0xC00, 0xC04), (0xC3E, 0xC4D), (0xC81, 0xC83), (0xCBE, 0xCCD), (0xD00, 0xD03), (0xD3E, 0xD4D), (0xE31, 0xE31), (0xE34, 0xE3A), (0xE47, 0xE4E), (0x102B, 0x103E)])
+_WORD = rf"[^\W\d_](?:[^\W\d_]|[{_MARKS}])*"
+_NAME_WORD = rf"(?![a-zа-яα-ω])[^\W\d_](?:[^\W\d_]|[{_MARKS}])+"
+_END = rf"(?![\w{_MARKS}])"
 
 PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,24}(?![\w-]))"
@@ -57,7 +70,7 @@ PATTERN = re.compile(
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w.-])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}(?![\w-]))"
 )
-NAMES = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES)})\.? (?P<after>{_NAME_WORD}(?: {_NAME_WORD})?)|(?P<given>{'|'.join(_GIVEN)}) (?P<surname>{'|'.join(_SURNAME)}))\b")
+NAMES = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES)})\.? (?P<after>{_NAME_WORD}(?: {_NAME_WORD})?)|(?P<given>{'|'.join(_GIVEN)}) (?P<surname>{'|'.join(_SURNAME)})){_END}")
 #: What must be in a text for PATTERN to be worth running.
 HINT = re.compile(r"[0-9@]|(?i:password=|token)")
 
@@ -99,9 +112,23 @@ def _digits(n: int, radices: list[int]) -> list[int]:
     return out[::-1]
 
 
-def _by_alphabet(key: bytes, kind: str, value: str, alphabets: list[str], cased: bool) -> str:
+@functools.cache
+def _other_alphabets() -> dict[str, str]:
+    """The alphabet, at least two letters of one script and sort, of every letter outside ALPHABETS."""
+    known, groups = set("".join(ALPHABETS)), defaultdict(list)
+    for c in map(chr, range(0x80, sys.maxunicode + 1)):
+        if c.isalpha() and c not in known and (c.lower() == c or len(c.lower()) > 1):
+            name = unicodedata.name(c, "OTHER LETTER").split()
+            block = -1 if "\u4e00" <= c <= "\u9fff" or "\uac00" <= c <= "\ud7a3" else ord(c) >> 7
+            groups[name[0], *name[1:2], block, len(c.upper()) == 1 and c.upper().lower() == c].append(c)
+    alone = [c for g in groups.values() if len(g) == 1 for c in g]
+    return {c: "".join(g if len(g) > 1 else alone) for g in groups.values() for c in g}
+
+
+def _by_alphabet(key: bytes, kind: str, value: str, alphabets: list[str], cased: bool, others: bool = False) -> str:
     """Permutes the characters of value that are in one of the alphabets; others stay and are part of the format.
 
+    others: letters in none of the alphabets are permuted with those of their script.
     cased: upper and lower case are different characters' values (each keeps its case);
     otherwise values that differ in case are the same value and get the same replacement.
     """
@@ -109,13 +136,15 @@ def _by_alphabet(key: bytes, kind: str, value: str, alphabets: list[str], cased:
     for c in value:
         low = c.lower()
         alphabet = next((a for a in alphabets if low in a or c in a), None) if len(low) == 1 else None
+        if alphabet is None and others and not c.isascii():
+            alphabet = _other_alphabets().get(low) or _other_alphabets().get(c)
         if alphabet is None:
             shape.append(c if cased else low)
             continue
         digits.append(alphabet.index(c if c in alphabet else low))
         radices.append(len(alphabet))
         places.append((alphabet, c.isupper() and c not in alphabet))
-        shape.append(f"\x1e{alphabets.index(alphabet)}{'U' if cased and c.isupper() else ''}")
+        shape.append(f"\x1e{alphabets.index(alphabet) if alphabet in alphabets else alphabet[0]}{'U' if cased and c.isupper() else ''}")
     new = iter(zip(permute(key, kind + "\x1d" + "".join(shape), digits, radices), places))
     out = []
     for s in _chars(shape, value):
@@ -168,6 +197,8 @@ def surrogate(key: bytes, kind: str, value: str) -> str:
     if kind == "secret":
         if all(c in HEX for c in value.lower()):
             return _by_alphabet(key, "hex", value, [HEX], True)
+        if not any(c.isascii() and c.isalnum() for c in value):
+            return _by_alphabet(key, "symbols", value, [SYMBOLS], True, True)
         new = value
         while True:  # cycle-walking: never become what a hexadecimal value can become
             new = _by_alphabet(key, "secret", new, ["0123456789", "abcdefghijklmnopqrstuvwxyz"], True)
@@ -184,8 +215,8 @@ def surrogate(key: bytes, kind: str, value: str) -> str:
     raise ValueError(f"no such kind: {kind}")
 
 
-def name_surrogate(key: bytes, word: str, gender: str = "") -> str:
-    """The replacement of one word of a name, of the same gender and script, in the same case."""
+def name_surrogate(key: bytes, word: str) -> str:
+    """The replacement of one word of a name, of the same script (and gender, where listed), in the same case; it depends on nothing but the word."""
     plain = word.capitalize()
     for table, lists, tag in ((_GIVEN, GIVEN, "given"), (_SURNAME, SURNAMES, "surname")):
         if plain in table:
@@ -197,17 +228,22 @@ def name_surrogate(key: bytes, word: str, gender: str = "") -> str:
     else:
         new = plain
         while True:  # cycle-walking past the lists, whose names stand for each other
-            new = _by_alphabet(key, "name" + gender, new, ALPHABETS, False).capitalize()
+            new = _by_alphabet(key, "name", new, ALPHABETS, False, True).capitalize()
             if new not in _GIVEN and new not in _SURNAME:
                 break
     return new.upper() if word.isupper() and len(word) > 1 else new
 
 
+def _told(kind: str, value: str) -> str:
+    """SHA-256 of a value as compared (case folded)."""
+    return sha256((value.lower() if kind in ("email", "name", "ip") else value).encode("utf-8", "surrogatepass")).hexdigest()
+
+
 class Replacer:
-    """Finds and replaces personal data in texts."""
+    """Finds and replaces personal data in texts; `choices` has the number of the choice of values whose first one collides."""
 
-    def __init__(self, key: bytes):
-        self.key = key
+    def __init__(self, key: bytes, choices: dict[tuple[str, str], int] | None = None):
+        self.key, self.choices = key, choices or {}
         self.known: dict[tuple[str, str], str] = {}
 
     def value(self, kind: str, value: str) -> str:
@@ -215,7 +251,9 @@ class Replacer:
         if found is None:
             if len(self.known) > 100_000:
                 self.known.clear()
-            found = self.known[kind, value] = surrogate(self.key, kind, value)
+            choice = self.choices.get((kind, _told(kind, value)), 0) if self.choices else 0
+            key = blake2b(b"choice %d" % choice, key=self.key).digest() if choice else self.key
+            found = self.known[kind, value] = name_surrogate(key, value) if kind == "name" else surrogate(key, kind, value)
         return found
 
     def find(self, text: str) -> list[tuple[int, int, str, str]]:
@@ -230,14 +268,13 @@ class Replacer:
         people: dict[str, str] = {}
         named = []
         for m in NAMES.finditer(text):
-            gender = TITLES[m["title"]] if m["title"] else _GIVEN[m["given"]][0][1]
             group = ("after",) if m["title"] else ("given", "surname")
             for g in group:
-                for w in re.finditer(r"[^\W\d_]+", m[g]):
-                    people[w[0]] = name_surrogate(self.key, w[0], gender)
+                for w in re.finditer(_WORD, m[g]):
+                    people[w[0]] = self.value("name", w[0])
                     named.append((m.start(g) + w.start(), m.start(g) + w.end()))
         if people:  # later mentions by one word of the name
-            for m in re.finditer(rf"\b(?:{'|'.join(map(re.escape, sorted(people)))})\b", text):
+            for m in re.finditer(rf"\b(?:{'|'.join(map(re.escape, sorted(people)))}){_END}", text):
                 found.append((m.start(), m.end(), "name", people[m[0]]))
         found.sort()
         out, end = [], 0
@@ -259,8 +296,8 @@ class Replacer:
 ENTITIES = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("end", pa.int64()), ("surrogate", pa.string())]))
 
 
-def _replaced(batches: Iterator[pa.RecordBatch], key: bytes) -> Iterator[pa.RecordBatch]:
-    tool = Replacer(key)
+def _replaced(batches: Iterator[pa.RecordBatch], key: bytes, choices: dict[tuple[str, str], int]) -> Iterator[pa.RecordBatch]:
+    tool = Replacer(key, choices)
     for batch in batches:
         texts, entities = [], []
         for text in batch.column(1):
@@ -281,14 +318,16 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: s
     if not 16 <= len(key) <= 64:
         raise ValueError("key must have 16 to 64 bytes")
     source = docs.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`"))
-    return source.mapInArrow(lambda it: _replaced(it, key), "doc_id long, text string, n_entities long, entities array<struct<kind: string, begin: long, end: long, surrogate: string>>")
+    choices = settled(docs, key, text_col)
+    return source.mapInArrow(lambda it: _replaced(it, key, choices), "doc_id long, text string, n_entities long, entities array<struct<kind: string, begin: long, end: long, surrogate: string>>")
 
 
 def with_surrogates(docs: DataFrame, key: bytes, text_col: str = "text") -> DataFrame:
     """The documents with surrogates in the text column; other columns stay as they are."""
+    choices = settled(docs, key, text_col)
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = Replacer(key)
+        tool = Replacer(key, choices)
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             texts = [t.as_py() for t in batch.column(at)]
@@ -297,22 +336,37 @@ def with_surrogates(docs: DataFrame, key: bytes, text_col: str = "text") -> Data
     return docs.mapInArrow(change, docs.schema)
 
 
-def values(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def values(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", choices: dict[tuple[str, str], int] | None = None) -> DataFrame:
     """Distinct (kind, original, surrogate) of a corpus, as SHA-256 digests of the values as compared (case folded)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = Replacer(key)
+        tool = Replacer(key, choices)
         for batch in batches:
-            out = []
-            for text in batch.column(1):
+            out = set()
+            for text in batch.column(0):
                 t = text.as_py() or ""
-                out.extend((k, t[a:b], s) for a, b, k, s in tool.find(t))
-            columns = list(zip(*out)) or [(), (), ()]
+                out.update((k, t[a:b], s) for a, b, k, s in tool.find(t))
+            told = {(k, _told(k, old), _told(k, new)) for k, old, new in out}
+            columns = list(zip(*told)) or [(), (), ()]
             yield pa.record_batch([pa.array(c, pa.string()) for c in columns], names=["kind", "original", "surrogate"])
 
-    found = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).mapInArrow(rows, "kind string, original string, surrogate string")
-    fold = F.col("kind").isin("email", "name", "ip")
-    return found.select("kind", *[F.sha2(F.when(fold, F.lower(c)).otherwise(F.col(c)), 256).alias(c) for c in ("original", "surrogate")]).distinct()
+    return docs.select(F.col(f"`{text_col}`")).mapInArrow(rows, "kind string, original string, surrogate string").distinct()
+
+
+def settled(docs: DataFrame, key: bytes, text_col: str = "text") -> dict[tuple[str, str], int]:
+    """The choices, by kind and digest, with which no two values of a corpus have one surrogate and none is its own; most often none are needed.
+
+    Of values with one surrogate the one with the smallest digest keeps it. Only what collides comes to the driver.
+    """
+    choices: dict[tuple[str, str], int] = {}
+    for _ in range(CHOICES):
+        one = values(docs, key, text_col=text_col, choices=choices).groupBy("kind", "surrogate").agg(F.sort_array(F.collect_set("original")).alias("originals"))
+        bad = one.where((F.size("originals") > 1) | F.array_contains("originals", F.col("surrogate"))).collect()
+        if not bad:
+            return choices
+        again = {(r["kind"], o) for r in bad for i, o in enumerate(r["originals"]) if i or o == r["surrogate"]}
+        choices = choices | {x: choices.get(x, 0) + 1 for x in again}
+    raise ValueError(f"{len(bad)} surrogates collide after {CHOICES} choices")
 
 
 def collisions(found: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 
 import pytest
 from hypothesis import given, settings
@@ -87,3 +88,40 @@ def test_collision_checks(shipped, docs):
     assert collisions(values(docs([(1, TEXT), (2, "a.b@c.org A.B@C.ORG b.a@c.org")]), KEY)).count() == 0
     made = shipped.createDataFrame([("email", "a", "x"), ("email", "b", "x"), ("ip", "p", "q"), ("ip", "p", "r"), ("ip", "q", "s")], "kind string, original string, surrogate string")
     assert sorted((r.problem, r.digest) for r in collisions(made).collect()) == [("surrogate in use", "q"), ("two originals", "x"), ("two surrogates", "p")]
+
+
+def test_a_name_has_one_surrogate_whatever_its_title():
+    got = [{f[3] for f in Replacer(KEY).find(f"{title} Kowalski spoke.")} for title in ("Mr", "Mrs", "Dr", "Prof")]
+    assert all(x == got[0] and len(x) == 1 for x in got)
+
+
+@pytest.mark.parametrize("name", ["王小明", "محمد", "דוד", "प्रिया", "สมชาย", "김민수", "Łęż", "Ærø", "Ёжин", "Ջան"])
+def test_names_of_every_script_change(name):
+    text = f"Dr {name} spoke. Then {name} left."
+    new, found = Replacer(KEY).replace(text)
+    assert len(found) == 2 and name not in new and len({f[3] for f in found}) == 1
+    assert [unicodedata.name(c).split()[0] for c in found[0][3]] == [unicodedata.name(c).split()[0] for c in text[found[0][0] : found[0][1]]]
+
+
+def test_colliding_values_get_another_choice(shipped, docs, monkeypatch):
+    """Surrogates in the corpus are checked by the operator itself."""
+    from sparlode.llm import pii
+
+    first = "a.b@c.org"
+    moved = surrogate(KEY, "email", first)
+
+    def values_that_collide(docs, key, id_col="doc_id", text_col="text", choices=None):
+        told = [("email", pii._told("email", v), pii._told("email", Replacer(key, choices).value("email", v))) for v in (first, "b.a@c.org")]
+        if not choices:
+            told[1] = (*told[1][:2], told[0][2])
+            told.append(("ip", "x", "x"))
+        return shipped.createDataFrame(told, "kind string, original string, surrogate string")
+
+    rows = docs([(1, first), (2, "b.a@c.org")])
+    plain = by_id(replace_pii(rows, KEY), "text")
+    assert plain[1] == [(moved,)]
+    monkeypatch.setattr(pii, "values", values_that_collide)
+    choices = pii.settled(rows, KEY)
+    assert sorted(k for k, _ in choices) == ["email", "ip"] and set(choices.values()) == {1}
+    got = by_id(replace_pii(rows, KEY), "text")
+    assert len({x[0][0] for x in got.values()}) == 2 and got != plain
