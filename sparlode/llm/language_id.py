@@ -3,13 +3,15 @@
 Scripts narrow the candidates: a word's script, by Unicode ranges, allows only the languages
 whose training text uses that script. Within these, a character trigram model per language
 gives every word a score, and Viterbi decoding over the words with a penalty for switching
-labels spans. A document's language is the one that labels most of its letters.
+labels spans. A run of letters is cut where its script changes and after LONGEST letters, so long
+text without blanks is judged as a whole and may change its language. A document's language is the one that labels most of its letters.
 
 The model is fitted on a bounded, documented sample of labelled documents and is broadcast.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -33,6 +35,8 @@ UNKNOWN = "und"
 PENALTY, CACHED = 6.0, 300_000
 #: Pseudo-count per character in the trigram model and share of a language's letters that makes a script its own.
 SMOOTHING, OWN_SCRIPT = 0.05, 0.002
+#: Letters of a piece of a run of letters.
+LONGEST = 256
 
 
 def script_of(letter: str) -> str:
@@ -43,6 +47,39 @@ def script_of(letter: str) -> str:
     return OTHER
 
 
+def _piece_pattern() -> regex.Pattern:
+    """Pieces of one script; marks belong to the letter before them."""
+    ranges: dict[str, str] = {}
+    for first, last, name in SCRIPTS:
+        ranges[name] = ranges.get(name, "") + f"\\U{first:08x}-\\U{last:08x}"
+    letters = [*(rf"[[{r}]&&\p{{L}}]" for r in ranges.values()), rf"[\p{{L}}--[{''.join(ranges.values())}]]"]
+    return regex.compile("|".join(rf"(?:{x}\p{{M}}*+){{1,{LONGEST}}}+" for x in letters), regex.V1)
+
+
+PIECE = _piece_pattern()
+
+
+@functools.lru_cache(CACHED)
+def _parts(word: str) -> tuple[str, ...]:
+    return tuple(PIECE.findall(word))
+
+
+def pieces(text: str) -> list[str]:
+    """The words of a text, runs of several scripts or of more than LONGEST letters in consecutive pieces."""
+    found = WORD.findall(text)
+    if text.isascii() and max(map(len, found), default=0) <= LONGEST:
+        return found
+    out: list[str] = []
+    for w in found:
+        if len(w) > 48:
+            out += PIECE.findall(w)
+        elif w.isascii():
+            out.append(w)
+        else:
+            out += _parts(w)
+    return out
+
+
 class Model:
     """Scores of words by language, from trigram counts {(language, trigram): count} and letters by script."""
 
@@ -92,7 +129,7 @@ class Model:
         for w, i in place.items():
             got = self.known.get(w)
             if got is None:
-                got = self.word(w[:256])
+                got = self.word(w)
                 if len(w) <= 48:
                     self.known[w] = got
             table[i] = got
@@ -147,7 +184,7 @@ class Model:
         """(language, share of the letters that it labels) of each text; ties go to the earlier name."""
         if not self.languages:
             return [(UNKNOWN, 0.0)] * len(texts)
-        words = [WORD.findall((t or "").lower()) for t in texts]
+        words = [pieces((t or "").lower()) for t in texts]
         out = []
         for found, path in zip(words, self.paths(words)):
             if not len(path):
@@ -160,7 +197,7 @@ class Model:
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
         """(start, end, language) of the maximal runs of words with one language, as character offsets."""
-        found = [(m.start(), m.end(), m[0].lower()) for m in WORD.finditer(text or "")]
+        found = [(m.start() + p.start(), m.start() + p.end(), p[0].lower()) for m in WORD.finditer(text or "") for p in PIECE.finditer(m[0])]
         out: list[tuple[int, int, str]] = []
         if not self.languages or not found:
             return out
@@ -178,7 +215,7 @@ def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         words: Counter = Counter()
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            words.update((lang, w) for w in WORD.findall((text.as_py() or "").lower()))
+            words.update((lang, w) for w in pieces((text.as_py() or "").lower()))
         for (lang, w), n in words.items():
             scripts[lang, script_of(w[0])] += n * len(w)
             marked = f"\x02\x02{w}\x03"

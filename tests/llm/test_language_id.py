@@ -64,3 +64,18 @@ def test_without_training_rows(shipped):
 def test_scripts():
     assert [script_of(c) for c in "aéжα中한あ"] == ["latin", "latin", "cyrillic", "greek", "han", "hangul", "kana"]
     assert script_of("ꯀ") in ("other", "hangul")
+
+
+def test_runs_longer_than_a_piece_are_judged_whole(shipped):
+    m = model(shipped)
+    en, de, ru = ((TEXTS[k].replace(" ", "") * 40)[:n] for k, n in (("en", 300), ("de", 900), ("ru", 900)))
+    (lang, score), (mixed, share) = m.predict([en + de, en + ru])
+    assert lang == "de" and 0.7 < score < 0.8
+    assert mixed == "ru" and share == 0.75
+    assert [x[2] for x in m.spans(en + ru)] == ["en", "ru"] and m.spans(en + ru)[0][:2] == (0, 300)
+
+
+def test_pieces_cover_the_letters():
+    for text in ("añb語ひらがなабв" * 60, "ก็" * 300, "a\u0301" * 300, "ab cd1ef", "", "ɐbɐ x" * 9):
+        assert "".join(language_id.pieces(text)) == "".join(language_id.WORD.findall(text))
+    assert language_id.pieces("short words") == ["short", "words"] and language_id.pieces("абвabc") == ["абв", "abc"]
