@@ -69,8 +69,11 @@ PATTERN = re.compile(
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w.-])\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7}(?![\w-]))"
+    r"|(?P<national>(?<![\w.+-])(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}|\d{3} \d{3} \d{4}|0\d(?:[ .]\d\d){4}|0\d{1,4}[ /-]\d{3,8}(?:[ -]\d{2,6}){0,2})(?![\w-]|\.\d))"
 )
-NAMES = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES)})\.? (?P<after>{_NAME_WORD}(?: {_NAME_WORD})?)|(?P<given>{'|'.join(_GIVEN)}) (?P<surname>{'|'.join(_SURNAME)})){_END}")
+#: Capitalised words that are no surname after a given name.
+_NO_SURNAME = "The|And|Or|But|Of|In|On|At|To|By|For|From|With|As|If|Is|Was|Are|Were|Has|Had|Have|He|She|It|We|You|They|His|Her|Their|Our|My|This|That|When|Then|Who|Not|An"
+NAMES = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES)})\.? (?P<after>{_NAME_WORD}(?: {_NAME_WORD})?)|(?P<given>{'|'.join(_GIVEN)}) (?!(?:{_NO_SURNAME})\b)(?P<surname>{_NAME_WORD})){_END}")
 #: What must be in a text for PATTERN to be worth running.
 HINT = re.compile(r"[0-9@]|(?i:password=|token)")
 
@@ -186,6 +189,14 @@ def surrogate(key: bytes, kind: str, value: str) -> str:
     if kind == "phone" and value.startswith("+"):
         code = re.match(r"\+\d{1,3}(?=[ (-])|\+\d", value)[0]
         return code + _by_alphabet(key, "phone" + code, value[len(code) :], ["0123456789"], False)
+    if kind == "phone" and value[0].isdigit():
+        if value[0] == "0":
+            return "0" + _by_alphabet(key, "phone0", value[1:], ["0123456789"], False)
+        new = value
+        while True:  # cycle-walking: a leading zero stays with the numbers that have one
+            new = _by_alphabet(key, "phone", new, ["0123456789"], False)
+            if new[0] != "0":
+                return new
     if kind == "key":
         if all(c in CODE for c in value[4:]):
             return value[:4] + _by_alphabet(key, "key" + value[:4], value[4:], [CODE], True)
@@ -264,6 +275,10 @@ class Replacer:
                 kind = m.lastgroup
                 if kind == "card" and not 13 <= sum(c.isdigit() for c in m[0]) <= 19:
                     continue
+                if kind == "national":
+                    if not 9 <= sum(c.isdigit() for c in m[0]) <= 12:
+                        continue
+                    kind = "phone"
                 found.append((m.start(), m.end(), kind, self.value(kind, m[0])))
         people: dict[str, str] = {}
         named = []

@@ -125,3 +125,16 @@ def test_colliding_values_get_another_choice(shipped, docs, monkeypatch):
     assert sorted(k for k, _ in choices) == ["email", "ip"] and set(choices.values()) == {1}
     got = by_id(replace_pii(rows, KEY), "text")
     assert len({x[0][0] for x in got.values()}) == 2 and got != plain
+
+
+@pytest.mark.parametrize("value", ["555-123-4567", "555.123.4567", "555 123 4567", "030 1234567", "07911 123456", "01 23 45 67 89"])
+def test_national_phone_numbers_change(value):
+    new, found = Replacer(KEY).replace(f"Call {value}. Now.")
+    assert [f[2] for f in found] == ["phone"] and value not in new and (found[0][3][0] == "0") == (value[0] == "0")
+    assert re.sub(r"\d", "0", found[0][3]) == re.sub(r"\d", "0", value)
+
+
+def test_a_given_name_with_any_surname_changes():
+    new, found = Replacer(KEY).replace("Emma Nguyen came. Later Nguyen left. Then Emma The Great, 01-2023, 10.20.2024 and 0123 4567 8901 2345.")
+    assert "Nguyen" not in new and "The Great" in new and "01-2023, 10.20.2024" in new
+    assert [f[2] for f in found] == ["name", "name", "name", "name", "card"]
