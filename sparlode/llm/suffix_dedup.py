@@ -1,4 +1,4 @@
-"""Removal of repeated substrings by longest-previous-factor arrays.
+"""Removal of repeated substrings by suffixes sorted to the depth of a window.
 
 A string of `length` bytes that occurs twice is found without a global suffix array. Each
 window of that many bytes belongs to the bucket named by the smallest hash of its short
@@ -8,8 +8,8 @@ bucket are one segment. Per bucket:
 * one segment, its bucket's hash only once in it: nothing in it can repeat;
 * segments that are all equal: every window of them repeats;
 * else the distinct segments go to one task, with those of other buckets, as one
-  concatenated text in document order. Its suffixes are sorted to the depth of a window, and
-  previous and next smaller positions tell which windows start earlier too;
+  concatenated text in document order. Its suffixes are sorted to the depth of a window;
+  windows of equal rank are equal, and all but the first of them start earlier too;
 * a bucket with very many distinct segments (a passage that is common in different
   surroundings) is divided by the windows' own hashes until equal windows alone are
   together; of these all but the first have a previous factor of full length.
