@@ -1,20 +1,21 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are a bounded, documented sample of labelled documents, chosen by a hash of their
-identifier. Their terms are lower-case words and word beginnings of four to six letters; the
-vocabulary is the terms whose association with the label is significant (log-likelihood
-ratio over the examples), at most `max_terms` of them. Every document is a vector of
-(1 + log tf) * idf over that vocabulary, of length 1. Examples with the same vector are one
-entry with their labels counted, so ties cost nothing.
-
-The index lists each block's entries by term, with each term's maximal weight in each block.
-A query takes blocks by their bound (its weights times these maxima) and stops when the
-bound falls below the similarity of the last neighbour needed: the nearest entries are
-exact. Neighbours vote with their cosine as weight; the vote becomes a probability by
-monotone regression over the examples, each judged by the others.
-
-The index is bounded by `max_examples` and `max_terms` and is broadcast. Scoring needs no
-shuffle.
+Examples are a bounded, documented sample of labelled documents: those with the smallest
+hashes of their identifier. All lower-case words of the examples are terms. A document is a
+vector over them of length 1: (1 + log tf) * idf * association, where idf counts all documents
+and association is the square root of the term's log-likelihood ratio with the label over the
+examples. Association only weighs, it removes no term: without it, words that say nothing about
+the label decide who is near. Examples with the same vector are one entry with their labels
+counted, so ties cost nothing.
+
+The index is inverted: a term's postings lie by block of entries, with the term's maximal
+weight in each block. A query bounds every block by its weights times these maxima, scores the
+blocks with the highest bounds, then all others whose bound reaches the last neighbour needed:
+the nearest entries are exact. Neighbours vote with their cosine as weight; the vote becomes a
+probability by monotone regression over the examples, each judged by the others.
+
+The index is bounded by `max_examples` and `max_postings` and is broadcast. Scoring needs no
+shuffle; counting documents by term is one pass before it.
 """
 
 from __future__ import annotations
@@ -32,47 +33,43 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 WORD = regex.compile(r"\p{L}+")
-HEADS = (4, 5, 6)
-BLOCK = 64
-
-
-def terms_of(word: str) -> list[str]:
-    """A word and its beginnings; beginnings end in a star."""
-    return [word, *[word[:k] + "*" for k in HEADS if len(word) > k]]
+#: Entries of a block, and blocks that are scored first.
+BLOCK, FIRST = 128, 2
 
 
 def word_counts(text: str | None) -> Counter:
     return Counter(WORD.findall((text or "").lower()))
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each start, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
 class Vocabulary:
-    """The terms that examples are compared by: term -> (number, idf)."""
+    """The terms that documents are compared by: term -> number in order, and each number's weight."""
 
-    def __init__(self, terms: dict[str, tuple[int, float]]):
-        self.terms = terms
-        self.stems = {t.rstrip("*")[: HEADS[0]] for t in terms}
+    def __init__(self, terms: dict[str, int], weight: np.ndarray):
+        self.terms, self.weight, self.names = terms, weight, list(terms)
 
     def vector(self, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and weights of a document's words, of length 1."""
-        found: Counter = Counter()
-        for word, n in counts.items():
-            if word[: HEADS[0]] in self.stems:
-                for t in terms_of(word):
-                    if t in self.terms:
-                        found[t] += n
-        pairs = sorted((self.terms[t][0], (1.0 + math.log(n)) * self.terms[t][1]) for t, n in found.items())
-        at = np.array([p[0] for p in pairs], dtype=np.int64)
-        weight = np.array([p[1] for p in pairs], dtype=np.float64)
-        return at, weight / math.sqrt(float((weight**2).sum())) if len(weight) else weight
+        at = np.fromiter((self.terms.get(w, -1) for w in counts), dtype=np.int64, count=len(counts))
+        order = np.argsort(at)
+        order = order[np.searchsorted(at[order], 0) :]
+        at, many = at[order], np.fromiter(counts.values(), dtype=np.float64, count=len(counts))[order]
+        weight = (1.0 + np.log(many)) * self.weight[at]
+        length = math.sqrt(float(weight @ weight))
+        return (at, weight / length) if length > 0.0 else (at[:0], weight[:0])
 
 
 class Index:
     """Exact nearest entries by cosine, with block-max bounds."""
 
-    def __init__(self, vocabulary: "Vocabulary", examples: Iterable[tuple[int, np.ndarray, np.ndarray, int]], neighbours: int, evidence: int = 3):
+    def __init__(self, vocabulary: Vocabulary, examples: Iterable[tuple[int, np.ndarray, np.ndarray, int]], neighbours: int, evidence: int = 3):
         """examples: identifier, term numbers, weights, label; in order of identifiers."""
         self.vocabulary, self.neighbours = vocabulary, neighbours
-        terms = vocabulary.terms
         entries: dict[tuple, list] = {}
         for doc_id, at, weight, label in examples:
             entry = entries.setdefault((at.tobytes(), np.round(weight, 12).tobytes()), [0, 0, [], at, weight])
@@ -89,16 +86,19 @@ class Index:
         self.count = np.array([e[0] for e in rows], dtype=np.int64)
         self.positive = np.array([e[1] for e in rows], dtype=np.int64)
         self.ids = [e[2] for e in rows]
-        self.blocks = max(1, math.ceil(len(rows) / BLOCK))
-        self.bound = np.zeros((self.blocks, len(terms)), dtype=np.float64)
-        self.postings = []
-        for b in range(self.blocks):
-            part = rows[b * BLOCK : (b + 1) * BLOCK]
-            local = np.repeat(np.arange(len(part)), [len(e[3]) for e in part]) if part else np.zeros(0, dtype=np.int64)
-            at = np.concatenate([e[3] for e in part]) if part else np.zeros(0, dtype=np.int64)
-            weight = np.concatenate([e[4] for e in part]) if part else np.zeros(0)
-            np.maximum.at(self.bound[b], at, weight)
-            self.postings.append((local, at, weight, len(part)))
+        self.blocks = math.ceil(len(rows) / BLOCK)
+        entry = np.repeat(np.arange(len(rows), dtype=np.int32), np.array([len(e[3]) for e in rows], dtype=np.int64))
+        term = np.concatenate([e[3] for e in rows]) if rows else np.zeros(0, dtype=np.int64)
+        weight = np.concatenate([e[4] for e in rows]) if rows else np.zeros(0)
+        order = np.argsort(term, kind="stable")
+        term, self.entry, self.weight = term[order], entry[order], weight[order]
+        # Lists: the postings of one term in one block.
+        block = self.entry // BLOCK
+        first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, dtype=np.int64)
+        self.start = np.r_[first, len(term)].astype(np.int64)
+        self.block = block[first].astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, first) if len(term) else np.zeros(0)
+        self.lists = np.searchsorted(term[first], np.arange(len(vocabulary.weight) + 1))
         self.curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, skip: int = -1) -> list[tuple[float, int]]:
@@ -108,28 +108,39 @@ class Index:
         """
         if not len(at) or not len(self.count):
             return []
-        query = np.zeros(self.bound.shape[1])
-        query[at] = weight
-        bounds = self.bound[:, at] @ weight
-        found: list[tuple[float, int]] = []
-        reach = 0.0
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0.0 or bounds[b] < reach - 1e-12:
-                break
-            local, terms, weights, size = self.postings[b]
-            scores = np.bincount(local, weights=weights * query[terms], minlength=size)
-            hits = np.flatnonzero((scores > 0.0) & (scores >= reach - 1e-12))
-            found.extend((float(scores[h]), b * BLOCK + int(h)) for h in hits)
-            found.sort(key=lambda x: (-round(x[0], 9), x[1]))
-            met = 0
-            for i, (score, entry) in enumerate(found):
-                met += int(self.count[entry]) - (entry == skip)
-                if met >= self.neighbours:
-                    reach = score
-                    del found[i + 1 :]
-                    break
+        many = self.lists[at + 1] - self.lists[at]
+        lists, asked = _ranges(self.lists[at], many), np.repeat(weight, many)
+        block = self.block[lists]
+        bounds = np.bincount(block, weights=self.most[lists] * asked, minlength=self.blocks)
+        order = np.argsort(-bounds, kind="stable")
+        scores = np.zeros(len(self.count))
+        early = np.zeros(self.blocks, dtype=bool)
+        early[order[:FIRST]] = True
+        self._add(scores, lists, asked, early[block])
+        found, reach = self._best(scores, skip)
+        late = ~early & (bounds > 0.0) & (bounds >= reach - 1e-9)
+        if late.any():
+            self._add(scores, lists, asked, late[block])
+            found, _ = self._best(scores, skip)
         return found
 
+    def _add(self, scores: np.ndarray, lists: np.ndarray, asked: np.ndarray, taken: np.ndarray) -> None:
+        lists, asked = lists[taken], asked[taken]
+        lengths = self.start[lists + 1] - self.start[lists]
+        spots = _ranges(self.start[lists], lengths)
+        scores += np.bincount(self.entry[spots], weights=self.weight[spots] * np.repeat(asked, lengths), minlength=len(scores))
+
+    def _best(self, scores: np.ndarray, skip: int) -> tuple[list[tuple[float, int]], float]:
+        """The nearest of the entries scored, and the similarity that others must reach."""
+        k = self.neighbours + 1  # entries stand for one example at least, but for the one left out
+        low = max(0.0, float(np.partition(scores, -k)[-k])) if len(scores) > k else 0.0
+        near = np.flatnonzero((scores > 0.0) & (scores >= low - 1e-9))
+        near = near[np.lexsort((near, -np.round(scores[near], 9)))]
+        met = np.cumsum(self.count[near] - (near == skip))
+        last = int(np.searchsorted(met, self.neighbours))
+        found = [(float(scores[e]), int(e)) for e in near[: last + 1]]
+        return found, found[-1][0] if last < len(near) else 0.0
+
     def vote(self, at: np.ndarray, weight: np.ndarray, skip: tuple[int, int] = (-1, 0)) -> tuple[float, list[tuple[float, int]]]:
         """The weighted share of positive neighbours, drawn to the base rate where neighbours are few or far."""
         near = self.nearest(at, weight, skip[0])
@@ -145,14 +156,16 @@ class Index:
     def calibrate(self) -> None:
         """Monotone regression of labels on votes, every example judged without itself."""
         votes, good, size = [], [], []
-        for b, (local, terms, weights, n) in enumerate(self.postings):
-            for k in range(n):
-                entry, own = b * BLOCK + k, local == k
-                for label, many in ((1, int(self.positive[entry])), (0, int(self.count[entry] - self.positive[entry]))):
-                    if many:
-                        votes.append(self.vote(terms[own], weights[own], (entry, label))[0])
-                        good.append(label * many)
-                        size.append(many)
+        term = np.repeat(np.arange(len(self.lists) - 1), self.start[self.lists[1:]] - self.start[self.lists[:-1]])
+        order = np.argsort(self.entry, kind="stable")
+        ends = np.searchsorted(self.entry[order], np.arange(len(self.count) + 1))
+        for entry in range(len(self.count)):
+            own = order[ends[entry] : ends[entry + 1]]
+            for label, many in ((1, int(self.positive[entry])), (0, int(self.count[entry] - self.positive[entry]))):
+                if many:
+                    votes.append(self.vote(term[own], self.weight[own], (entry, label))[0])
+                    good.append(label * many)
+                    size.append(many)
         if self.none[0]:
             votes.append(self.vote(np.zeros(0, dtype=np.int64), np.zeros(0))[0])
             good.append(self.none[1])
@@ -170,99 +183,99 @@ class Index:
         y = np.array([(p[1] + self.base) / (p[2] + 1.0) for p in pools])
         self.curve = (x, np.maximum.accumulate(y))
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[float, int]], np.ndarray]:
+    def score(self, text: str | None) -> tuple[float, list[tuple[float, int]], list[str]]:
+        """The calibrated score, the neighbours, and the text's terms of the greatest weight."""
         at, weight = self.vocabulary.vector(word_counts(text))
         raw, near = self.vote(at, weight)
-        return float(min(1.0, max(0.0, np.interp(raw, *self.curve)))), near, at
+        telling = [self.vocabulary.names[k] for k in at[np.argsort(-weight, kind="stable")[:16]].tolist()]
+        return float(min(1.0, max(0.0, np.interp(raw, *self.curve)))), near, telling
 
 
-def select_terms(counts: dict[str, tuple[int, int]], positive: int, negative: int, max_terms: int, least: float, support: float = 0.015) -> dict[str, tuple[int, float]]:
-    """Terms that go with the label, as term -> (number, idf); counts has the positive and negative examples of each.
+def association(positive_with: np.ndarray, negative_with: np.ndarray, positive: int, negative: int) -> np.ndarray:
+    """The square root of each term's log-likelihood ratio with the label, from the positive and negative examples that have it."""
 
-    A term needs a share `support` of the positive examples (and 3 of them): examples that are
-    near copies of each other make rare words look significant.
-    """
-    total = positive + negative
+    def part(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return a * np.log(np.maximum(a, 1e-300) / np.maximum(b, 1e-300))
 
-    def part(a: float, b: float) -> float:
-        return a * math.log(a / b) if a > 0 and b > 0 else 0.0
-
-    found = []
-    for term, (p, n) in counts.items():
-        k = p + n
-        if k < total and p >= max(3.0, support * positive) and p * negative > 2 * n * positive:
-            g = 2 * (part(p, k * positive / total) + part(n, k * negative / total) + part(positive - p, (total - k) * positive / total) + part(negative - n, (total - k) * negative / total))
-            if g >= least:
-                found.append((-g, term, k))
-    chosen = sorted(found)[:max_terms]
-    return {term: (i, math.log((1.0 + total) / (1.0 + k)) + 1.0) for i, (term, k) in enumerate(sorted((t, k) for _, t, k in chosen))}
+    total, k = positive + negative, positive_with + negative_with
+    g = sum(part(a.astype(float), n * side / max(1, total)) for a, n, side in ((positive_with, k, positive), (negative_with, k, negative), (positive - positive_with, total - k, positive), (negative - negative_with, total - k, negative)))
+    return np.sqrt(np.maximum(2.0 * g, 0.0))
 
 
 def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts = [word_counts(t.as_py()) for t in batch.column(1)]
-        words = [list(c) for c in counts]
-        terms = [sorted({t for w in c for t in terms_of(w)}) for c in counts]
         yield pa.record_batch(
-            [batch.column(0), batch.column(2), pa.array(words, pa.list_(pa.string())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.string()))],
-            names=["id", "label", "words", "counts", "terms"],
+            [batch.column(0), batch.column(2), pa.array([list(c) for c in counts], pa.list_(pa.string())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))],
+            names=["id", "label", "words", "counts"],
         )
 
 
-def _vector_rows(batches: Iterator[pa.RecordBatch], shipped) -> Iterator[pa.RecordBatch]:
+def _document_counts(batches: Iterator[pa.RecordBatch], shipped) -> Iterator[pa.RecordBatch]:
+    """(term, n): documents that hold each term; term -1 counts all documents."""
+    terms: dict[str, int] = shipped.value
+    found = np.zeros(len(terms) + 1, dtype=np.int64)
     for batch in batches:
-        got = [shipped.value.vector(dict(zip(words, counts))) for words, counts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-        yield pa.record_batch(
-            [batch.column(0), batch.column(1), pa.array([x[0].tobytes() for x in got], pa.binary()), pa.array([x[1].tobytes() for x in got], pa.binary())], names=["id", "label", "at", "weight"]
-        )
+        for text in batch.column(0):
+            words = set(WORD.findall((text.as_py() or "").lower()))
+            found[[terms[w] for w in words.intersection(terms)]] += 1
+            found[-1] += 1
+    at = np.flatnonzero(found)
+    yield pa.record_batch([pa.array(np.where(at == len(terms), -1, at)), pa.array(found[at])], names=["term", "n"])
 
 
 def fit(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    max_examples: int = 10_000, max_terms: int = 4096, least: float = 50.0, neighbours: int = 15,
+    max_examples: int = 4000, max_postings: int = 4_000_000, neighbours: int = 15,
 ) -> Index:
-    """An index of at most about max_examples labelled documents.
+    """An index of at most max_examples labelled documents with at most max_postings different words, added up over documents.
 
-    The sample is the identifiers with the smallest hashes: a share of all labelled rows that
-    makes max_examples of them, with a tenth to spare. Rows whose label or identifier is null
-    are left out; of several labels of one identifier or text the largest counts.
+    The sample is the labelled identifiers with the smallest hashes, in that order until a
+    bound is met (the first one always counts). Rows whose label or identifier is null are
+    left out; of several labels of one identifier or text the largest counts. The number of
+    documents that hold a term is counted over all of docs.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
-    marked = marked.groupBy("id").agg(F.max("label").alias("label"))
-    share = min(1.0, max_examples / max(1, marked.count()))
-    chosen = marked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0)).limit(int(1.1 * max_examples) + 100)
+    chosen = marked.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(max_examples)
     scratch = Scratch(spark, "toxicity")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     # Copies of a text are one example; if their labels differ, the largest counts.
     sample = texts.join(F.broadcast(chosen), "id").groupBy("text").agg(F.min("id").alias("id"), F.max("label").alias("label")).select("id", "text", "label")
-    rows = scratch.put(sample.mapInArrow(_example_rows, "id long, label int, words array<string>, counts array<long>, terms array<string>"), "examples")
-    totals = {r["label"] > 0: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    positive, negative = totals.get(True, 0), totals.get(False, 0)
-    counted = rows.select(F.explode("terms").alias("term"), "label").groupBy("term").agg(F.count_if(F.col("label") > 0).alias("p"), F.count_if(F.col("label") <= 0).alias("n"))
-    # Only terms that could be significant come to the driver, fewer than the examples' positive labels allow.
-    likely = counted.where((F.col("p") >= 3) & (F.col("p") * negative > 2 * F.col("n") * positive)).orderBy(F.desc(F.col("p") / (F.col("p") + F.col("n") + 5) * F.col("p")), "term").limit(4 * max_terms)
-    got = likely.toArrow()
-    counts = {t: (p, n) for t, p, n in zip(*(got[c].to_pylist() for c in ("term", "p", "n")))}
-    vocabulary = Vocabulary(select_terms(counts, positive, negative, max_terms, least))
-    del got, counts
-    shipped = spark.sparkContext.broadcast(vocabulary)
-    vectors = rows.select("id", "label", "words", "counts").mapInArrow(lambda it: _vector_rows(it, shipped), "id long, label int, at binary, weight binary").toArrow().sort_by("id")
-    columns = (vectors[c] for c in ("id", "at", "weight", "label"))
-    examples = ((i.as_py(), np.frombuffer(a.as_buffer(), dtype=np.int64), np.frombuffer(w.as_buffer(), dtype=np.float64), int(y.as_py() > 0)) for i, a, w, y in zip(*columns))
-    index = Index(vocabulary, examples, neighbours)
-    index.calibrate()
+    rows = scratch.put(sample.mapInArrow(_example_rows, "id long, label int, words array<string>, counts array<long>"), "examples")
+    sizes = rows.select("id", F.xxhash64("id").alias("hash"), F.size("words").alias("n")).orderBy("hash", "id").toArrow()
+    taken = int(np.searchsorted(np.cumsum(sizes["n"].to_numpy()), max_postings, side="right")) if len(sizes) else 0
+    kept = set(sizes["id"].to_pylist()[: max(1, taken)])
+    edge = sizes["hash"].to_pylist()[max(1, taken) - 1] if len(sizes) else 0
+    got = rows.where(F.xxhash64("id") <= edge).toArrow().sort_by("id")
+    terms: dict[str, int] = {}
+    examples = []
+    for i, label, words, counts in zip(*(got[c] for c in ("id", "label", "words", "counts"))):
+        if i.as_py() in kept:
+            at = np.array([terms.setdefault(w, len(terms)) for w in words.as_py()], dtype=np.int64)
+            examples.append((i.as_py(), int(label.as_py() > 0), at, np.array(counts.as_py(), dtype=np.int64)))
+    del got
     scratch.drop("examples")
+    shipped = spark.sparkContext.broadcast(terms)
+    counted = texts.select("text").mapInArrow(lambda it: _document_counts(it, shipped), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    holding = np.zeros(len(terms) + 1)
+    holding[counted["term"].to_numpy()] = counted["n"].to_numpy()  # -1, all documents, comes last
+    shipped.unpersist()
+    sides = [np.bincount(np.concatenate([at for _, y, at, _ in examples if y == label] or [np.zeros(0, dtype=np.int64)]), minlength=len(terms)) for label in (1, 0)]
+    positive = sum(y for _, y, *_ in examples)
+    weight = (np.log((1.0 + holding[-1]) / (1.0 + holding[:-1])) + 1.0) * association(*sides, positive, len(examples) - positive)
+    vocabulary = Vocabulary(terms, weight)
+    index = Index(vocabulary, ((i, *vocabulary.vector({vocabulary.names[a]: n for a, n in zip(at.tolist(), many.tolist())}), y) for i, y, at, many in examples), neighbours)
+    index.calibrate()
     return index
 
 
 def _scored(batches: Iterator[pa.RecordBatch], shipped, threshold: float) -> Iterator[pa.RecordBatch]:
     index = shipped.value
-    names = {n: t for t, (n, _) in index.vocabulary.terms.items()}
     for batch in batches:
         rows: list[list] = [[], [], [], [], []]
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            score, near, at = index.score(text.as_py())
-            values = (doc_id, score, int(score >= threshold), [d for _, e in near for d in index.ids[e]][:5], [names[int(a)] for a in at[:16]])
+            score, near, telling = index.score(text.as_py())
+            values = (doc_id, score, int(score >= threshold), [d for _, e in near for d in index.ids[e]][:5], telling)
             for column, value in zip(rows, values):
                 column.append(value)
         kinds = (pa.int64(), pa.float64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.string()))
@@ -273,8 +286,8 @@ def score(spark: SparkSession, docs: DataFrame, index: Index, id_col: str = "doc
     """One row per document: doc_id, score, predicted, neighbours, terms.
 
     score is the calibrated probability of label 1, predicted is 1 from `threshold` on.
-    neighbours (identifiers of the nearest examples) and terms (of the vocabulary, in the
-    text) are the evidence. Null, empty and other texts without a term of the vocabulary get
+    neighbours (identifiers of the nearest examples) and terms (the at most 16 heaviest of
+    the text) are the evidence. Null, empty and other texts without a term of an example get
     the rate of such examples. Without examples every score is 0.5. Rows repeated under one
     id are scored each; an empty table gives an empty result; other columns are ignored.
     """

@@ -1,10 +1,13 @@
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from sparlode.llm import toxicity
-from sparlode.llm.toxicity import Index, Vocabulary, select_terms
+from sparlode.llm.toxicity import Index, Vocabulary, association
 
 from .conftest import LONG, by_id
 
@@ -12,7 +15,7 @@ from .conftest import LONG, by_id
 def examples(seed, n, terms=40):
     rng = random.Random(seed)
     names = [f"term{k}" for k in range(terms)]
-    vocabulary = Vocabulary({t: (i, 1.0 + i / 7) for i, t in enumerate(names)})
+    vocabulary = Vocabulary({t: i for i, t in enumerate(names)}, 1.0 + np.arange(terms) / 7)
     out = []
     for i in range(n):
         counts = {t: rng.randrange(1, 4) for t in rng.sample(names, rng.randrange(0, 6))}
@@ -25,11 +28,10 @@ def test_nearest_is_exact(n):
     """Block-max search against cosines with every entry."""
     vocabulary, rows = examples(n, n)
     index = Index(vocabulary, rows, neighbours=10)
-    entries = [(np.concatenate([[b * toxicity.BLOCK]]), p) for b, p in enumerate(index.postings)]
     dense = np.zeros((len(index.count), len(vocabulary.terms)))
-    for b, (local, at, weight, _) in enumerate(index.postings):
-        dense[b * toxicity.BLOCK + local, at] = weight
-    assert entries is not None
+    for term in range(len(vocabulary.terms)):
+        own = slice(index.start[index.lists[term]], index.start[index.lists[term + 1]])
+        dense[index.entry[own], term] = index.weight[own]
     for _, at, weight, _ in rows[:80]:
         q = np.zeros(len(vocabulary.terms))
         q[at] = weight
@@ -47,7 +49,7 @@ def test_nearest_is_exact(n):
 
 
 def test_votes_and_calibration():
-    vocabulary = Vocabulary({"bad": (0, 1.0), "fine": (1, 1.0)})
+    vocabulary = Vocabulary({"bad": 0, "fine": 1}, np.ones(2))
     rows = [(i, *vocabulary.vector({"bad": 1} if i % 4 == 0 else {"fine": 1} if i % 4 == 1 else {}), int(i % 4 == 0)) for i in range(400)]
     index = Index(vocabulary, rows, neighbours=15)
     index.calibrate()
@@ -57,10 +59,48 @@ def test_votes_and_calibration():
         assert 0 <= index.score(text)[0] < 0.1
 
 
-def test_select_terms():
-    counts = {"bad": (40, 2), "rare": (2, 0), "fine": (1, 300), "all": (50, 500)}
-    assert list(select_terms(counts, 50, 500, 10, 25.0)) == ["bad"]
-    assert select_terms({}, 0, 0, 10, 25.0) == {}
+def test_association():
+    bad, rare, fine, all_of_them = association(np.array([40, 2, 1, 50]), np.array([2, 0, 300, 500]), 50, 500)
+    assert bad > fine > rare > all_of_them and abs(all_of_them) < 1e-6
+    assert association(np.zeros(0), np.zeros(0), 0, 0).shape == (0,)
+
+
+def test_neighbours_against_raw_texts(shipped, docs):
+    """The nearest examples by weighted TF-IDF cosine, worked out from the texts alone, all pairs."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices([f"word{k}" for k in range(60)], k=rng.randrange(1, 25)) + ["vile"] * (i % 3 == 0))) for i in range(150)]
+    labels = shipped.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows[:90]], "doc_id long, toxic int")
+    index = toxicity.fit(shipped, docs(rows), labels)
+    words = [Counter(re.findall(r"[a-z]+", t)) for _, t in rows]
+    held = Counter(w for c in words for w in c)
+
+    def weight(w):
+        p, n = (sum(w in words[i] for i in range(90) if (i % 3 == 0) == toxic) for toxic in (True, False))
+        g, cells = 0.0, [(p, p + n, 30), (n, p + n, 60), (30 - p, 90 - p - n, 30), (60 - n, 90 - p - n, 60)]
+        for seen, row, side in cells:
+            g += 2 * seen * math.log(seen * 90 / (row * side)) if seen else 0.0
+        return (math.log(151 / (1 + held[w])) + 1) * math.sqrt(max(0.0, g))
+
+    known = {w: weight(w) for c in words[:90] for w in c}
+    vectors = [{w: (1 + math.log(n)) * known[w] for w, n in c.items() if w in known} for c in words]
+    for q in vectors:
+        length = math.sqrt(sum(x * x for x in q.values())) or 1.0
+        for w in q:
+            q[w] /= length
+    for i, text in rows[90:]:
+        cosines = sorted((sum(x * vectors[k].get(w, 0.0) for w, x in vectors[i].items()) for k in range(90)), reverse=True)
+        got = [s for s, e in index.score(text)[1] for _ in range(index.count[e])]
+        want = [c for c in cosines[:15] if c > 1e-12]
+        assert np.allclose(got[:15], want, atol=1e-9)
+
+
+def test_bounds_on_the_sample(shipped, docs):
+    rows = corpus()
+    labels = shipped.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    some = toxicity.fit(shipped, docs([(i, t) for i, t, _ in rows]), labels, max_examples=40)
+    assert some.count.sum() + some.none[0] == 40
+    few = toxicity.fit(shipped, docs([(i, t) for i, t, _ in rows]), labels, max_postings=20)
+    assert 0 < few.count.sum() + few.none[0] <= 20 and len(few.weight) <= 20
 
 
 def corpus(rows=400):
