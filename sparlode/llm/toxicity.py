@@ -3,9 +3,9 @@
 Examples are a bounded, documented sample of labelled documents: those with the smallest
 hashes of their identifier. All lower-case words of the examples are terms. A document is a
 vector over them of length 1: (1 + log tf) * idf * association, where idf counts all documents
-and association is the square root of the term's log-likelihood ratio with the label over the
-examples. Association only weighs, it removes no term: without it, words that say nothing about
-the label decide who is near. Examples with the same vector are one entry with their labels
+and association is a floor plus the root of what the term's log-likelihood ratio with the label,
+over the examples, has above chance. Association only weighs, it removes no term: without it,
+words that say nothing about the label decide who is near. Examples with the same vector are one entry with their labels
 counted, so ties cost nothing.
 
 The index is inverted: a term's postings lie by block of entries, with the term's maximal
@@ -36,6 +36,9 @@ WORD = regex.compile(r"\p{L}+")
 #: Entries of a block, and blocks that are scored first.
 BLOCK, FIRST = 128, 2
 
+#: Weight of a term that says nothing about the label, and the log-likelihood ratio that chance exceeds for one term in a hundred.
+FLOOR, CHANCE = 0.1, 6.63
+
 
 def word_counts(text: str | None) -> Counter:
     return Counter(WORD.findall((text or "").lower()))
@@ -192,14 +195,14 @@ class Index:
 
 
 def association(positive_with: np.ndarray, negative_with: np.ndarray, positive: int, negative: int) -> np.ndarray:
-    """The square root of each term's log-likelihood ratio with the label, from the positive and negative examples that have it."""
+    """How strongly each term goes with the label, from the positive and negative examples that have it: FLOOR for what chance explains."""
 
     def part(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return a * np.log(np.maximum(a, 1e-300) / np.maximum(b, 1e-300))
 
     total, k = positive + negative, positive_with + negative_with
     g = sum(part(a.astype(float), n * side / max(1, total)) for a, n, side in ((positive_with, k, positive), (negative_with, k, negative), (positive - positive_with, total - k, positive), (negative - negative_with, total - k, negative)))
-    return np.sqrt(np.maximum(2.0 * g, 0.0))
+    return FLOOR + np.sqrt(np.maximum(2.0 * g - CHANCE, 0.0))
 
 
 def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
