@@ -10,7 +10,7 @@ in each round, so no join key ever gathers a hot text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -56,7 +56,7 @@ def exact_dedup(
         raise ValueError("fan_in must be 2 or more")
     best = F.min if keep == "min" else F.max
     scratch = Scratch(spark, "exact")
-    leaf = scratch.put(digest_runs(docs, id_col, text_col).sortWithinPartitions(*KEY), "leaf")
+    leaf = scratch.put(digest_runs(docs, id_col, text_col), "leaf")
     level = leaf.groupBy("run", *KEY).agg(best("id").alias("keep_id"), F.count("*").alias("n"))
     levels = [level]
     runs = leaf.agg(F.max("run")).first()[0] or 0
@@ -87,9 +87,23 @@ def exact_dedup(
 def drop_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
     """The documents with one row per text; columns stay as they are.
 
-    Rows repeated under one id with one text come out once. Rows without an id stay.
+    A row without an id goes if its text has a row with one. Rows repeated under one id with
+    one text come out once, and so does a text that has only rows without an id; which of
+    such rows stays is settled by a hash of their columns.
     """
-    marks = exact_dedup(spark, docs, id_col, text_col, keep)
-    gone = marks.where("NOT kept").select(F.col(id_col).alias("_gone_id"), F.col("text_sha256").alias("_gone_sha")).distinct()
     sha = F.sha2(normalised(F.col(f"`{text_col}`")), 256)
-    return docs.join(gone, (docs[id_col] == gone["_gone_id"]) & (sha == gone["_gone_sha"]), "left_anti")
+    marks = exact_dedup(spark, docs, id_col, text_col, keep).groupBy(F.col(id_col).alias("_i"), F.col("text_sha256").alias("_s")).agg(F.first("kept").alias("_kept"), F.count("*").alias("_n"))
+    fate = Scratch(spark, "exact").put(marks.where("NOT _kept OR _n > 1"), "fate")
+
+    def same(other: DataFrame):
+        return docs[id_col].eqNullSafe(other["_i"]) & (sha == other["_s"])
+
+    repeated = fate.where("_kept")
+    once = docs.join(fate, same(fate), "left_anti")
+    if repeated.isEmpty():
+        return once
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    line = Window.partitionBy(F.col(f"`{id_col}`"), sha).orderBy(F.xxhash64(*plain))
+    number = "_" * (1 + max(map(len, docs.columns)))
+    chosen = docs.join(repeated, same(repeated), "left_semi").withColumn(number, F.row_number().over(line)).where(F.col(number) == 1).drop(number)
+    return once.unionByName(chosen)
