@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import atexit
 import functools
-import gc
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_ROWS = 2000
+_LOCK = threading.Lock()
+_BEFORE: list[dict] = []
 _SHIPPED: set[str] = set()
 _ROOTS: list[tuple] = []
 
@@ -64,9 +68,9 @@ def _folder(spark: SparkSession, path: str) -> tuple:
 
 
 @atexit.register
-def clean() -> None:
-    """Delete every scratch folder of this process; sessions may be stopped by then, the JVM not."""
-    while _ROOTS:
+def clean(first: int = 0) -> None:
+    """Delete the scratch folders of this process, from the one numbered `first` on; sessions may be stopped by then, the JVM not."""
+    while len(_ROOTS) > first:
         fs, where = _ROOTS.pop()
         try:
             fs.delete(where, True)
@@ -74,6 +78,28 @@ def clean() -> None:
             pass
 
 
+@contextmanager
+def _writing(spark: SparkSession):
+    """The settings of scratch writes; the last of several at once restores what was set before."""
+    conf = spark.conf
+    before = conf.get(_BATCH)
+    rows = before if 0 < int(before) <= BATCH_ROWS else str(BATCH_ROWS)
+    with _LOCK:
+        if not _BEFORE:
+            _BEFORE.append({k: conf.get(k, None) for k in (_BATCH, _CLEANUP)})
+            conf.set(_BATCH, rows)
+            conf.set(_CLEANUP, "true")
+        _BEFORE.append({})
+    try:
+        yield
+    finally:
+        with _LOCK:
+            _BEFORE.pop()
+            if len(_BEFORE) == 1:
+                for k, v in _BEFORE.pop().items():
+                    conf.unset(k) if v is None else conf.set(k, v)
+
+
 class Scratch:
     """Intermediate tables in the shared folder: written once, read again with short lineage."""
 
@@ -86,32 +112,24 @@ class Scratch:
         """Write a table and read it again.
 
         While it is written, batches for Python hold at most BATCH_ROWS rows: rows hold whole
-        texts, and an executor has a batch in each direction for every core.
+        texts, and an executor has a batch in each direction for every core. Spark deletes the
+        shuffle files of the write when it is done; the table takes their place.
         """
-        path, conf = f"{self.root}/{name}", self.spark.conf
-        before = conf.get(_BATCH, None)
-        if before is None or not 0 < int(before) <= BATCH_ROWS:
-            conf.set(_BATCH, str(BATCH_ROWS))
-        try:
+        path = f"{self.root}/{name}"
+        with _writing(self.spark):
             df.write.mode("overwrite").parquet(path)
-        finally:
-            conf.unset(_BATCH) if before is None else conf.set(_BATCH, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def release(self) -> None:
-        """Let Spark delete the shuffle files of finished jobs now; it does so when the driver's JVM collects their plans.
-
-        The plan that ran last is still held, so a tiny one takes its place.
-        """
-        gc.collect()
-        self.spark.range(1).write.format("noop").mode("overwrite").save()
-        self.spark.sparkContext._jvm.System.gc()
-
     def drop(self, name: str) -> None:
         fs, where = _folder(self.spark, f"{self.root}/{name}")
         fs.delete(where, True)
 
 
+def scratch_count() -> int:
+    """How many scratch folders there are: `clean` from there deletes what later steps write."""
+    return len(_ROOTS)
+
+
 def wide(spark: SparkSession) -> int:
     """Partitions for a shuffle by key: the session's setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

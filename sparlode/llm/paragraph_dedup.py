@@ -199,11 +199,9 @@ def paragraph_dedup(
     classes = scratch.put(grouped.select(F.monotonically_increasing_id().alias("cls"), "hi", "lo", "copies", "r.lead", "r.keys"), "classes")
     places = scratch.put(every.drop("keys"), "places")
     scratch.drop("paragraphs")
-    scratch.release()
     band = classes.select(F.explode("keys").alias("key"), F.col("cls").alias("id"))
     first = band.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").select("key", "first")
     member = scratch.put(band.join(first, "key").select("key", "id", "first"), "members")
-    scratch.release()
     wanted = classes.join(member.select(F.col("id").alias("cls")).distinct(), "cls").select(F.col("lead.row").alias("row"), F.struct("cls", F.col("lead.place").alias("place"), "keys").alias("x"))
     listed = wanted.groupBy("row").agg(F.collect_list("x").alias("listed"))
     texts = source.select("row", "text").join(listed, "row").select("text", "listed")

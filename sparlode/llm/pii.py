@@ -19,6 +19,7 @@ replacements, and replacements that are themselves somebody's value.
 from __future__ import annotations
 
 import functools
+import os
 import re
 import sys
 import unicodedata
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 from hashlib import blake2b, sha256
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Given names by script and gender, surnames by script (and gender where the form differs), titles by gender.
@@ -78,6 +79,25 @@ NAMES = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES)})\.? (?P<after>{_NAME_WOR
 HINT = re.compile(r"[0-9@]|(?i:password=|token)")
 
 
+#: The setting that holds the key; without it every application draws one of its own.
+KEY_SETTING = "spark.sparlode.surrogate.key"
+_DRAWN: dict[str, bytes] = {}
+
+
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The session's key: the setting, as UTF-8 of 16 to 64 bytes, or a random one that lasts as long as the application.
+
+    Set it to have the same surrogates in several applications, and keep it secret: whoever has
+    it can find the values behind surrogates.
+    """
+    given = spark.conf.get(KEY_SETTING, None) or spark.sparkContext.getConf().get(KEY_SETTING)
+    if given:
+        if not 16 <= len(given.encode()) <= 64:
+            raise ValueError(f"{KEY_SETTING} must have 16 to 64 bytes")
+        return given.encode()
+    return _DRAWN.setdefault(spark.sparkContext.applicationId, os.urandom(32))
+
+
 def _digest(key: bytes, *parts: str) -> int:
     return int.from_bytes(blake2b("\x1f".join(parts).encode("utf-8", "surrogatepass"), key=key, digest_size=32).digest(), "big")
 

@@ -14,13 +14,10 @@ from .embedding_dedup import embedding_dedup
 from .exact_dedup import exact_dedup
 from .packing import pack
 from .paragraph_dedup import paragraph_dedup
-from .pii import replace_pii
+from .pii import replace_pii, surrogate_key
 from .setsketch import near_dedup
 from .suffix_dedup import suffix_dedup
 
-#: For the registered queries only; a deployment passes a secret of its own.
-SURROGATE_KEY = b"registered queries, not a secret"
-
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents stay when equal texts keep the largest doc_id."""
@@ -65,7 +62,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced by surrogates."""
     ship(spark)
-    return replace_pii(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return replace_pii(read_table(spark, sf_dir, "documents"), surrogate_key(spark))
 
 
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
