@@ -1,13 +1,15 @@
 """Near-duplicate vectors by navigable small-world graphs, one per shard.
 
 Equal vectors are one class first. Classes are dealt to shards by a hash; each shard's task
-builds a graph of its vectors. Then blocks of queries meet every shard: all classes are
-queries against all shards, in blocks of a bounded size. In each meeting a sample of the
-queries is audited against brute force over the shard, and the beam is doubled until the
-audit's recall is reached; a query whose whole beam lies above the threshold is widened on
-its own, to the whole shard, and so are all once the beam is a sixteenth of it. Cosines are
-verified in double precision. A meeting returns a count per query and, for the components, the
-smallest member that its links reach from each, never all pairs of a group.
+builds a graph of its vectors, settles the beam and finds the links among them. Then blocks of
+queries of every shard go to every other shard, where a graph is read once and many blocks pass
+by it. Two audits against brute force over the shard settle how wide a beam is: probes, made
+from the shard's own vectors at exactly the threshold, so that there are always links to be
+found; and a sample of the queries of each block. The beam is doubled until the recall is
+reached, up to half the shard, beyond which the whole shard is looked at. A query whose whole
+beam lies above the threshold may have more links than the beam holds and is held against the
+whole shard on its own. Cosines are verified in double precision. A meeting returns a row per
+linked query and component of the shard, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -21,14 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, wide
+from .common import Scratch
 from .components import connected_components
 from .hnsw import Graph
 
-#: Beam to start with, queries per block, audited queries per meeting, recall that an audit must reach.
-BEAM, BLOCK, AUDITED, RECALL = 32, 2048, 64, 0.995
-#: Fewest shards, most vectors in a shard, and largest total of all graphs that is broadcast, in bytes.
-FEWEST_SHARDS, SHARD_SIZE, BROADCAST = 6, 50_000, 64 << 20
+#: Beam to start with, queries per block, probes of a graph and audited queries per block, recall that audits must reach.
+BEAM, BLOCK, PROBES, AUDITED, RECALL = 32, 1024, 256, 32, 0.995
+#: Fewest shards, most vectors in a shard (but for chance), and blocks that share one copy of a graph.
+FEWEST_SHARDS, SHARD_SIZE, TOGETHER = 6, 50_000, 16
+#: Queries that are searched at once.
+STEP = 256
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,109 +59,172 @@ def _units(column, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float64).reshape(-1, dim)
 
 
-def _build(table: pa.Table) -> pa.Table:
+def settle(graph: Graph, units: np.ndarray, queries: np.ndarray, cosine: float, beam: int, own: np.ndarray | None = None) -> tuple[int, int, int]:
+    """(beam, found, true): the beam, from `beam` on, with which the queries' links are found, and how many were at last.
+
+    own has the positions of the queries themselves, whose links to themselves don't count. A
+    beam of the shard's size stands for looking at the whole shard.
+    """
+    n = len(units)
+    truth = (queries @ units.T) >= cosine
+    if own is not None:
+        truth[np.arange(len(queries)), own] = False
+    true = int(truth.sum())
+    while 2 * beam < n:
+        found = sum(int(truth[k, at].sum()) for k, at, _ in links(graph, units, queries, cosine, beam))
+        if found >= RECALL * true:
+            return beam, found, true
+        beam *= 2
+    return n, true, true
+
+
+def probes(units: np.ndarray, cosine: float) -> np.ndarray:
+    """Vectors whose cosine with a vector of the shard, each with another one, is the threshold."""
+    at = np.linspace(0, len(units) - 1, min(PROBES, len(units))).astype(int)
+    base = units[at]
+    aside = np.random.default_rng(11).normal(size=base.shape)
+    aside -= (aside * base).sum(axis=1)[:, None] * base
+    length = np.linalg.norm(aside, axis=1)[:, None]
+    level = min(1.0, cosine + 1e-9)
+    made = level * base + math.sqrt(1.0 - level * level) * aside / np.where(length > 1e-9, length, np.inf)
+    return made / np.linalg.norm(made, axis=1)[:, None]
+
+
+def links(graph: Graph, units: np.ndarray, queries: np.ndarray, cosine: float, beam: int) -> Iterator[tuple[int, np.ndarray, bool]]:
+    """(query, positions of the shard's vectors at or above the cosine in double precision, whether the whole shard was looked at)."""
+    margin = cosine - 1e-4  # the search works in single precision
+    for first in range(0, len(queries), STEP):
+        part = queries[first : first + STEP]
+        if 2 * beam >= len(units):
+            for k, row in enumerate((part @ units.T) >= cosine):
+                yield first + k, np.flatnonzero(row), True
+            continue
+        found, near = graph.search(part, beam)
+        # Queries whose beam ends above the threshold may have more links beyond it.
+        open_ = near[:, -1] >= margin
+        for k in np.flatnonzero(~open_):
+            at = found[k][near[k] >= margin]
+            yield first + k, at[units[at] @ part[k] >= cosine], False
+        for k in np.flatnonzero(open_):
+            yield first + k, np.flatnonzero(units @ part[k] >= cosine), True
+
+
+def _build(table: pa.Table, cosine: float) -> pa.Table:
+    """A shard's graph, the links within the shard and what its audits found."""
     table = table.sort_by("id")
     dim, shard = table["dim"][0].as_py(), table["shard"][0].as_py()
-    units = _units(table["unit"], dim)
+    units = np.frombuffer(b"".join(table["unit"].to_pylist()), dtype=np.float64).reshape(-1, dim)
     graph = Graph.build(units.astype(np.float32))
-    many = np.ascontiguousarray(table["copies"].to_numpy())
-    ids = np.ascontiguousarray(table["id"].to_numpy())
-    return pa.table({"dim": [dim], "shard": pa.array([shard], pa.int32()), "graph": pa.array([graph.to_bytes()], pa.binary()), "units": pa.array([units.tobytes()], pa.binary()), "ids": pa.array([ids.tobytes()], pa.binary()), "copies": pa.array([many.tobytes()], pa.binary())}, schema=_GRAPHS)
-
-
-_GRAPHS = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), ("graph", pa.binary()), ("units", pa.binary()), ("ids", pa.binary()), ("copies", pa.binary())])
+    many, ids = (np.ascontiguousarray(table[c].to_numpy()) for c in ("copies", "id"))
+    beam, found, true = settle(graph, units, probes(units, cosine), cosine, min(BEAM, len(units)))
+    sample = np.linspace(0, len(units) - 1, min(4 * AUDITED, len(units))).astype(int)
+    beam, more, truth = settle(graph, units, units[sample], cosine, beam, sample)
+    parent, linked, whole = np.arange(len(ids)), np.zeros(len(ids), dtype=np.int64), 0
+
+    def roots(at: np.ndarray) -> np.ndarray:
+        up = parent[at]
+        while (up != parent[up]).any():
+            up = parent[up]
+        return up
+
+    for q, at, all_seen in links(graph, units, units, cosine, beam):
+        whole += all_seen
+        at = at[at != q]
+        if len(at):
+            linked[q] = many[at].sum()
+            both = np.append(at, q)
+            top = np.unique(roots(both))
+            parent[top] = top[0]
+            parent[both] = top[0]
+    labels = ids[roots(np.arange(len(ids)))]  # in order of ids, so the smallest position has the smallest id
+    rows = {"dim": dim, "shard": shard, "graph": graph.to_bytes(), "units": units.tobytes(), "ids": ids.tobytes(), "copies": many.tobytes(), "labels": labels.tobytes(), "linked": linked.tobytes()}
+    rows |= {"beam": beam, "true": true + truth, "found": found + more, "asked": len(ids), "whole": whole}
+    return pa.table({k: [v] for k, v in rows.items()}, schema=_GRAPHS)
+
+
+_BYTES = ("graph", "units", "ids", "copies", "labels", "linked")
+_COUNTS = ("beam", "true", "found", "asked", "whole")
+_GRAPHS = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), *[(c, pa.binary()) for c in _BYTES], *[(c, pa.int64()) for c in _COUNTS]])
+GRAPHS = "dim int, shard int, " + ", ".join(f"{c} binary" for c in _BYTES) + ", " + ", ".join(f"{c} long" for c in _COUNTS)
 
 
 def _block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Classes packed into blocks of queries of one dimension."""
-    waiting: dict[int, tuple[list, list]] = {}
+    """Classes packed into blocks of queries of one dimension and shard."""
+    waiting: dict[tuple[int, int], tuple[list, list]] = {}
 
-    def pack(dim: int) -> pa.RecordBatch:
-        ids, units = waiting.pop(dim)
-        return pa.record_batch([pa.array([dim], pa.int32()), pa.array([min(ids)], pa.int64()), pa.array([np.array(ids, dtype=np.int64).tobytes()], pa.binary()), pa.array([b"".join(units)], pa.binary())], names=["dim", "block", "query_ids", "queries"])
+    def pack(key: tuple[int, int]) -> pa.RecordBatch:
+        ids, units = waiting.pop(key)
+        return pa.record_batch(
+            [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([min(ids)], pa.int64()), pa.array([np.array(ids, dtype=np.int64).tobytes()], pa.binary()), pa.array([b"".join(units)], pa.binary())],
+            names=["dim", "home", "block", "query_ids", "queries"],
+        )
 
     for batch in batches:
-        for i, dim, unit in zip(*(batch.column(k).to_pylist() for k in ("id", "dim", "unit"))):
-            ids, units = waiting.setdefault(dim, ([], []))
+        for i, dim, shard, unit in zip(*(batch.column(k).to_pylist() for k in ("id", "dim", "shard", "unit"))):
+            ids, units = waiting.setdefault((dim, shard), ([], []))
             ids.append(i)
             units.append(unit)
             if len(ids) >= BLOCK:
-                yield pack(dim)
-    for dim in sorted(waiting):
-        yield pack(dim)
-
-
-def find_links(graph: Graph, units: np.ndarray, queries: np.ndarray, cosine: float) -> list[np.ndarray]:
-    """For each query the positions of the shard's vectors at or above the cosine (double precision)."""
-    n, beam = len(units), min(BEAM, len(units))
-    audited = np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)
-    truth = (queries[audited] @ units.T) >= cosine
+                yield pack((dim, shard))
+    for key in sorted(waiting):
+        yield pack(key)
 
-    def verified(q: np.ndarray, found: np.ndarray) -> list[np.ndarray]:
-        out = []
-        for row, ids in zip(q, found):
-            ids = ids[ids >= 0]
-            out.append(ids[units[ids] @ queries[row] >= cosine])
-        return out
 
-    margin = cosine - 1e-4  # the search works in single precision
-    while 16 * beam < n:
-        found, near = graph.search(queries, beam)
-        # Queries whose beam ends above the threshold may have more links beyond it.
-        out = verified(np.arange(len(queries)), np.where(near >= margin, found, -1))
-        open_ = np.flatnonzero(near[:, -1] >= margin)
-        for row, links in zip(open_, _whole(units, queries[open_], cosine)):
-            out[row] = links
-        hits = sum(int(truth[k, out[a]].sum()) for k, a in enumerate(audited))
-        if hits >= RECALL * truth.sum():
-            return out
-        beam *= 2
-    return _whole(units, queries, cosine)  # a beam that wide costs more than looking at the whole shard
+MET = "a long, b long, n long, true long, found long, asked long, whole long"
 
 
-def _whole(units: np.ndarray, queries: np.ndarray, cosine: float) -> list[np.ndarray]:
-    return [np.flatnonzero(row) for i in range(0, len(queries), 256) for row in (queries[i : i + 256] @ units.T) >= cosine]
+def _met(**columns: list) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    names = ["a", "b", "n", "true", "found", "asked", "whole"]
+    return pa.record_batch([pa.array(columns.get(c, [None] * n), pa.int64()) for c in names], names=names)
 
 
 def _meet(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
-    """(a, b, n): n links of query a in the shard (b null), or a is linked to b, the smallest that the meeting's links reach from it (n null)."""
-    loaded: tuple = (None, None)
+    """Rows come by shard, the graph before its blocks.
+
+    (a, b, n): query a has n links in the shard and one of them is in the component of b; a
+    further component is a row with 0. A row without a has the audit of a block.
+    """
+    loaded: tuple | None = None
     for batch in batches:
         for row in range(batch.num_rows):
             got = {k: batch.column(k)[row] for k in batch.schema.names}
-            dim, shard = got["dim"].as_py(), got["shard"].as_py()
-            if loaded[0] != (dim, shard):
-                loaded = ((dim, shard), (Graph.from_bytes(got["graph"].as_py()), _flat(got["units"], np.float64).reshape(-1, dim), _flat(got["ids"], np.int64), _flat(got["copies"], np.int64)))
-            graph, units, ids, copies = loaded[1]
-            asked = _flat(got["query_ids"], np.int64)
-            links = find_links(graph, units, _flat(got["queries"], np.float64).reshape(-1, dim), cosine)
-            root: dict[int, int] = {}
-
-            def find(x: int) -> int:
-                while root.setdefault(x, x) != x:
-                    root[x] = x = root[root[x]]
-                return x
-
-            counted = []
-            for q, at in zip(asked.tolist(), links):
-                at = at[ids[at] != q]
+            place = (got["dim"].as_py(), got["shard"].as_py())
+            if got["graph"].is_valid:
+                units = _flat(got["units"], np.float64).reshape(-1, place[0])
+                loaded = (place, Graph.from_bytes(got["graph"].as_py(), units.astype(np.float32)), units, _flat(got["copies"], np.int64), _flat(got["labels"], np.int64), got["beam"].as_py())
+                continue
+            if loaded is None or loaded[0] != place:
+                continue  # a shard without vectors
+            _, graph, units, copies, labels, beam = loaded
+            asked, queries = _flat(got["query_ids"], np.int64), _flat(got["queries"], np.float64).reshape(-1, place[0])
+            sample = np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int)
+            beam, found, true = settle(graph, units, queries[sample], cosine, beam)
+            out, whole = ([], [], []), 0
+            for q, at, all_seen in links(graph, units, queries, cosine, beam):
+                whole += all_seen
                 if len(at):
-                    counted.append((q, int(copies[at].sum())))
-                    for t in ids[at].tolist():
-                        one, other = find(q), find(t)
-                        root[max(one, other)] = min(one, other)
-            edges = [(x, find(x)) for x in list(root) if find(x) != x]
-            yield pa.record_batch(
-                [pa.array([c[0] for c in counted] + [e[0] for e in edges], pa.int64()), pa.array([None] * len(counted) + [e[1] for e in edges], pa.int64()), pa.array([c[1] for c in counted] + [None] * len(edges), pa.int64())],
-                names=["a", "b", "n"],
-            )
+                    for k, label in enumerate(np.unique(labels[at]).tolist()):
+                        for column, x in zip(out, (int(asked[q]), label, 0 if k else int(copies[at].sum()))):
+                            column.append(x)
+            yield _met(a=out[0], b=out[1], n=out[2])
+            yield _met(true=[true], found=[found], asked=[len(queries)], whole=[whole])
+
+
+def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows for the links within shards."""
+    for batch in batches:
+        for ids, labels, linked, *counts in zip(*(batch.column(c) for c in ("ids", "labels", "linked", "true", "found", "asked", "whole"))):
+            a, b, n = (_flat(x, np.int64) for x in (ids, labels, linked))
+            yield _met(a=a[n > 0], b=b[n > 0], n=n[n > 0])
+            yield _met(**dict(zip(("true", "found", "asked", "whole"), ([c.as_py()] for c in counts))))
 
 
 def _flat(value: pa.Scalar, kind) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), dtype=kind)
 
 
-def embedding_dedup(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95) -> DataFrame:
+def embedding_dedup(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.95, report: dict | None = None) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept.
 
     Two vectors are linked when their cosine, in double precision, is at least `cosine`.
@@ -166,7 +233,8 @@ def embedding_dedup(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     hold a null or non-finite component link with nothing, and so do vectors of different
     lengths. Rows repeated under one id are one node with the links of all. Rows without an
     id link with nothing (null component, kept). An empty table gives an empty result; other
-    columns are ignored.
+    columns are ignored. report, if given, is filled with the audits: true links and those
+    found, queries asked of shards and those held against a whole shard.
     """
     scratch = Scratch(spark, "vectors")
     source = vectors.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{vector_col}`").cast("array<double>"))
@@ -178,21 +246,24 @@ def embedding_dedup(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     most = max(sizes.values(), default=0)
     shards = max(FEWEST_SHARDS, math.ceil(most / SHARD_SIZE))
     dealt = classes.withColumn("shard", F.pmod(F.xxhash64("hi", "lo"), F.lit(shards)).cast("int"))
-    graphs = scratch.put(dealt.select("dim", "shard", "id", "unit", "copies").groupBy("dim", "shard").applyInArrow(_build, "dim int, shard int, graph binary, units binary, ids binary, copies binary"), "graphs")
-    # As many parts as fill their blocks, but enough to keep the cluster busy.
-    parts = max(1, math.ceil(sum(sizes.values()) / BLOCK))
-    blocks = classes.select("id", "dim", "unit").repartition(parts, "id").mapInArrow(_block, "dim int, block long, query_ids binary, queries binary")
-    asked = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    total = graphs.agg(F.sum(sum(F.octet_length(c) for c in ("graph", "units", "ids", "copies")))).first()[0] or 0
-    if total <= BROADCAST:
-        met = asked.repartition(min(parts * shards, 8 * wide(spark)), "block", "shard").join(F.broadcast(graphs), ["dim", "shard"])
-    else:  # each graph goes to several tasks, each with some blocks of queries
-        salts = max(1, parts // 4)
-        salted = graphs.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-        met = asked.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts))).join(salted, ["dim", "shard", "salt"]).drop("salt")
-    met = scratch.put(met.select("dim", "shard", "query_ids", "queries", "graph", "units", "ids", "copies").mapInArrow(lambda it: _meet(it, cosine), "a long, b long, n long"), "met")
-    found = connected_components(met.where("b IS NOT NULL").select("a", "b"), scratch)
-    counts = met.where("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("linked"))
+    dealt = scratch.put(dealt.select("dim", "shard", "id", "unit", "copies"), "dealt")
+    homes = len(sizes) * shards
+    built = dealt.repartition(max(1, homes), "dim", "shard").groupBy("dim", "shard").applyInArrow(lambda t: _build(t, cosine), GRAPHS)
+    graphs = scratch.put(built, "graphs")
+    # Blocks of one shard's classes, sent to all other shards.
+    total = sum(sizes.values())
+    each = max(1, math.ceil(total / (BLOCK * max(1, homes))))
+    blocks = dealt.repartition(max(1, homes * each), "dim", "shard", F.pmod(F.xxhash64("id"), F.lit(each))).select("id", "dim", "shard", "unit").mapInArrow(_block, "dim int, home int, block long, query_ids binary, queries binary")
+    salts = max(1, math.ceil(total / (BLOCK * TOGETHER)))
+    asked = blocks.withColumn("shard", F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda x: x != F.col("home")))).withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)))
+    shown = graphs.select("dim", "shard", "graph", "units", "copies", "labels", "beam").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    passing = shown.unionByName(asked.select("dim", "shard", "salt", "query_ids", "queries"), allowMissingColumns=True)
+    passing = passing.repartition(max(1, 3 * homes * salts), "dim", "shard", "salt").sortWithinPartitions("dim", "shard", "salt", F.col("graph").isNull())
+    met = scratch.put(passing.mapInArrow(lambda it: _meet(it, cosine), MET).unionByName(graphs.select("ids", "labels", "linked", "true", "found", "asked", "whole").mapInArrow(_within, MET)), "met")
+    if report is not None:
+        report.update(met.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("true", "found", "asked", "whole")]).first().asDict())
+    found = connected_components(met.where("a != b").select("a", "b"), scratch)
+    counts = met.where("a IS NOT NULL").groupBy("a").agg(F.sum("n").alias("linked"))
     told = (
         classes.select("dim", "hi", "lo", "copies", "id")
         .join(found, F.col("id") == F.col("node"), "left")

@@ -165,16 +165,16 @@ class Graph:
         return self._lowest
 
     def to_bytes(self) -> bytes:
+        """The levels; the vectors are kept beside them."""
         out = io.BytesIO()
-        parts = {"vectors": self.vectors} | {f"{k}{i}": x for i, level in enumerate(self.levels) for k, x in zip(("nodes", "links"), level)}
-        np.savez(out, **parts)
+        np.savez(out, **{f"{k}{i}": x for i, level in enumerate(self.levels) for k, x in zip(("nodes", "links"), level)})
         return out.getvalue()
 
     @classmethod
-    def from_bytes(cls, data: bytes) -> "Graph":
+    def from_bytes(cls, data: bytes, vectors: np.ndarray) -> "Graph":
         with np.load(io.BytesIO(data)) as z:
             count = sum(k.startswith("nodes") for k in z.files)
-            return cls(z["vectors"], [(z[f"nodes{i}"], z[f"links{i}"]) for i in range(count)])
+            return cls(vectors, [(z[f"nodes{i}"], z[f"links{i}"]) for i in range(count)])
 
 
 def beam_search(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:

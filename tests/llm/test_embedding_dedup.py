@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import sparlode.llm.embedding_dedup as module
-from sparlode.llm.embedding_dedup import embedding_dedup, find_links
+from sparlode.llm.embedding_dedup import embedding_dedup, links, probes, settle
 from sparlode.llm.hnsw import Graph
 
 
@@ -52,8 +52,8 @@ def test_against_all_pairs(shipped, monkeypatch):
     assert got == brute(rows)
 
 
-def test_shuffled_graphs(shipped, monkeypatch):
-    monkeypatch.setattr(module, "BROADCAST", 0)
+def test_many_blocks_and_copies_of_graphs(shipped, monkeypatch):
+    monkeypatch.setattr(module, "TOGETHER", 1)
     monkeypatch.setattr(module, "BLOCK", 32)
     rows = [(i, v) for i, v in sample() if i < 200]
     rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
@@ -61,6 +61,29 @@ def test_shuffled_graphs(shipped, monkeypatch):
     assert got == brute(rows)
 
 
+def test_through_the_graphs(shipped):
+    """5,400 vectors, few of them linked: audits have links to judge by, hardly a query sees a whole shard, all links are found."""
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(5000, 32))
+    near = [(10, 400), (20, 900), (4000, 4500)] + [(k, k + 2500) for k in range(100, 190)]
+    for a, b in near:
+        v[b] = v[a] + rng.normal(size=32) * 0.1
+    group = v[7] + rng.normal(size=(400, 32)) * 0.05
+    rows = [(i, [float(x) for x in u]) for i, u in enumerate(np.concatenate([v, group]).astype(np.float32))]
+    report = {}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup(shipped, frame(shipped, rows), report=report).collect()}
+    u = np.array([x for _, x in rows], dtype=np.float64)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    truth = (u @ u.T) >= 0.95
+    np.fill_diagonal(truth, False)
+    assert report["true"] >= 6 * 256 and report["found"] >= 0.995 * report["true"]
+    assert 0 < report["whole"] < 0.2 * report["asked"]
+    assert sum(n for n, _ in got.values()) >= 0.995 * truth.sum()
+    assert all(got[i][0] <= truth[i].sum() for i in got)
+    assert sum(got[a][1] == got[b][1] for a, b in near) >= len(near) - 1
+    assert {got[i][1] for i in range(5000, 5400)} == {7}
+
+
 def test_empty_and_null_ids(shipped):
     assert embedding_dedup(shipped, frame(shipped, [])).count() == 0
     got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup(shipped, frame(shipped, [(None, [1.0, 0.0]), (1, [1.0, 0.0])])).collect()]
@@ -73,9 +96,13 @@ def test_recall_against_brute_force(n):
     v = rng.normal(size=(n, 24))
     v[n // 2 :] = v[: n - n // 2] + rng.normal(size=(n - n // 2, 24)) * 0.05
     v /= np.linalg.norm(v, axis=1)[:, None]
-    graph = Graph.from_bytes(Graph.build(v.astype(np.float32)).to_bytes())
-    found = find_links(graph, v, v, 0.95)
+    graph = Graph.from_bytes(Graph.build(v.astype(np.float32)).to_bytes(), v.astype(np.float32))
+    beam, seen, true = settle(graph, v, probes(v, 0.95), 0.95, min(32, n))
+    assert true >= min(n, 256) and seen >= 0.995 * true and (n < 3000 or beam < n)
+    found = [None] * n
+    for k, at, _ in links(graph, v, v, 0.95, beam):
+        found[k] = at
     truth = (v @ v.T) >= 0.95
     hits = sum(int(truth[i, f].sum()) for i, f in enumerate(found))
-    assert hits >= 0.98 * truth.sum()
+    assert hits >= 0.995 * truth.sum()
     assert sum(len(f) for f in found) == hits
