@@ -1,4 +1,4 @@
-"""Suffix arrays and longest-previous-factor arrays of concatenated strings, in numpy."""
+"""Suffix order and longest-previous-factor arrays of concatenated strings, in numpy."""
 
 from __future__ import annotations
 
@@ -18,12 +18,12 @@ def concatenate(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return symbols, begins
 
 
-def suffix_order(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(symbols: np.ndarray, depth: int | None = None, levels: list[tuple[int, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(order, rank): the suffixes sorted by their first `depth` symbols (all if None), equal ones by position.
 
     Prefix doubling: ranks by h symbols give ranks by up to 2h of them, beginning with as many
     symbols as fit in one integer. Suffixes that agree in the symbols compared have the same
-    rank.
+    rank. levels, if given, gets (h, ranks by h symbols) of every step.
     """
     n = len(symbols)
     if not n:
@@ -37,7 +37,11 @@ def suffix_order(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndar
         key[: n - j] |= symbols[j:]
     order = np.argsort(key)
     rank = _ranks(key, order)
-    while h < depth and rank[order[-1]] < n - 1:
+    while True:
+        if levels is not None:
+            levels.append((h, rank))
+        if h >= depth or rank[order[-1]] == n - 1:
+            return np.argsort(rank * n + np.arange(n)), rank
         step = min(h, depth - h)
         ahead = np.zeros(n, dtype=np.int64)
         ahead[: n - step] = rank[step:] + 1
@@ -45,7 +49,6 @@ def suffix_order(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndar
         order = np.argsort(key)
         rank = _ranks(key, order)
         h += step
-    return np.argsort(rank * n + np.arange(n)), rank
 
 
 def _ranks(key: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -55,62 +58,82 @@ def _ranks(key: np.ndarray, order: np.ndarray) -> np.ndarray:
     return rank
 
 
-def common_prefixes(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of each suffix and the one before it in a full suffix order."""
-    n = len(symbols)
-    place = np.empty(n, dtype=np.int64)
-    place[order] = np.arange(n)
-    out = np.zeros(n, dtype=np.int64)
-    h = 0
-    text = symbols.tolist()
-    for i in range(n):
-        p = place[i]
-        if not p:
-            h = 0
-            continue
-        j = int(order[p - 1])
-        while i + h < n and j + h < n and text[i + h] == text[j + h]:
-            h += 1
-        out[p] = h
-        h = max(0, h - 1)
-    return out
-
-
-def longest_previous_factors(symbols: np.ndarray) -> np.ndarray:
-    """For each position the length of the longest string from there that also starts earlier.
-
-    The suffix that starts earlier and shares most lies at the previous or the next smaller
-    position in suffix order; both come from one pass with a stack that carries the common
-    prefixes between neighbours.
+def previous_smaller(values: np.ndarray) -> np.ndarray:
+    """For each place of a list of different numbers >= 0 the last place before it with a smaller number, or -1.
+
+    All places look one to the left and follow each other's answers while these are too large;
+    where that takes many rounds, one pass with a stack finds all.
+    """
+    n = len(values)
+    found = np.arange(-1, n - 1)
+    known = np.append(values, -1)  # place -1 is the last
+    active = np.arange(n)
+    for _ in range(200):
+        active = active[known[found[active]] > values[active]]
+        if not len(active):
+            return found
+        found[active] = found[found[active]]
+    stack: list[int] = []
+    listed = values.tolist()
+    for i, x in enumerate(listed):
+        while stack and listed[stack[-1]] > x:
+            stack.pop()
+        found[i] = stack[-1] if stack else -1
+        stack.append(i)
+    return found
+
+
+def common_prefix(symbols: np.ndarray, levels: list[tuple[int, np.ndarray]], depth: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the common prefix, up to `depth`, of the suffixes at a and b, which differ and end in separators of their own.
+
+    Ranks by h symbols tell whether h symbols agree: from the deepest level down each is tried
+    once, then single symbols.
     """
-    order, _ = suffix_order(symbols)
-    shared = common_prefixes(symbols, order).tolist()
-    out = np.zeros(len(symbols), dtype=np.int64)
-    stack: list[list[int]] = []  # position, common prefix with the position below it
-    for position, common in zip([*order.tolist(), -1], [*shared, 0]):
-        while stack and stack[-1][0] > position:
-            top, below = stack.pop()
-            out[top] = max(below, common)  # previous and next smaller position
-            common = min(below, common)
-        stack.append([position, common])
-    return out
+    shared = np.zeros(len(a), dtype=np.int64)
+    for h, rank in reversed(levels):
+        shared += np.where(rank[a + shared] == rank[b + shared], h, 0) if h < depth else 0
+    last = levels[-1]
+    for _ in range(min(levels[0][0], depth) - 1):
+        going = symbols[a + shared] == symbols[b + shared]
+        if not going.any():
+            break
+        shared += going
+    if last[0] >= depth:
+        shared = np.where(last[1][a] == last[1][b], depth, np.minimum(shared, depth))
+    return shared
+
+
+def longest_previous_factors(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(factor, source): for each position the length, up to `depth`, of the longest string from there that also starts earlier, and a place where it does (-1 if none).
+
+    Of the suffixes that start earlier, one that shares most lies at the previous or the next
+    smaller position in suffix order. The symbols come from `concatenate`. Sorting stops at
+    the depth; suffixes that agree so far lie in order of position.
+    """
+    n = len(symbols)
+    factor, source = np.zeros(n, dtype=np.int64), np.full(n, -1, dtype=np.int64)
+    if not n:
+        return factor, source
+    levels: list[tuple[int, np.ndarray]] = []
+    order, _ = suffix_order(symbols, depth, levels)
+    before = previous_smaller(order)
+    after = n - 1 - previous_smaller(order[::-1])[::-1]
+    for near, none in ((before, -1), (after, n)):
+        place = np.flatnonzero(near != none)
+        at, other = order[place], order[near[place]]
+        shared = common_prefix(symbols, levels, n if depth is None else depth, at, other)
+        better = shared > factor[at]
+        factor[at[better]], source[at[better]] = shared[better], other[better]
+    return factor, source
 
 
 def repeated_starts(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(later, any): positions from which `length` symbols also start earlier, and anywhere else.
 
-    The suffixes are sorted to this depth only. Those that agree are neighbours in order of
-    position, so for each but the first the previous smaller position in suffix order is its
-    neighbour and its previous factor has the length; for the first, neither smaller
-    position agrees that far.
+    Of several such positions each but the first has one of them as its source, the second has the first.
     """
-    order, rank = suffix_order(symbols, length)
-    later = np.zeros(len(symbols), dtype=bool)
-    if len(order) > 1:
-        same = rank[order[1:]] == rank[order[:-1]]
-        later[order[1:][same]] = True
-        anywhere = later.copy()
-        anywhere[order[:-1][same]] = True
-    else:
-        anywhere = later.copy()
+    factor, source = longest_previous_factors(symbols, length)
+    later = factor >= length
+    anywhere = later.copy()
+    anywhere[source[later]] = True
     return later, anywhere

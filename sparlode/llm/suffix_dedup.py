@@ -1,4 +1,4 @@
-"""Removal of repeated substrings by suffixes sorted to the depth of a window.
+"""Removal of repeated substrings by longest-previous-factor arrays.
 
 A string of `length` bytes that occurs twice is found without a global suffix array. Each
 window of that many bytes belongs to the bucket named by the smallest hash of its short
@@ -6,27 +6,30 @@ substrings, so equal windows share a bucket wherever they are. Consecutive windo
 bucket are one segment. Per bucket:
 
 * one segment, its bucket's hash only once in it: nothing in it can repeat;
-* segments that are all equal: every window of them repeats;
+* segments that are all equal: copies of one text, whose windows all repeat;
 * else the distinct segments go to one task, with those of other buckets, as one
-  concatenated text in document order. Its suffixes are sorted to the depth of a window;
-  windows of equal rank are equal, and all but the first of them start earlier too;
+  concatenated text in document order. Previous and next smaller positions in its suffix
+  order give each position's longest previous factor; a window repeats an earlier one where
+  that reaches the window's length, and the place it comes from repeats too;
 * a bucket with very many distinct segments (a passage that is common in different
   surroundings) is divided by the windows' own hashes until equal windows alone are
   together; of these all but the first have a previous factor of full length.
 
-Segments are compared by 128-bit hashes, so copies of a text cost one row each and no group
-of copies meets in a task.
+Segments and windows are compared by 128-bit hashes (XXH3), so copies of a text cost one row
+each and no group of copies meets in a task. Documents are known by identifier and a hash of
+their text.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 from .common import Scratch, wide
 from .shingles import mix
@@ -37,47 +40,35 @@ GRAM, LONGEST, CHUNK = 64, 4096, 1 << 20
 #: Distinct segments from which a bucket is divided by windows, and bytes that are sorted together.
 CROWDED, TOGETHER = 1000, 1_000_000
 _rng = np.random.default_rng(20240301)
-_TABLES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
+_TABLE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
 
 
-def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Powers of each base and of its inverse modulo 2**64."""
-    if not _POWERS or len(_POWERS[0][0]) < n:
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    if not _POWERS or len(_POWERS[0]) < n:
         _POWERS.clear()
-        for base in _BASES:
-            pair = []
-            for b in (base, pow(base, -1, 1 << 64)):
-                p = np.full(max(n, 1 << 16), b, dtype=np.uint64)
-                p[0] = 1
-                pair.append(np.multiply.accumulate(p))
-            _POWERS.append(tuple(pair))
+        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+            p = np.full(max(n, 1 << 16), b, dtype=np.uint64)
+            p[0] = 1
+            _POWERS.append(np.multiply.accumulate(p))
     return _POWERS
 
 
-class Hashes:
-    """Hashes of the substrings of a byte string, in constant time each."""
+def gram_hashes(data: bytes, size: int) -> np.ndarray:
+    """A hash of every substring of `size` bytes. It names buckets only: different substrings with one hash share a bucket, no more."""
+    raw = np.frombuffer(data, dtype=np.uint8)
+    power, inverse = _powers(len(raw) + 1)
+    s = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(_TABLE[raw] * inverse[: len(raw)], out=s[1:])
+    n = len(s) - size
+    return mix((s[size:] - s[:-size]) * power[:n] + np.uint64(size))
 
-    def __init__(self, data: bytes):
-        raw = np.frombuffer(data, dtype=np.uint8)
-        n = len(raw)
-        self.powers = _powers(n + 1)
-        self.sums = []
-        for table, (_, inverse) in zip(_TABLES, self.powers):
-            s = np.zeros(n + 1, dtype=np.uint64)
-            np.cumsum(table[raw] * inverse[:n], out=s[1:])
-            self.sums.append(s)
 
-    def of(self, which: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Hash `which` (0 or 1) of the bytes from each start to each end."""
-        return mix((self.sums[which][end] - self.sums[which][start]) * self.powers[which][0][start] + (end - start).astype(np.uint64))
-
-    def every(self, which: int, size: int) -> np.ndarray:
-        """Hash `which` of every substring of `size` bytes."""
-        s = self.sums[which]
-        n = len(s) - size
-        return mix((s[size:] - s[:-size]) * self.powers[which][0][:n] + np.uint64(size))
+def content_hashes(data: bytes, starts: Iterable[int], ends: Iterable[int]) -> np.ndarray:
+    """128-bit hashes of the bytes from each start to each end, as two columns."""
+    return np.frombuffer(b"".join([xxh3_128_digest(data[a:b]) for a, b in zip(starts, ends)]), dtype=np.int64).reshape(-1, 2)
 
 
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
@@ -98,8 +89,7 @@ def segments(data: bytes, length: int) -> tuple[np.ndarray, ...]:
     last = len(data) - length + 1  # number of windows
     for base in range(0, max(0, last), CHUNK):
         part = data[base : base + CHUNK + length - 1]
-        hashes = Hashes(part)
-        grams = hashes.every(0, gram)
+        grams = gram_hashes(part, gram)
         span = length - gram + 1
         low = sliding_minimum(grams, span)
         cuts = np.flatnonzero(low[1:] != low[:-1]) + 1
@@ -113,11 +103,11 @@ def segments(data: bytes, length: int) -> tuple[np.ndarray, ...]:
         if (ends - starts).max() > LONGEST:
             cut = [(s, min(s + LONGEST, b), m) for a, b, m in zip(starts.tolist(), ends.tolist(), many.tolist()) for s in range(a, b, LONGEST)]
             starts, ends, many = np.array([c[0] for c in cut]), np.array([c[1] for c in cut]), np.array([c[2] for c in cut])
-        stop = ends - 1 + length
-        for column, x in zip(out, (low[starts], starts + base, ends - 1 + base, hashes.of(0, starts, stop), hashes.of(1, starts, stop), many)):
+        content = content_hashes(part, starts.tolist(), (ends - 1 + length).tolist())
+        for column, x in zip(out, (low[starts], starts + base, ends - 1 + base, content[:, 0], content[:, 1], many)):
             column.append(x)
     if not out[0]:
-        return tuple(np.zeros(0, dtype=k) for k in (np.uint64, np.int64, np.int64, np.uint64, np.uint64, bool))
+        return tuple(np.zeros(0, dtype=k) for k in (np.uint64, np.int64, np.int64, np.int64, np.int64, bool))
     return tuple(np.concatenate(c) for c in out)
 
 
@@ -198,27 +188,26 @@ def _sorted_together(batches: Iterator[pa.RecordBatch], length: int, keep_first:
         yield settle(waiting)
 
 
-def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """A row for every window of a segment: two hashes of its bytes, the segment, its copies, its place in document order."""
-    names = ["w1", "w2", "bucket", "c1", "c2", "copies", "id", "row", "spot", "begin"]
+def _windows(batches: Iterator[pa.RecordBatch], length: int, placed: bool) -> Iterator[pa.RecordBatch]:
+    """A row for every window of a segment: its hash, the segment's number, where it begins there; placed adds its place in document order."""
+    names = ["w1", "w2", "segment", "begin", *["id", "row", "spot"] * placed]
     for batch in batches:
-        for bucket, c1, c2, copies, doc, row, first, data in zip(*(batch.column(k).to_pylist() for k in ("bucket", "c1", "c2", "copies", "id", "row", "first", "data"))):
-            hashes = Hashes(data)
-            w = [hashes.every(k, length).view(np.int64) for k in (0, 1)]
-            n = len(w[0])
-            same = [pa.array([x] * n, pa.int64()) for x in (bucket, c1, c2, copies, doc, row)]
-            yield pa.record_batch([pa.array(w[0]), pa.array(w[1]), *same, pa.array(np.arange(n) + first), pa.array(np.arange(n))], names=names)
+        for segment, doc, row, first, data in zip(*(batch.column(k).to_pylist() for k in ("segment", "id", "row", "first", "data"))):
+            n = len(data) - length + 1
+            w = content_hashes(data, range(n), range(length, length + n))
+            columns = [w[:, 0], w[:, 1], np.full(n, segment), np.arange(n), *[np.full(n, doc), np.full(n, row), np.arange(n) + first] * placed]
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
 def _merged(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The byte ranges of a segment's repeated windows, neighbours joined."""
     for batch in batches:
         ranges = []
-        for begins in batch.column(3):
+        for begins in batch.column(1):
             flags = np.zeros(1 + max(begins.as_py()), dtype=bool)
             flags[begins.as_py()] = True
             ranges.append([{"begin": a, "end": b} for a, b in _runs(flags, length)])
-        yield pa.record_batch([*(batch.column(k) for k in range(3)), pa.array(ranges, _RANGES)], names=["bucket", "c1", "c2", "ranges"])
+        yield pa.record_batch([batch.column(0), pa.array(ranges, _RANGES)], names=["segment", "ranges"])
 
 
 _RANGES = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
@@ -268,40 +257,49 @@ def suffix_dedup(
     """
     scratch = Scratch(spark, "suffix")
     text = F.col(f"`{text_col}`")
-    source = docs.select(F.xxhash64(F.col(f"`{id_col}`"), text).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
-    every = scratch.put(source.mapInArrow(lambda it: _segment_rows(it, length), SEGMENTS), "segments")
-    place = F.struct(F.coalesce("id", F.lit(-(2**63))).alias("i"), "row", "first")
+    own = F.col(f"`{id_col}`").cast("long")
+    source = docs.select(F.xxhash64(own, text).alias("row"), F.coalesce(own, F.lit(-(2**63))).alias("id"), text.alias("text"), own.alias("own"))
+    every = scratch.put(source.select("row", "id", "text").mapInArrow(lambda it: _segment_rows(it, length), SEGMENTS), "segments")
+    place = F.struct("id", "row", "first")
     told = every.groupBy("bucket").agg(
         F.count("*").alias("n"), (F.min("c1").eqNullSafe(F.max("c1")) & F.min("c2").eqNullSafe(F.max("c2"))).alias("equal"), F.max("many").alias("many"), F.min(place).alias("lead")
     ).where("n > 1 OR many")
     found = scratch.put(every.join(told.select("bucket", "n", (F.col("equal") & ~F.col("many")).alias("equal"), "lead"), "bucket"), "found")
     # Buckets of equal segments: all repeat, or all but the first.
-    whole = found.where("equal" if not keep_first else F.col("equal") & (place != F.col("lead"))).select("row", F.array(F.struct(F.col("first").alias("begin"), (F.col("last") + length).alias("end"))).alias("ranges"))
+    whole = found.where("equal" if not keep_first else F.col("equal") & (place != F.col("lead"))).select("row", "id", F.array(F.struct(F.col("first").alias("begin"), (F.col("last") + length).alias("end"))).alias("ranges"))
     mixed = found.where("NOT equal").select(*every.columns)
-    heads = mixed.groupBy("bucket", "c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct(F.coalesce("id", F.lit(-(2**63))).alias("i"), "row", "first", "last")).alias("r"))
-    heads = scratch.put(heads.select("bucket", "c1", "c2", "copies", "r.i", "r.row", "r.first", "r.last"), "heads")
-    listed = heads.groupBy("row").agg(F.collect_list(F.struct("bucket", "c1", "c2", F.col("i").alias("id"), "first", "last", "copies")).alias("listed"))
-    bytes_ = source.select("row", "text").join(listed, "row").select("row", "text", "listed")
+    heads = mixed.groupBy("bucket", "c1", "c2").agg(F.count("*").alias("copies"), F.min(F.struct("id", "row", "first", "last")).alias("r"))
+    heads = scratch.put(heads.select("bucket", "c1", "c2", "copies", "r.id", "r.row", "r.first", "r.last"), "heads")
+    listed = heads.groupBy("row", "id").agg(F.collect_list(F.struct("bucket", "c1", "c2", "id", "first", "last", "copies")).alias("listed"))
+    bytes_ = source.select("row", "id", "text").join(listed, ["row", "id"]).select("row", "text", "listed")
     cut = scratch.put(bytes_.mapInArrow(lambda it: _cut_out(it, length), "bucket long, c1 long, c2 long, id long, row long, first long, copies long, data binary"), "cut")
     crowded = scratch.put(heads.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED).select("bucket"), "crowded")
     calm = cut.join(crowded, "bucket", "left_anti").repartition(wide(spark), "bucket").sortWithinPartitions("bucket", "id", "row", "first")
     ranges = calm.mapInArrow(lambda it: _sorted_together(it, length, keep_first), "bucket long, c1 long, c2 long, begin long, end long")
-    windows = scratch.put(cut.join(crowded, "bucket").mapInArrow(lambda it: _windows(it, length), "w1 long, w2 long, bucket long, c1 long, c2 long, copies long, id long, row long, spot long, begin long"), "windows")
-    spot = F.struct("id", "row", "spot")
-    seen = windows.groupBy("w1", "w2").agg(F.count("*").alias("met"), F.min(spot).alias("earliest")).where("met > 1")
-    divided = windows.join(seen, ["w1", "w2"], "left").where((spot != F.col("earliest")) if keep_first else (F.col("met") > 1) | (F.col("copies") > 1))
     ranges = ranges.groupBy("bucket", "c1", "c2").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
-    begins = divided.groupBy("bucket", "c1", "c2").agg(F.collect_set("begin").alias("begins"))
-    ranges = ranges.unionByName(begins.mapInArrow(lambda it: _merged(it, length), "bucket long, c1 long, c2 long, ranges array<struct<begin: long, end: long>>"))
+    # The number of a segment is written with it, so it does not change when a task is run again.
+    crowd = scratch.put(cut.join(crowded, "bucket").withColumn("segment", F.monotonically_increasing_id()), "crowd")
+    windows = scratch.put(crowd.mapInArrow(lambda it: _windows(it, length, keep_first), "w1 long, w2 long, segment long, begin long" + ", id long, row long, spot long" * keep_first), "windows")
+    if keep_first:
+        spot = F.struct("id", "row", "spot")
+        seen = windows.groupBy("w1", "w2").agg(F.count("*").alias("met"), F.min(spot).alias("earliest")).where("met > 1")
+        divided = windows.join(seen, ["w1", "w2"]).where(spot != F.col("earliest"))
+    else:
+        divided = windows.join(windows.groupBy("w1", "w2").agg(F.count("*").alias("met")).where("met > 1"), ["w1", "w2"])
+    begins = divided.groupBy("segment").agg(F.collect_set("begin").alias("begins")).mapInArrow(lambda it: _merged(it, length), "segment long, ranges array<struct<begin: long, end: long>>")
+    ranges = ranges.unionByName(crowd.select("segment", "bucket", "c1", "c2").join(begins, "segment").drop("segment"))
+    if not keep_first:  # segments with copies repeat as a whole
+        all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.octet_length("data").cast("long").alias("end")))
+        ranges = ranges.unionByName(crowd.where("copies > 1").select("bucket", "c1", "c2", all_of_it.alias("ranges")))
     marked = mixed.join(ranges, ["bucket", "c1", "c2"])
     if keep_first:  # copies after the first repeat as a whole
-        lead = heads.select("bucket", "c1", "c2", F.struct("i", "row", "first").alias("lead"))
+        lead = heads.select("bucket", "c1", "c2", place.alias("lead"))
         marked = mixed.join(lead, ["bucket", "c1", "c2"]).join(ranges, ["bucket", "c1", "c2"], "left")
         all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("begin"), (F.col("last") - F.col("first") + length).alias("end")))
         marked = marked.withColumn("ranges", F.when(place != F.col("lead"), all_of_it).otherwise(F.col("ranges"))).where("ranges IS NOT NULL")
-    inside = marked.select("row", F.transform("ranges", lambda x: F.struct((x["begin"] + F.col("first")).alias("begin"), (x["end"] + F.col("first")).alias("end"))).alias("ranges"))
-    gone = scratch.put(whole.unionByName(inside).groupBy("row").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "gone")
-    for name in ("segments", "found", "cut", "windows"):
+    inside = marked.select("row", "id", F.transform("ranges", lambda x: F.struct((x["begin"] + F.col("first")).alias("begin"), (x["end"] + F.col("first")).alias("end"))).alias("ranges"))
+    gone = scratch.put(whole.unionByName(inside).groupBy("row", "id").agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "gone")
+    for name in ("segments", "found", "cut", "crowd", "windows"):
         scratch.drop(name)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, spans array<struct<begin: long, end: long>>" * with_text
-    return source.join(gone, "row", "left").select("id", "text", "ranges").mapInArrow(lambda it: _removed(it, with_text), schema)
+    return source.join(gone, ["row", "id"], "left").select("own", "text", "ranges").mapInArrow(lambda it: _removed(it, with_text), schema)

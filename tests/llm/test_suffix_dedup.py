@@ -7,8 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import sparlode.llm.suffix_dedup as module
-from sparlode.llm.suffix_array import concatenate, longest_previous_factors, repeated_starts, suffix_order
-from sparlode.llm.suffix_dedup import segments, sliding_minimum, suffix_dedup
+from sparlode.llm.suffix_array import concatenate, longest_previous_factors, previous_smaller, repeated_starts, suffix_order
+from sparlode.llm.suffix_dedup import content_hashes, segments, sliding_minimum, suffix_dedup
 
 from .conftest import by_id
 
@@ -76,17 +76,57 @@ def lpf(text):
 @given(st.lists(st.binary(max_size=12).map(lambda b: bytes(x % 3 for x in b)), min_size=1, max_size=4))
 def test_longest_previous_factors(parts):
     symbols, _ = concatenate(parts)
-    assert longest_previous_factors(symbols).tolist() == lpf(symbols.tolist())
+    want = lpf(symbols.tolist())
+    for depth in (None, 1, 2, 3, 4, 7, 11):
+        factor, source = longest_previous_factors(symbols, depth)
+        assert factor.tolist() == [min(k, depth or k) for k in want]
+        for i, (k, j) in enumerate(zip(factor.tolist(), source.tolist())):
+            assert (j == -1 and not k) or (j < i and symbols[i : i + k].tolist() == symbols[j : j + k].tolist())
     order, _ = suffix_order(symbols)
     assert order.tolist() == sorted(range(len(symbols)), key=lambda i: symbols.tolist()[i:])
     for length in (1, 2, 5):
         later, anywhere = repeated_starts(symbols, length)
-        known = longest_previous_factors(symbols)
-        assert [bool(x) for x in later] == [k >= length for k in known]
+        assert [bool(x) for x in later] == [k >= length for k in want]
         strings = [tuple(symbols.tolist()[i : i + length]) for i in range(len(symbols))]
         assert [bool(x) for x in anywhere] == [len(s) == length and strings.count(s) > 1 for s in strings]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.permutations(range(30)))
+def test_previous_smaller(values):
+    want = [max((j for j in range(i) if values[j] < values[i]), default=-1) for i in range(30)]
+    assert previous_smaller(np.array(values)).tolist() == want
+
+
+def test_previous_smaller_of_long_runs():
+    values = np.concatenate([np.arange(1, 3000), [0]])
+    assert previous_smaller(values).tolist() == [*range(-1, 2998), -1]
+
+
+def test_factors_decide(shipped, docs, monkeypatch):
+    """Without longest previous factors nothing but whole copies goes."""
+    rows = [(i, f"{i} " * 30 + "the passage that all of them have in common" * 3 + f" {i * i}" * 30) for i in range(1, 9)]
+    count = lambda: suffix_dedup(shipped, docs(rows, 1), length=LENGTH, keep_first=False).groupBy().sum("n_removed").first()[0]
+    assert count() > 8 * 100
+    from sparlode.llm import suffix_array
+
+    monkeypatch.setattr(suffix_array, "longest_previous_factors", lambda symbols, depth=None: (np.zeros(len(symbols), dtype=np.int64), np.full(len(symbols), -1)))
+    symbols, _ = concatenate([rows[0][1].encode(), rows[1][1].encode()])
+    assert not suffix_array.repeated_starts(symbols, LENGTH)[1].any()
+
+
+def test_thue_morse(shipped, docs):
+    """Two strings that polynomial hashes modulo a power of two can't tell apart."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    assert (content_hashes(word.encode() + other.encode(), [0, 2048], [2048, 4096])[0] != content_hashes(other.encode(), [0], [2048])[0]).any()
+    rows = [(1, word), (2, other), (3, "c" * 30)]
+    got = by_id(suffix_dedup(shipped, docs(rows), length=LENGTH, keep_first=False), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute(rows, LENGTH, False)
+
+
 def test_segments_cover_all_windows(monkeypatch):
     rng = random.Random(4)
     for data in (bytes(rng.randrange(4) for _ in range(3000)), b"a" * 3000, b"ab" * 1500, bytes(rng.randrange(256) for _ in range(41))):
