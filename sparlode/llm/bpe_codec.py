@@ -11,7 +11,8 @@ Contracting every occurrence of the minimum-rank pair in one step equals doing s
 from the left unless the new token can join a neighbour into one of lower rank. Ranks for
 which a lower-ranked token starts or ends with the new token are marked, and only the
 leftmost occurrence is contracted for these. So a long unbroken word takes as many steps as
-it has different merges, not as many as it has merges.
+it has different merges, not as many as it has merges; and it is cut beforehand between bytes
+that no token holds side by side, as no merge reaches across.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from pyspark.sql import functions as F
 CACHED, REMEMBERED_LENGTH, SHORT = 900_000, 64, 7
 #: Pre-tokens per query, and characters of text whose unseen pre-tokens are encoded together.
 PER_QUERY, TOGETHER = 20_000, 3_000_000
-#: Token-position rows that one query may make over all its steps, unless a word needs more than 16.
-STEP_ROWS = 6_000_000
+#: Token-position rows that one query may make over all its steps, unless one step has more.
+STEP_ROWS = 4_000_000
+#: Memory of the database; nothing is written to a local disk.
+MEMORY = "512MB"
 _LOADED: dict[tuple[str, str], "Codec"] = {}
 
 #: spot: offset in the texts of all words together, with a gap after each word; a token's neighbour is at spot + size.
@@ -40,7 +43,7 @@ WITH RECURSIVE step(round, word, spot, token, size) AS (
     UNION ALL
     (WITH pair AS (
         SELECT n.word, n.spot, n.size, n.spot + n.size AS next_spot, n.size + o.size AS span, m.rank, m.alone
-        FROM step n JOIN step o ON o.spot = n.spot + n.size JOIN merges m ON m.lr = n.token * 65536 + o.token
+        FROM step n JOIN step o ON o.spot = n.spot + n.size JOIN merges m ON m.lr = (n.token << 32) | o.token
         WHERE n.round < $most
     ), lowest AS (
         SELECT word, min(rank) AS rank FROM pair GROUP BY word
@@ -88,19 +91,20 @@ class Codec:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.split = regex.compile(pattern).findall
-        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "256MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": MEMORY, "temp_directory": ""})
         pair, rank, alone = [], [], []
         ends = self._held_below()
         for token, r in self.ranks.items():
             for i in range(1, len(token)):
                 a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if a is not None and b is not None:
-                    pair.append(a * 65536 + b)
+                    pair.append(a << 32 | b)
                     rank.append(r)
                     alone.append(r in ends)
         self._load("merges", lr=pa.array(pair, pa.int64()), rank=pa.array(rank, pa.int32()), alone=pa.array(alone))
         self._load("vocabulary", id=pa.array(list(self.ranks.values()), pa.int32()), hex=pa.array([t.hex() for t in self.ranks]))
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.bridged = self._bridged()
         self.known: dict[str, tuple[bytes, bytes]] = {}  # pre-token -> ids (decimal, joined by blanks), the bytes they decode to
 
     def _held_below(self) -> set[int]:
@@ -113,6 +117,20 @@ class Codec:
                         found.add(self.ranks[part])
         return found
 
+    def _bridged(self) -> np.ndarray:
+        """Pairs of bytes that stand side by side in some token; no merge ever joins other pairs."""
+        found = np.zeros((256, 256), dtype=bool)
+        for token in self.ranks:
+            raw = np.frombuffer(token, dtype=np.uint8)
+            found[raw[:-1], raw[1:]] = True
+        return found
+
+    def apart(self, word: bytes) -> list[bytes]:
+        """A word cut where no merge can reach across: the pieces are encoded each by itself."""
+        raw = np.frombuffer(word, dtype=np.uint8)
+        cuts = [0, *(np.flatnonzero(~self.bridged[raw[:-1], raw[1:]]) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(cuts, cuts[1:])]
+
     def _load(self, name: str, **columns) -> None:
         self.db.register("incoming", pa.table(columns))
         self.db.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM incoming")
@@ -126,9 +144,21 @@ class Codec:
         self._load("start", word=pa.array(word), spot=pa.array(spot), token=pa.array(self.byte_ids[flat].astype(np.int64)), size=pa.array(np.ones(len(flat), dtype=np.int32)))
         return len(flat)
 
+    def contracted(self, words: list[bytes]) -> list[str]:
+        """The ids of each word, in decimal, joined by blanks; long words go in pieces."""
+        split = [self.apart(w) if len(w) > REMEMBERED_LENGTH else [w] for w in words]
+        pieces = sorted({p for ps in split for p in ps}, key=len)
+        found: dict[bytes, str] = {}
+        for i in range(0, len(pieces), PER_QUERY):
+            part = pieces[i : i + PER_QUERY]
+            found.update(zip(part, self.contract(part)))
+        return [" ".join([found[p] for p in ps]) for ps in split]
+
     def contract(self, words: list[bytes]) -> list[str]:
         """The ids of each word, in decimal, joined by blanks."""
-        most = max(16, STEP_ROWS // max(1, self._start(words)))
+        most = STEP_ROWS // max(1, self._start(words))
+        if most < 16:
+            return self._at_length(words)
         got = self.db.execute(CONTRACT, {"most": most}).fetchall()
         out = [ids for _, ids, _ in got]
         if late := [k for k, x in enumerate(got) if x[2] == most]:
@@ -162,7 +192,7 @@ class Codec:
             rest = [k for k, r in enumerate(whole) if r is None]
             ids = [str(r) for r in whole]
             if rest:
-                for k, got in zip(rest, self.contract([raw[k] for k in rest])):
+                for k, got in zip(rest, self.contracted([raw[k] for k in rest])):
                     ids[k] = got
             self.known.update(zip(part, zip([x.encode() for x in ids], self.decode(ids))))
 
