@@ -7,6 +7,6 @@ from .operators.aggregates import aggregate, statistics
 from .operators.facets import facet
 from .operators.joins import as_of_join, interval_join
 from .plans.session import configure, session
-from .sources.storage import compact, read_index, update_by_key, write_index
+from .sources.storage import compact, query, read_index, update_by_key, write_index
 
-__all__ = ["aggregate", "as_of_join", "compact", "configure", "facet", "interval_join", "read_index", "session", "statistics", "update_by_key", "write_index"]
+__all__ = ["aggregate", "as_of_join", "compact", "configure", "facet", "interval_join", "query", "read_index", "session", "statistics", "update_by_key", "write_index"]

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..paths import free_name
+
 
 def as_of_join(
     left: DataFrame, right: DataFrame, by: Iterable[str], left_time: str, right_time: str, values: Iterable[str], suffix: str = "", chunk: float | None = None
@@ -26,23 +28,24 @@ def as_of_join(
     by, values = list(by), list(values)
     kept = [c for c in left.columns if c not in by]
     kind = right.select(F.struct(*values).alias("s")).schema["s"].dataType
-    l = left.select(*by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*kept).alias("_left"), F.lit(None).cast(kind).alias("_right"))
-    r = right.where(F.col(right_time).isNotNull()).select(*by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(l.schema["_left"].dataType).alias("_left"), F.struct(*values).alias("_right"))
+    at, side, mine, theirs, piece, last, end, before = (free_name(by, c) for c in ("_t", "_side", "_left", "_right", "_piece", "_last", "_end", "_before"))
+    l = left.select(*by, F.col(left_time).alias(at), F.lit(1).alias(side), F.struct(*kept).alias(mine), F.lit(None).cast(kind).alias(theirs))
+    r = right.where(F.col(right_time).isNotNull()).select(*by, F.col(right_time).alias(at), F.lit(0).alias(side), F.lit(None).cast(l.schema[mine].dataType).alias(mine), F.struct(*values).alias(theirs))
     both, cut = l.unionByName(r), []
     if chunk is not None:
-        timed = isinstance(l.schema["_t"].dataType, (T.TimestampType, T.TimestampNTZType))
-        at = F.unix_micros(F.col("_t").cast("timestamp")) / F.lit(1e6) if timed else F.col("_t").cast("double")
-        both, cut = both.withColumn("_piece", F.floor(at / F.lit(float(chunk)))), ["_piece"]
-    line = Window.partitionBy(*by, *cut).orderBy(F.asc_nulls_first("_t"), "_side", F.asc_nulls_first("_right")).rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_last", F.last("_right", ignorenulls=True).over(line)).where("_side = 1")
+        timed = isinstance(l.schema[at].dataType, (T.TimestampType, T.TimestampNTZType))
+        when = F.unix_micros(F.col(at).cast("timestamp")) / F.lit(1e6) if timed else F.col(at).cast("double")
+        both, cut = both.withColumn(piece, F.floor(when / F.lit(float(chunk)))), [piece]
+    line = Window.partitionBy(*by, *cut).orderBy(F.asc_nulls_first(at), side, F.asc_nulls_first(theirs)).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn(last, F.last(theirs, ignorenulls=True).over(line)).where(F.col(side) == 1)
     if cut:
-        ends = both.groupBy(*by, *cut).agg(F.max(F.when(F.col("_side") == 0, F.struct("_t", "_right"))).alias("_end"))
-        earlier = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-        ends = ends.withColumn("_before", F.last("_end", ignorenulls=True).over(earlier)).select(*by, *cut, F.col("_before._right").alias("_before"))
+        ends = both.groupBy(*by, *cut).agg(F.max(F.when(F.col(side) == 0, F.struct(at, theirs))).alias(end))
+        earlier = Window.partitionBy(*by).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.withColumn(before, F.last(end, ignorenulls=True).over(earlier)).select(*by, *cut, F.col(f"{before}.{theirs}").alias(before))
         same = [found[c].eqNullSafe(ends[c]) for c in [*by, *cut]]
-        found = found.join(ends, same, "left").select(*[found[c] for c in by], found["_t"], found["_left"], F.coalesce(found["_last"], ends["_before"]).alias("_last"))
-    found = found.withColumn("_last", F.when(F.col("_t").isNotNull(), F.col("_last")))
-    return found.select(*by, *[F.col(f"_left.`{c}`").alias(c) for c in kept], *[F.col(f"_last.`{c}`").alias(c + suffix) for c in values])
+        found = found.join(ends, same, "left").select(*[found[c] for c in by], found[at], found[mine], F.coalesce(found[last], ends[before]).alias(last))
+    found = found.withColumn(last, F.when(F.col(at).isNotNull(), F.col(last)))
+    return found.select(*by, *[F.col(f"{mine}.`{c}`").alias(c) for c in kept], *[F.col(f"{last}.`{c}`").alias(c + suffix) for c in values])
 
 
 def interval_join(points: DataFrame, spans: DataFrame, at: str, begin: str, end: str, width: float, by: Iterable[str] = ()) -> DataFrame:
@@ -52,7 +55,8 @@ def interval_join(points: DataFrame, spans: DataFrame, at: str, begin: str, end:
     follows the overlaps and not the product. Choose a width near the usual span.
     """
     by = list(by)
-    p = points.withColumn("_bucket", F.floor(F.col(at) / F.lit(width)))
+    bucket = free_name([*points.columns, *spans.columns], "_bucket")
+    p = points.withColumn(bucket, F.floor(F.col(at) / F.lit(width)))
     last = F.floor(F.col(end) / F.lit(width)) - (F.col(end) == F.floor(F.col(end) / F.lit(width)) * F.lit(width)).cast("long")
-    s = spans.where(F.col(begin) < F.col(end)).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(begin) / F.lit(width)), last)))
-    return p.join(s, [*by, "_bucket"]).where((F.col(at) >= F.col(begin)) & (F.col(at) < F.col(end))).drop("_bucket")
+    s = spans.where(F.col(begin) < F.col(end)).withColumn(bucket, F.explode(F.sequence(F.floor(F.col(begin) / F.lit(width)), last)))
+    return p.join(s, [*by, bucket]).where((F.col(at) >= F.col(begin)) & (F.col(at) < F.col(end))).drop(bucket)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,6 +37,14 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def free_name(taken: Iterable[str], name: str) -> str:
+    """The name, with underscores after it until no column has it; column names differ whatever their case."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def type_at(schema: T.StructType, path: str) -> T.DataType:
     """The type of the value at a path; a step through an array of structs gives an array."""
     kind: T.DataType = schema

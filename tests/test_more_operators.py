@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparlode import as_of_join, interval_join, read_index, statistics, write_index
 from sparlode.functions.vocabulary import FUNCTIONS, PREDICATES, call
-from sparlode.operators.windows import sessions
+from sparlode.operators.windows import sessions, top_rows
 from sparlode.plans.session import SETTINGS, session
 from sparlode.sources.storage import Options
 from sparlode.streaming.windows import facet_stream, read_stream, session_windows, windowed
@@ -42,6 +42,18 @@ def test_sessions(spark):
     assert sorted((r.k, r.t.second, r.session) for r in sessions(t, ["k"], "t", 10).collect()) == [(1, 0, 0), (1, 5, 0), (1, 16, 1), (2, 3, 0)]
 
 
+def test_columns_named_like_internal_ones(spark):
+    t = spark.createDataFrame([(1, 5, 7, 8.0), (1, 6, 9, 8.5)], "_t int, _rank int, _new int, _bucket double")
+    assert top_rows(t, ["_t"], [F.desc("_rank")], 1).collect()[0].asDict() == {"_t": 1, "_rank": 6, "_new": 9, "_bucket": 8.5}
+    timed = t.withColumn("at", F.timestamp_seconds("_rank"))
+    assert [(r._new, r.session) for r in sessions(timed, ["_t"], "at", 10).orderBy("_new").collect()] == [(7, 0), (9, 0)]
+    right = t.select("_t", F.col("_rank").alias("at"), F.col("_new").alias("_right"))
+    got = as_of_join(t, right, ["_t"], "_rank", "at", ["_right"], chunk=1)
+    assert sorted((r._rank, r._new, r._right) for r in got.collect()) == [(5, 7, 7), (6, 9, 9)]
+    spans = spark.createDataFrame([(8.0, 8.2, "x")], "lo double, hi double, name string")
+    assert [(r._bucket, r.name) for r in interval_join(t, spans, "_bucket", "lo", "hi", 1.0).collect()] == [(8.0, "x")]
+
+
 def test_vocabulary():
     assert len(FUNCTIONS) == 64 and len(PREDICATES) == 18
     with pytest.raises(ValueError):

@@ -1,12 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sparlode import compact, facet, read_index, update_by_key, write_index
-from sparlode.plans import shredding
+from sparlode import compact, facet, query, read_index, update_by_key, write_index
+from sparlode.plans import shredding, summary
 from sparlode.plans.cache import CacheRegistry, registry
 from sparlode.plans.session import FOOTER_AGGREGATES, configure
 from sparlode.sources import datasource
-from sparlode.sources.storage import Options, create_table, refresh
+from sparlode.sources.storage import Options, create_table, partitions, refresh
 
 from .fixtures import DDL, tags, typed
 
@@ -79,7 +79,7 @@ def test_shredded_key_is_pushed_down(spark, tmp_path):
 
 
 def test_rewrite():
-    keys = {"m": ["k", "0.3"]}
+    keys = shredding.named(["m", "x"], {"m": ["k", "0.3"]})
     assert shredding.rewrite("m.k = 'm.k' AND m['0.3'] > 1 AND x.m.k = 2 AND m.other = m.`k`", keys) == "`m__k` = 'm.k' AND `m__0_2e_3` > 1 AND x.m.k = 2 AND m.other = `m__k`"
     assert shredding.rewrite("f(m) + 1.5", keys) == "f(m) + 1.5"
 
@@ -152,3 +152,87 @@ def test_format_name(spark, tmp_path):
     assert spark.read.format("sparlode").schema(t.schema).load(at).count() == 2
     with configure(spark, {"spark.sql.python.filterPushdown.enabled": "true"}):
         assert spark.read.format("sparlode").schema(t.schema).option("push", "true").load(at).where("StandardPackage IS NULL AND CustomerID >= 'CA870'").count() == 1
+
+
+def test_hidden_columns_leave_the_users_own_alone(spark, tmp_path):
+    at = str(tmp_path / "clash")
+    t = spark.sql("SELECT map('k', 'v') AS m, 'mine' AS m__k, 'too' AS M__K_")
+    write_index(t, at, options=Options(shred={"m": ["k"]}))
+    same(read_index(spark, at).df, t)
+    assert read_index(spark, at).where("m.k = 'v' AND m__k = 'mine'").count() == 1
+    same(query(spark, f"SELECT * FROM sparlode.`{at}` WHERE m['k'] = 'v'"), t)
+    assert "EqualTo(m__k__,v)" in query(spark, f"SELECT m__k FROM sparlode.`{at}` WHERE m['k'] = 'v'")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_append_describes_only_new_files(spark, tmp_path, monkeypatch):
+    at, t = str(tmp_path / "grow"), tags(spark).select("user_id", F.col("map_tags")["sports"].alias("sports"))
+    write_index(t, at, options=Options(summarise=["sports"]))
+    read, build = [], summary.build
+    monkeypatch.setattr(summary, "build", lambda df, fields: read.append(df.count()) or build(df, fields))
+    for _ in range(2):
+        write_index(t.limit(3), at, mode="append")
+    write_index(t.limit(2), at, mode="append", options=Options(summarise=["sports"]))
+    assert read == [3, 3, 2]
+    table = read_index(spark, at)
+    assert table.summarised == ["sports"]
+    same(table.facet({"v": "sports"}), facet(table.df, {"v": "sports"}))
+
+
+def test_filters_open_only_files_with_the_value(spark, tmp_path):
+    at = str(tmp_path / "skip")
+    t = spark.range(100).select("id", F.array(F.concat(F.lit("v"), (F.col("id") % 10).cast("string")), F.lit(None)).alias("a"), (F.col("id") % 10).cast("int").alias("n"), F.when(F.col("id") < 7, F.lit("x")).alias("s"))
+    write_index(t.repartitionByRange(10, "n"), at, options=Options(summarise=["a", "n", "s"]))
+    table = read_index(spark, at)
+    files = len(table.df.inputFiles())
+    for predicate, n in (("array_contains(a, 'v3')", 1), ("n = 3 AND id > 50", 1), ("n IN (3, 4) AND array_contains(a, 'v4')", 1), ("array_contains(a, 'no')", 0), ("n = 3 OR n = 4", files), ("s = 'x' AND n BETWEEN 0 AND 9", files)):
+        out = table.where(predicate)
+        assert len(out.inputFiles()) == n if n else out.isEmpty()
+        same(out, t.where(predicate))
+        same(table.facet({"v": "a"}, where=predicate), facet(t.where(predicate), {"v": "a"}))
+    for predicate in ("array_contains(a, 'v3')", "n = 3", "n IN (3, 4, 4)", "s IS NOT NULL", "a IS NOT NULL", "s = 'y'", "n > 3"):
+        assert table.count(predicate) == t.where(predicate).count()
+    assert table.count() == 100
+
+
+def test_conjuncts():
+    assert summary.conjuncts("a = 'x AND y' AND f(b AND c) and d['AND'] = 1") == ["a = 'x AND y'", "f(b AND c)", "d['AND'] = 1"]
+    assert summary.conjuncts("a BETWEEN 1 AND k = 'a'") == ["a BETWEEN 1 AND k = 'a'"]
+    assert summary.conjuncts("a IS NOT NULL AND b = 1") == ["a IS NOT NULL", "b = 1"]
+
+
+def test_layout_is_kept(spark, tmp_path):
+    at = str(tmp_path / "layout")
+    t = spark.range(40).select("id", (F.col("id") % 2).cast("int").alias("p"), F.lit("old").alias("v"))
+    write_index(t.repartition(4), at, partition_by=["p"], options=Options(compression="gzip"), sort_by=["id"])
+    update_by_key(spark, at, spark.createDataFrame([(3, 1, "new"), (77, 0, "new")], "id long, p int, v string"), ["id"])
+    assert partitions(spark, at) == ["p"] and all(".gz." in f for f in read_index(spark, at).df.inputFiles())
+    compact(spark, at)
+    assert len(read_index(spark, at).df.inputFiles()) == 2 and ".gz." in read_index(spark, at).df.inputFiles()[0]
+    assert {r.id: r.v for r in read_index(spark, at).df.collect()} == {i: "old" for i in range(40)} | {3: "new", 77: "new"}
+
+
+def test_null_and_repeated_keys(spark, tmp_path):
+    at = str(tmp_path / "nulls")
+    write_index(spark.createDataFrame([(None, "a"), (1, "b")], "k int, v string"), at)
+    for v in ("c", "d"):
+        update_by_key(spark, at, spark.createDataFrame([(None, v)], "k int, v string"), ["k"])
+    assert sorted(((r.k, r.v) for r in read_index(spark, at).df.collect()), key=str) == sorted([(None, "d"), (1, "b")], key=str)
+    with pytest.raises(ValueError):
+        update_by_key(spark, at, spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), ["k"])
+
+
+def test_recovery(spark, tmp_path):
+    at = str(tmp_path / "broken")
+    write_index(spark.range(3), at)
+    write_index(spark.range(5), at + ".ready")  # a replacement that broke off before it took its place
+    assert read_index(spark, at).df.count() == 5 and read_index(spark, at).df.count() == 5
+
+
+def test_cached_reads(spark, tmp_path):
+    at, t = str(tmp_path / "warm"), tags(spark)
+    write_index(t, at, options=Options(shred={"map_tags": ["sports"]}, summarise=["map_tags.sports"]))
+    for _ in range(2):
+        same(read_index(spark, at, cache=True).where("array_contains(map_tags.sports, 'sports-1')"), t.where("array_contains(map_tags.sports, 'sports-1')"))
+    same(read_index(spark, at, cache=True).facet({"v": "map_tags.sports"}, where="age > 0"), facet(t.where("age > 0"), {"v": "map_tags.sports"}))
+    write_index(t.limit(1), at, mode="overwrite")
+    assert read_index(spark, at, cache=True).count() == 1
