@@ -18,6 +18,7 @@ replacements, and replacements that are themselves somebody's value.
 
 from __future__ import annotations
 
+import datetime
 import functools
 import os
 import re
@@ -65,6 +66,10 @@ PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,24}(?![\w-]))"
     r"|(?P<key>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
     r"|(?P<secret>(?<=(?i:password)=)[^\s\"']{6,}|(?<=(?i:token) = \")[^\s\"]{8,}(?=\")|(?<=(?i:token)=)[^\s\"']{8,}|(?<!\w)[0-9A-Fa-f]{32,64}(?!\w))"
+    r"|(?i:\b(?:password|passwd|pwd|api[_-]?key|secret(?:[_-]?key)?|access[_-]?token)\b[\"']?\s?[:=]\s?[\"']?)(?P<named>(?=[^\s\"']*\d)[^\s\"',;]{6,})"
+    r"|(?i:\b(?:d\.?o\.?b\.?|date of birth|birth ?date|born(?: on)?)[: ]{1,3})(?P<dob>\d{4}-\d\d-\d\d|\d\d?(?P<mark>[./])\d\d?(?P=mark)\d{4})(?![\w-])"
+    r"|(?P<ipv6>(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]))"
+    r"|(?P<address>(?<![\w.,])[1-9]\d{0,4} (?:[A-Z][a-z'-]+ ){1,3}(?=(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Boulevard|Blvd|Drive|Court|Square|Terrace)\b)|(?<=[a-z]stra\u00dfe )[1-9]\d{0,3}(?!\w))"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<phone>(?<![\w.+])\+\d{1,3}[ -]?\(\d{1,4}\)[ -]?\d{3}[ -]?\d{4}(?![\w-])|(?<![\w.+])\+\d{1,3}[ -]?(?:\(\d{1,4}\)[ -]?)?\d{2,4}(?:[ -]?\d{2,4}){1,3}(?![\w-]|\.\d)|(?<![\w.])\(\d{3}\) ?\d{3}-\d{4}(?!\w))"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
@@ -74,9 +79,12 @@ PATTERN = re.compile(
 )
 #: Capitalised words that are no surname after a given name.
 _NO_SURNAME = "The|And|Or|But|Of|In|On|At|To|By|For|From|With|As|If|Is|Was|Are|Were|Has|Had|Have|He|She|It|We|You|They|His|Her|Their|Our|My|This|That|When|Then|Who|Not|An"
-NAMES = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES)})\.? (?P<after>{_NAME_WORD}(?: {_NAME_WORD})?)|(?P<given>{'|'.join(_GIVEN)}) (?!(?:{_NO_SURNAME})\b)(?P<surname>{_NAME_WORD})){_END}")
+#: What announces a name, and capitalised words that then are none.
+_CUES = r"(?i:my name is|name:|dear|regards,|sincerely,|signed,|attn:?|contact person:?|spoke (?:to|with)) {1,2}|(?i:regards,|sincerely,)\n{1,2}"
+_NO_NAME = _NO_SURNAME + "|Sir|Sirs|Madam|All|Team|Customer|Customers|Friend|Friends|Reader|Readers|Colleague|Colleagues|Support|Service|Mr|Mrs|Ms|Miss|Dr|Prof"
+NAMES = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES)})\.? (?P<after>{_NAME_WORD}(?: {_NAME_WORD})?)|(?P<given>{'|'.join(_GIVEN)}) (?!(?:{_NO_SURNAME})\b)(?P<surname>{_NAME_WORD})|(?:{_CUES})(?!(?:{_NO_NAME})\b)(?P<told>{_NAME_WORD}(?: (?!(?:{_NO_NAME})\b){_NAME_WORD})?)){_END}")
 #: What must be in a text for PATTERN to be worth running.
-HINT = re.compile(r"[0-9@]|(?i:password=|token)")
+HINT = re.compile(r"[0-9@]|(?i:password|token)")
 
 
 #: The setting that holds the key; without it every application draws one of its own.
@@ -243,9 +251,47 @@ def surrogate(key: bytes, kind: str, value: str) -> str:
         return new + dot + top
     if kind in ("iban", "ssn", "phone"):
         return value[:2] * (kind == "iban") + _by_alphabet(key, kind + value[:2] * (kind == "iban"), value[2 * (kind == "iban") :], ["0123456789", "abcdefghijklmnopqrstuvwxyz"], True)
+    if kind == "ipv6":
+        return _by_alphabet(key, "ipv6", value, [HEX], False)
+    if kind == "dob":
+        day, new = _day(value), None
+        at = (day - _FIRST_DAY).days
+        while new is None or new >= _DAYS:  # cycle-walking: a day of the same two centuries
+            a, b = permute(key, "dob", list(divmod(at if new is None else new, 272)), [272, 272])
+            new = a * 272 + b
+        return _written(_FIRST_DAY + datetime.timedelta(days=new), value)
+    if kind == "address":
+        new = value
+        while True:  # cycle-walking: house numbers don't begin with a zero
+            new = _by_alphabet(key, "address", new, ALPHABETS, True)
+            if new[0] != "0":
+                return new
     raise ValueError(f"no such kind: {kind}")
 
 
+#: Days of birth that are replaced, by each other.
+_FIRST_DAY, _DAYS = datetime.date(1850, 1, 1), 73_049
+
+
+def _day(text: str) -> datetime.date | None:
+    """The date, day before month unless that is impossible; None for no date or one out of range."""
+    parts = [int(x) for x in re.split(r"\D", text)]
+    year, month, day = parts if "-" in text else (parts[2], parts[1], parts[0]) if parts[1] <= 12 else (parts[2], parts[0], parts[1])
+    try:
+        found = datetime.date(year, month, day)
+    except ValueError:
+        return None
+    return found if 0 <= (found - _FIRST_DAY).days < _DAYS else None
+
+
+def _written(day: datetime.date, like: str) -> str:
+    if "-" in like:
+        return day.isoformat()
+    mark = "." if "." in like else "/"
+    wide = len(like) == 10
+    return mark.join([f"{day.day:02}", f"{day.month:02}"] if wide else [str(day.day), str(day.month)]) + mark + str(day.year)
+
+
 def name_surrogate(key: bytes, word: str) -> str:
     """The replacement of one word of a name, of the same script (and gender, where listed), in the same case; it depends on nothing but the word."""
     plain = word.capitalize()
@@ -267,7 +313,7 @@ def name_surrogate(key: bytes, word: str) -> str:
 
 def _told(kind: str, value: str) -> str:
     """SHA-256 of a value as compared (case folded)."""
-    return sha256((value.lower() if kind in ("email", "name", "ip") else value).encode("utf-8", "surrogatepass")).hexdigest()
+    return sha256((value.lower() if kind in ("email", "name", "ip", "ipv6") else value).encode("utf-8", "surrogatepass")).hexdigest()
 
 
 class Replacer:
@@ -299,11 +345,15 @@ class Replacer:
                     if not 9 <= sum(c.isdigit() for c in m[0]) <= 12:
                         continue
                     kind = "phone"
-                found.append((m.start(), m.end(), kind, self.value(kind, m[0])))
+                start, end = m.span(m.lastgroup)
+                kind = "secret" if kind == "named" else kind
+                if kind == "dob" and _day(m[kind]) is None:
+                    continue
+                found.append((start, end, kind, self.value(kind, text[start:end])))
         people: dict[str, str] = {}
         named = []
         for m in NAMES.finditer(text):
-            group = ("after",) if m["title"] else ("given", "surname")
+            group = ("after",) if m["title"] else ("told",) if m["told"] else ("given", "surname")
             for g in group:
                 for w in re.finditer(_WORD, m[g]):
                     people[w[0]] = self.value("name", w[0])

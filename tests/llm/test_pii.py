@@ -138,3 +138,44 @@ def test_a_given_name_with_any_surname_changes():
     new, found = Replacer(KEY).replace("Emma Nguyen came. Later Nguyen left. Then Emma The Great, 01-2023, 10.20.2024 and 0123 4567 8901 2345.")
     assert "Nguyen" not in new and "The Great" in new and "01-2023, 10.20.2024" in new
     assert [f[2] for f in found] == ["name", "name", "name", "name", "card"]
+
+
+@pytest.mark.parametrize("text, kind, value", [
+    ("password: hunter22x", "secret", "hunter22x"), ("api_key=Zx81kk20aa", "secret", "Zx81kk20aa"), ('"secret_key": "a1b2c3d4"', "secret", "a1b2c3d4"),
+    ("DOB: 1985-03-12.", "dob", "1985-03-12"), ("born on 07/11/1990 in", "dob", "07/11/1990"), ("Date of birth 3.4.1971", "dob", "3.4.1971"),
+    ("at 2001:0db8:85a3:0000:0000:8a2e:0370:7334 now", "ipv6", "2001:0db8:85a3:0000:0000:8a2e:0370:7334"), ("from fe80::1ff:fe23:4567:890a", "ipv6", "fe80::1ff:fe23:4567:890a"),
+    ("lives at 221 Baker Street, London", "address", "221 Baker "), ("Er wohnt Lindenstraße 17.", "address", "17"),
+])
+def test_further_kinds(text, kind, value):
+    new, found = Replacer(KEY).replace(text)
+    assert [(f[2], text[f[0] : f[1]]) for f in found] == [(kind, value)] and found[0][3] != value and text[: found[0][0]] == new[: found[0][0]]
+    again = Replacer(KEY).replace(new)[1]
+    assert [f[2] for f in again] == [kind]
+
+
+def test_days_stay_days_and_distinct():
+    import datetime
+
+    days = [(datetime.date(1950, 1, 1) + datetime.timedelta(days=k)).isoformat() for k in range(4000)]
+    new = [surrogate(KEY, "dob", d) for d in days]
+    assert len(set(new)) == len(days) and all(datetime.date.fromisoformat(d) for d in new)
+
+
+@pytest.mark.parametrize("text", ["12:30:45 and 10:20", "the secret: nobody knew", "std::vector<int> a::b", "Dear Sir, Dear Customer", "in 1985 Street lights", "born 2020 in May", "ratio 3:4:5", "DOB: 99/99/2001"])
+def test_lookalikes_stay(text):
+    assert Replacer(KEY).replace(text) == (text, [])
+
+
+def test_names_in_context_by_precision_and_recall():
+    """Made-up people in sentences that name them, and sentences of the same kind that name nobody."""
+    rng = random.Random(9)
+    given, sur = "Priya Jean Zhang Oluwaseun Ingrid Kenji Fatima Björn Chloé Matteo".split(), "Patel Dupont Wei Adeyemi Solberg Tanaka Haddad Ström Lefèvre Ricci".split()
+    frames = ["My name is {}.", "Dear {}, thank you.", "Best regards, {}", "Name: {}", "We spoke with {} today.", "Dr {} will see you.", "Sincerely,\n{}"]
+    empty = ["My name is known.", "Dear Sir, thank you.", "Best regards, the team", "Name: unknown", "We spoke with Customer Support today.", "The doctor will see you.", "Paris Match and New York Times"]
+    tool, hits, wrong = Replacer(KEY), 0, 0
+    people = [f"{a} {b}" for a in given for b in sur]
+    for person in people:
+        new, found = tool.replace(rng.choice(frames).format(person))
+        hits += person.split()[0] not in new and person.split()[1] not in new and all(f[2] == "name" for f in found)
+    wrong = sum(bool(tool.replace(x)[1]) for x in empty)
+    assert hits >= 0.98 * len(people) and wrong == 0
