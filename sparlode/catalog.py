@@ -14,11 +14,12 @@ from . import aggregate, as_of_join, compact, facet, interval_join, read_index,
 from .functions.vocabulary import call
 from .operators.predicates import Path, all_of, any_of, where
 from .operators.windows import sessions, top_rows
-from .plans.session import FOOTER_AGGREGATES, configure
-from .sources import storage
+from .operators.joins import small_join
+from .plans.session import footer_read
+from .sources import datasource, storage
 from .sources.formats import read_as, write_as
 from .sources.storage import Options, create_table
-from .streaming.windows import windowed
+from .streaming.windows import facet_stream, read_stream, session_windows, windowed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -591,12 +592,16 @@ SELECT c.event_id, max_by(p.event_id, (p.ts, p.event_id)) AS last_event, max_by(
 FROM c LEFT JOIN p ON c.user_id = p.user_id AND p.ts <= c.ts GROUP BY c.event_id
 """)
 def j_asof(spark, d):
+    return _as_of(spark, d, None)
+
+
+def _as_of(spark, d, chunk):
     e = read(spark, d, "events")
     ends = e.agg(F.min("event_type").alias("lo"), F.max("event_type").alias("hi"))
     e = e.join(F.broadcast(ends))
     left = e.where("event_type = lo").select("event_id", "user_id", "ts")
     right = e.where("event_type = hi").select("user_id", F.col("ts").alias("at"), F.col("event_id").alias("last_event"), F.col("value").alias("last_value"))
-    return as_of_join(left, right, ["user_id"], "ts", "at", ["last_event", "last_value"]).select("event_id", "last_event", "last_value")
+    return as_of_join(left, right, ["user_id"], "ts", "at", ["last_event", "last_value"], chunk=chunk).select("event_id", "last_event", "last_value")
 
 
 @query("SELECT doc_id, token FROM (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS token FROM documents WHERE n_chars < 200)")
@@ -909,7 +914,233 @@ def x_summary_facet(spark, d):
 
 @query("SELECT count(*) AS n, min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem")
 def x_footer_aggregates(spark, d):
-    with configure(spark, FOOTER_AGGREGATES):
-        t = read(spark, d, "lineitem").agg(F.count("*").alias("n"), F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"))
-        t._jdf.queryExecution().executedPlan()  # planned under these settings
-    return t
+    return footer_read(spark, f"{d}/lineitem.parquet").agg(F.count("*").alias("n"), F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"))
+
+
+# --- what has a reader, a writer or a plan of its own --------------------------------------
+
+
+@query("SELECT doc_id, CAST(n_chars AS DOUBLE) AS n_chars FROM documents")
+def io_user_schema(spark, d):
+    write_index(read(spark, d, "documents").select("doc_id", F.col("n_chars").cast("float"), "lang"), at := _place(spark, "schema"))
+    return read_index(spark, at, schema="doc_id BIGINT, n_chars FLOAT").df.select("doc_id", F.col("n_chars").cast("double"))
+
+
+@query("SELECT doc_id FROM documents WHERE lang IN ('de', 'en')")
+def io_glob(spark, d):
+    write_index(read(spark, d, "documents").select("doc_id", "lang"), at := _place(spark, "glob"), partition_by=["lang"])
+    return read_index(spark, at + "/lang={de,en}", name_filter="*.parquet").df.select("doc_id")
+
+
+@query("SELECT c_custkey AS k FROM customer UNION ALL SELECT s_suppkey FROM supplier")
+def io_recursive(spark, d):
+    at = _place(spark, "deep")
+    write_index(read(spark, d, "customer").select(F.col("c_custkey").alias("k")), at + "/one/here")
+    write_index(read(spark, d, "supplier").select(F.col("s_suppkey").alias("k")), at + "/two")
+    return read_index(spark, at, recursive=True).df
+
+
+@query("SELECT s_suppkey FROM supplier")
+def io_refresh(spark, d):
+    at = _place(spark, "refresh")
+    write_index(read(spark, d, "supplier").select("s_suppkey").limit(1), at)
+    spark.read.parquet(at).count()
+    read(spark, d, "supplier").select("s_suppkey").write.mode("overwrite").parquet(at)  # by another writer
+    storage.refresh(spark, at)
+    return read_index(spark, at, cache=True).df
+
+
+@query("SELECT p_partkey, p_name, p_size FROM part")
+def io_strict(spark, d):
+    write_index(read(spark, d, "part").select("p_partkey", "p_name", "p_size"), at := _place(spark, "strict"), options=Options(strict=True))
+    return read_index(spark, at).df
+
+
+@query("SELECT p_name AS value FROM part")
+def io_text(spark, d):
+    write_as(read(spark, d, "part").select(F.col("p_name").alias("value")), at := _place(spark, "text"), "text")
+    return read_as(spark, at, "text")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_size > 10")
+def io_format_name(spark, d):
+    datasource.register(spark)
+    at = _place(spark, "named")
+    read(spark, d, "part").select("p_partkey", "p_name", "p_size").write.format("sparlode").mode("append").save(at)
+    return spark.read.format("sparlode").load(at).where("p_size > 10").select("p_partkey", "p_name")
+
+
+@query("SELECT lang, count(*) AS n FROM documents WHERE n_chars > 500 GROUP BY lang")
+def io_cached(spark, d):
+    write_index(read(spark, d, "documents").select("doc_id", "lang", "n_chars"), at := _place(spark, "cached"))
+    read_index(spark, at, cache=True).count()
+    return read_index(spark, at, cache=True).where("n_chars > 500").groupBy("lang").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, lang, CASE WHEN doc_id % 10 = 0 THEN 0 ELSE n_chars END AS n_chars, 1 AS depth FROM documents")
+def io_overwrite_by_key_partitioned(spark, d):
+    docs = read(spark, d, "documents").select("doc_id", "n_chars", F.coalesce("lang", F.lit("none")).alias("lang"))
+    write_index(docs, at := _place(spark, "update_parts"), partition_by=["lang"])
+    update_by_key(spark, at, docs.where("doc_id % 10 = 0").withColumn("n_chars", F.lit(0).cast("long")), ["doc_id"])
+    return read_index(spark, at).df.select("doc_id", F.nullif("lang", F.lit("none")).alias("lang"), "n_chars").withColumn("depth", F.lit(len(storage.partitions(spark, at))))
+
+
+@query("SELECT doc_id, lang, 1 AS depth FROM documents WHERE lang IS NOT NULL")
+def io_compact_partitioned(spark, d):
+    write_index(read(spark, d, "documents").where("lang IS NOT NULL").select("doc_id", "lang").repartition(6), at := _place(spark, "compact_parts"), partition_by=["lang"])
+    compact(spark, at)
+    return read_index(spark, at).df.withColumn("depth", F.lit(len(storage.partitions(spark, at))))
+
+
+@query("SELECT user_id, count(*) AS n FROM events WHERE json_extract_string(props, '$.k') = '12' GROUP BY user_id")
+def io_sql_accelerated(spark, d):
+    write_index(tagged(spark, d).select("user_id", "props"), at := _place(spark, "pathsql"), options=Options(shred={"props": ["k"]}))
+    return storage.query(spark, f"SELECT user_id, count(*) AS n FROM sparlode.`{at}` WHERE props['k'] = '12' GROUP BY user_id")
+
+
+def _summarised(spark, d, name):
+    """Events with two tags each, dealt to files by the first, and their summary."""
+    tags = tagged(spark, d).select("event_id", "value", F.create_map(F.lit("k"), F.array(F.col("props")["k"]), F.lit("type"), F.array("event_type", F.lit("any"))).alias("tags"))
+    options = Options(shred={"tags": ["k", "type"]}, summarise=["tags.k", "tags.type"])
+    write_index(tags.repartitionByRange(8, F.col("tags")["k"][0]), at := _place(spark, name), options=options)
+    return read_index(spark, at)
+
+
+@query("SELECT event_id FROM events WHERE json_extract_string(props, '$.k') = '12' AND value > 5")
+def x_summary_filter(spark, d):
+    return _summarised(spark, d, "filter").where("array_contains(tags.k, '12') AND value > 5").select("event_id")
+
+
+@query("SELECT t AS type, count(*) AS n FROM (SELECT unnest(list_distinct([event_type, 'any'])) AS t FROM events WHERE json_extract_string(props, '$.k') = '12') GROUP BY 1")
+def x_summary_facet_filtered(spark, d):
+    return _summarised(spark, d, "facets").facet({"type": "tags.type"}, where="array_contains(tags.k, '12')")
+
+
+@query("SELECT count(*) FILTER (WHERE json_extract_string(props, '$.k') = '12') AS twelve, count(*) AS present FROM events")
+def x_summary_count(spark, d):
+    t = _summarised(spark, d, "counts")
+    return spark.createDataFrame([(t.count("array_contains(tags.k, '12')"), t.count("tags['k'] IS NOT NULL"))], "twelve long, present long")
+
+
+@query("SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def j_broadcast(spark, d):
+    return small_join(read(spark, d, "customer"), read(spark, d, "nation").withColumnRenamed("n_nationkey", "c_nationkey"), ["c_nationkey"]).select("c_custkey", "n_name")
+
+
+@query("SELECT s_suppkey, n_nationkey FROM supplier JOIN nation ON s_nationkey > n_nationkey AND s_acctbal > n_nationkey * 100")
+def j_theta_unequal(spark, d):
+    s, n = read(spark, d, "supplier"), read(spark, d, "nation")
+    return s.join(F.broadcast(n), (s.s_nationkey > n.n_nationkey) & (s.s_acctbal > n.n_nationkey * 100)).select("s_suppkey", "n_nationkey")  # 25 nations, whatever the scale
+
+
+@query(ORACLES["j_asof"])
+def j_asof_chunked(spark, d):
+    return _as_of(spark, d, 86_400.0)
+
+
+@query("SELECT o_orderkey, count(*) OVER w AS n, round(CAST(sum(o_totalprice) OVER w AS DOUBLE), 2) AS total FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW)")
+def w_range(spark, d):
+    w = Window.partitionBy("o_custkey").orderBy(F.unix_date(F.to_date("o_orderdate"))).rangeBetween(-90, 0)
+    return read(spark, d, "orders").select("o_orderkey", F.count("*").over(w).alias("n"), F.round(F.sum("o_totalprice").over(w).cast("double"), 2).alias("total"))
+
+
+@query("SELECT l_returnflag, TRUE AS near FROM lineitem GROUP BY 1")
+def a_approx_distinct(spark, d):
+    t = aggregate(read(spark, d, "lineitem"), ["l_returnflag"], {"about": ("approx_count_distinct", "l_partkey"), "exact": ("count_distinct", "l_partkey")})
+    return t.select("l_returnflag", (F.abs(F.col("about") - F.col("exact")) <= 0.15 * F.col("exact")).alias("near"))
+
+
+@query("SELECT event_type, round(sum(CAST(value AS FLOAT)), 2) AS total, count(*) AS n FROM events GROUP BY 1")
+def a_sum_float(spark, d):
+    t = aggregate(read(spark, d, "events").withColumn("value", F.col("value").cast("float")), ["event_type"], {"total": ("sum", "value"), "n": ("count",)})
+    return t.withColumn("total", F.round("total", 2))
+
+
+@query("SELECT TRUE AS subset, TRUE AS share, TRUE AS repeatable")
+def o_sample_properties(spark, d):
+    orders = read(spark, d, "orders").select("o_orderkey")
+    one, two = (orders.sample(fraction=0.1, seed=7) for _ in range(2))
+    n = F.count("*")
+    told = one.agg(n.alias("n"), F.sum(F.xxhash64("o_orderkey").cast("decimal(38,0)")).alias("h")).crossJoin(two.agg(n.alias("n2"), F.sum(F.xxhash64("o_orderkey").cast("decimal(38,0)")).alias("h2")))  # one row each
+    told = told.crossJoin(orders.agg(n.alias("total"))).crossJoin(one.join(orders, "o_orderkey", "left_anti").agg(n.alias("strange")))
+    return told.select((F.col("strange") == 0).alias("subset"), F.col("n").between(F.col("total") * 0.07, F.col("total") * 0.13).alias("share"), ((F.col("n") == F.col("n2")) & (F.col("h") == F.col("h2"))).alias("repeatable"))
+
+
+@query("""
+SELECT p_partkey, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(p_name) + 1), lambda i: ascii(p_name[i])::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) AS crc FROM part
+""")
+def fn_crc32(spark, d):
+    return read(spark, d, "part").select("p_partkey", call("CRC32", F.col("p_name")).alias("crc"))
+
+
+@query("""
+SELECT p_partkey, p_type IS NULL AS is_null, p_type IS NOT NULL AS is_not_null, starts_with(p_name, 'b') AS starts, suffix(p_name, 'e') AS ends, contains(p_name, 'an') AS has, p_size IN (1, 2, 3) AS among, p_size = 7 AS eq, p_size <> 7 AS ne, p_size IS NOT DISTINCT FROM 7 AS same,
+       p_size < 9 AS lt, p_size <= 9 AS le, p_size > 9 AS gt, p_size >= 9 AS ge, p_size > 9 AND p_size < 20 AS both, p_size < 9 OR p_size > 20 AS either, NOT p_size < 9 AS neither, TRUE AS yes, FALSE AS no FROM part
+""")
+def v_predicates(spark, d):
+    c, n = F.col("p_size"), F.col("p_name")
+    return read(spark, d, "part").select(
+        "p_partkey", call("IS_NULL", F.col("p_type")).alias("is_null"), call("IS_NOT_NULL", F.col("p_type")).alias("is_not_null"), call("STARTS_WITH", n, "b").alias("starts"), call("ENDS_WITH", n, "e").alias("ends"), call("CONTAINS", n, "an").alias("has"),
+        call("IN", c, 1, 2, 3).alias("among"), call("=", c, 7).alias("eq"), call("<>", c, 7).alias("ne"), call("<=>", c, F.lit(7)).alias("same"), call("<", c, 9).alias("lt"), call("<=", c, 9).alias("le"), call(">", c, 9).alias("gt"), call(">=", c, 9).alias("ge"),
+        call("AND", c > 9, c < 20).alias("both"), call("OR", c < 9, c > 20).alias("either"), call("NOT", c < 9).alias("neither"), call("ALWAYS_TRUE").alias("yes"), call("ALWAYS_FALSE").alias("no"),
+    )
+
+
+# --- streams: files of a folder as they come, until all are read ----------------------------
+
+
+def _streamed(spark, d, name, make):
+    """The result of a streaming query over four files of events, read one at a time."""
+    source, out = _place(spark, name), _place(spark, name + "-out")
+    e = read(spark, d, "events").withColumn("tags", F.array("event_type", "event_type", F.lit(None)))
+    e.repartition(4).write.parquet(source)
+    result = make(read_stream(spark, source, e.schema, files_per_trigger=1))
+    running = result.writeStream.outputMode("complete").option("checkpointLocation", _place(spark, name + "-state")).trigger(availableNow=True).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).start()
+    running.awaitTermination()
+    return spark.read.schema(result.schema).parquet(out)
+
+
+def _ntz(t, *columns):
+    return t.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
+
+
+@query(ORACLES["w_tumbling"])
+def st_tumbling(spark, d):
+    t = _streamed(spark, d, "tumbling", lambda s: windowed(s, "ts", "1 hour", late="9999 days", by=["event_type"], value="value"))
+    return _ntz(t, "window_start", "window_end").withColumn("total", F.round("total", 4))
+
+
+_SLIDING = "SELECT w AS window_start, w + INTERVAL 2 hours AS window_end, count(*) AS n FROM (SELECT unnest([time_bucket(INTERVAL 1 hour, ts), time_bucket(INTERVAL 1 hour, ts) - INTERVAL 1 hour]) AS w FROM events) GROUP BY ALL"
+
+
+@query(_SLIDING)
+def w_sliding(spark, d):
+    return _ntz(windowed(read(spark, d, "events"), "ts", "2 hours", "1 hour"), "window_start", "window_end")
+
+
+@query(_SLIDING)
+def st_sliding(spark, d):
+    return _ntz(_streamed(spark, d, "sliding", lambda s: windowed(s, "ts", "2 hours", "1 hour", late="9999 days")), "window_start", "window_end")
+
+
+_SESSIONS = """
+WITH t AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 2 hours THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+     u AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM t)
+SELECT min(ts) AS session_start, max(ts) + INTERVAL 2 hours AS session_end, user_id, count(*) AS n FROM u GROUP BY user_id, k
+"""
+
+
+@query(_SESSIONS)
+def w_session_windows(spark, d):
+    return _ntz(session_windows(read(spark, d, "events"), "ts", "2 hours", by=["user_id"]), "session_start", "session_end")
+
+
+@query(_SESSIONS)
+def st_sessions(spark, d):
+    return _ntz(_streamed(spark, d, "sessions", lambda s: session_windows(s, "ts", "2 hours", late="9999 days", by=["user_id"])), "session_start", "session_end")
+
+
+@query("SELECT time_bucket(INTERVAL 1 day, ts) AS window_start, time_bucket(INTERVAL 1 day, ts) + INTERVAL 1 day AS window_end, event_type AS value, count(*) AS n FROM events GROUP BY ALL")
+def st_facets(spark, d):
+    return _ntz(_streamed(spark, d, "facets", lambda s: facet_stream(s, "tags", "ts", "1 day", late="9999 days")), "window_start", "window_end")

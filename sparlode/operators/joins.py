@@ -60,3 +60,12 @@ def interval_join(points: DataFrame, spans: DataFrame, at: str, begin: str, end:
     last = F.floor(F.col(end) / F.lit(width)) - (F.col(end) == F.floor(F.col(end) / F.lit(width)) * F.lit(width)).cast("long")
     s = spans.where(F.col(begin) < F.col(end)).withColumn(bucket, F.explode(F.sequence(F.floor(F.col(begin) / F.lit(width)), last)))
     return p.join(s, [*by, bucket]).where((F.col(at) >= F.col(begin)) & (F.col(at) < F.col(end))).drop(bucket)
+
+
+def small_join(df: DataFrame, small: DataFrame, by: Iterable[str], how: str = "inner", most_rows: int = 1_000_000) -> DataFrame:
+    """An equi-join that sends the small side to every task if it has at most most_rows rows, and shuffles both sides otherwise.
+
+    The small side is counted first, up to the bound; give it only the columns that are needed.
+    """
+    fits = small.limit(most_rows + 1).count() <= most_rows
+    return df.join(F.broadcast(small) if fits else small.hint("merge"), list(by), how)

@@ -41,3 +41,16 @@ def configure(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def footer_read(spark: SparkSession, path: str):
+    """A Parquet table whose count, min and max without a filter come from the footers, however the DataFrame is used further on.
+
+    The relation stays a V2 one; aggregate pushdown, which changes no result, is switched on
+    for the session, as plans look it up when they run.
+    """
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    with configure(spark, FOOTER_AGGREGATES):
+        table = spark.read.parquet(path)
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return table

@@ -108,12 +108,14 @@ class Writer(api.DataSourceArrowWriter):
 
     def commit(self, messages: list) -> None:
         new = [n for m in messages if m is not None for n in m.files]
-        if self.overwrite and os.path.isdir(self.path):
-            for name in os.listdir(self.path):
-                if name.endswith(".parquet"):
-                    os.remove(os.path.join(self.path, name))
+        old = [os.path.join(at, name) for at, _, names in os.walk(self.path) for name in names if name.endswith(".parquet")] if self.overwrite else []
         for i, staged in enumerate(new):
             os.replace(staged, os.path.join(self.path, f"part-{i:05d}-{self.job}.parquet"))
+        for name in old:  # only when the new files are there
+            os.remove(name)
+        for at, _, _ in os.walk(self.path, topdown=False) if self.overwrite else ():
+            if at != self.path and not os.listdir(at):
+                os.rmdir(at)
 
     def abort(self, messages: list) -> None:
         for m in messages:

@@ -2,9 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparlode import compact, facet, query, read_index, update_by_key, write_index
+from sparlode.operators.joins import small_join
 from sparlode.plans import shredding, summary
 from sparlode.plans.cache import CacheRegistry, registry
-from sparlode.plans.session import FOOTER_AGGREGATES, configure
+from sparlode.plans.session import FOOTER_AGGREGATES, configure, footer_read
 from sparlode.sources import datasource
 from sparlode.sources.storage import Options, create_table, partitions, refresh
 
@@ -236,3 +237,20 @@ def test_cached_reads(spark, tmp_path):
     same(read_index(spark, at, cache=True).facet({"v": "map_tags.sports"}, where="age > 0"), facet(t.where("age > 0"), {"v": "map_tags.sports"}))
     write_index(t.limit(1), at, mode="overwrite")
     assert read_index(spark, at, cache=True).count() == 1
+
+
+def test_footer_read_keeps_the_pushdown(spark, tmp_path):
+    at = str(tmp_path / "foot")
+    write_index(spark.range(50), at)
+    out = footer_read(spark, at).agg(F.count("*").alias("n"), F.max("id").alias("hi"))
+    for use in (out, out.select("hi"), out.where("n > 1"), out.withColumn("x", F.lit(1))):
+        assert "PushedAggregation: [" in use._jdf.queryExecution().executedPlan().toString() and "PushedAggregation: []" not in use._jdf.queryExecution().executedPlan().toString()
+    assert tuple(out.first()) == (50, 49)
+
+
+def test_small_join(spark):
+    small = spark.range(3).withColumnRenamed("id", "k")
+    big = spark.range(10).select((F.col("id") % 5).alias("k"))
+    for most, plan in ((10, "BroadcastHashJoin"), (2, "SortMergeJoin")):
+        out = small_join(big, small, ["k"], most_rows=most)
+        assert plan in out._jdf.queryExecution().executedPlan().toString() and out.count() == 6
