@@ -226,8 +226,8 @@ def _gram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())], names=["lang", "kind", "item", "n"])
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_documents: int = 6000, max_grams: int = 200_000, penalty: float = PENALTY) -> Model:
-    """A model of at most about max_documents labelled documents and the max_grams most frequent trigrams.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_documents: int = 6000, penalty: float = PENALTY) -> Model:
+    """A model of the trigrams and scripts of about max_documents labelled documents, which bound its size.
 
     The sample is the identifiers with the smallest hashes, a share of the labelled rows that
     makes max_documents of them. Rows with a null text, language or identifier are left out.
@@ -236,8 +236,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     share = min(1.0, max_documents / max(1, rows.select("id", "lang").count()))
     chosen = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0)).where("text IS NOT NULL")
     counted = chosen.select("lang", "text").mapInArrow(_gram_rows, "lang string, kind string, item string, n long").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
-    got = counted.orderBy(F.desc("kind"), F.desc("n"), "lang", "item").limit(max_grams).collect()
-    return Model({(r["lang"], r["item"]): r["n"] for r in got if r["kind"] == "gram"}, {(r["lang"], r["item"]): r["n"] for r in got if r["kind"] == "script"}, penalty)
+    found: dict[str, dict[tuple[str, str], int]] = {"gram": {}, "script": {}}
+    for lang, kind, item, n in zip(*(c.to_pylist() for c in counted.toArrow().columns)):
+        found[kind][lang, item] = n
+    return Model(found["gram"], found["script"], penalty)
 
 
 def _predicted(batches: Iterator[pa.RecordBatch], shipped, with_spans: bool) -> Iterator[pa.RecordBatch]:
