@@ -8,7 +8,7 @@ needs only the files that list them.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,21 +31,20 @@ _SIMPLE = [
 _TEXT = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"")
 
 
-def build(df: DataFrame, fields: Iterable[str]) -> DataFrame:
-    """(file, field, kind, term, n) of a table that was read from files; terms as strings, kind "term" or "present"."""
+def build(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
+    """(file, field, kind, term, n) of a table that was read from files; fields: name -> path to read; terms as strings, kind "term" or "present"."""
     file = F.col("_metadata.file_path").alias("file")
 
-    def one(path: str) -> DataFrame:
+    def one(name: str, path: str) -> DataFrame:
         values = facet_values(df, path)
         term = F.explode_outer(values) if isinstance(type_at(df.schema, path), T.ArrayType) else values
-        terms = df.select(file, F.lit(path).alias("field"), F.lit("term").alias("kind"), term.alias("term")).withColumn("term", F.col("term").cast("string"))
+        terms = df.select(file, F.lit(name).alias("field"), F.lit("term").alias("kind"), term.alias("term")).withColumn("term", F.col("term").cast("string"))
         return terms.groupBy("file", "field", "kind", "term").agg(F.count("*").alias("n"))
 
-    fields = list(fields)
-    counted = df.select(file, *[column(df.schema, f).alias(f"f{i}") for i, f in enumerate(fields)]).groupBy("file").agg(*[F.count(f"f{i}").alias(f"f{i}") for i in range(len(fields))])
+    counted = df.select(file, *[column(df.schema, path).alias(f"f{i}") for i, path in enumerate(fields.values())]).groupBy("file").agg(*[F.count(f"f{i}").alias(f"f{i}") for i in range(len(fields))])
     rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"f{i}").alias("n")) for i, f in enumerate(fields)])
     present = counted.select("file", F.explode(rows).alias("r")).select("file", "r.field", F.lit("present").alias("kind"), F.lit(None).cast("string").alias("term"), "r.n")
-    return reduce(DataFrame.unionByName, [*map(one, fields), present])
+    return reduce(DataFrame.unionByName, [*(one(*f) for f in fields.items()), present])
 
 
 def facet(terms: DataFrame, path: str, name: str, schema: T.StructType) -> DataFrame:

@@ -120,17 +120,18 @@ def _describe(spark: SparkSession, path: str, about: dict, old: dict | None = No
         delete(spark, side(path))
         return
     files = _files(spark, path)
+    read = {f: shredding.rewrite_path(f, about["shred"]) for f in fields}
     known = spark.read.parquet(side(path) + "/files") if old and old["summarised"] == fields and fields else None
     if known is not None and known.join(files, known.columns, "left_anti").isEmpty():
         fresh = files.join(known, known.columns, "left_anti").select(*known.columns).toArrow()
         new = fresh["path"].to_pylist()
         if new:
-            summary.build(spark.read.option("basePath", path).parquet(*new), fields).write.mode("append").parquet(side(path) + "/terms")
+            summary.build(spark.read.option("basePath", path).parquet(*new), read).write.mode("append").parquet(side(path) + "/terms")
             spark.createDataFrame(fresh).write.mode("append").parquet(side(path) + "/files")
     else:
         delete(spark, side(path))
         if fields:
-            summary.build(spark.read.parquet(path), fields).write.mode("overwrite").parquet(side(path) + "/terms")
+            summary.build(spark.read.parquet(path), read).write.mode("overwrite").parquet(side(path) + "/terms")
             files.write.mode("overwrite").parquet(side(path) + "/files")
     told = json.dumps(about | {"fingerprint": _fingerprint(files)})
     spark.createDataFrame([(told,)], "value string").coalesce(1).write.mode("overwrite").text(side(path) + "/about")
@@ -162,7 +163,8 @@ class Table:
         self._few: dict[str, bool] = {}
 
     def _terms(self) -> DataFrame:
-        return self.spark.read.parquet(side(self.path) + "/terms")
+        """The summary, kept in memory from its first use on."""
+        return registry.get(self.spark, side(self.path) + "/terms", version=self.about["fingerprint"])
 
     def _rows(self, predicate: str) -> DataFrame:
         """The stored columns of the rows for which the predicate is true; only files whose summary has its values are read."""
