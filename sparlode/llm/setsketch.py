@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, wide
 from .components import connected_components
 from .shingles import shingles, word_hashes
 
 BASE, RATE, TOP = 1.001, 20.0, 65534
 REGISTERS, BAND = 128, 4
-#: A pair whose estimate lies more than this below the threshold isn't verified: 4.5 standard errors of 128 registers.
-SLACK = 0.17
+#: A pair whose estimate lies more than this below the threshold isn't verified: 6.5 standard errors of 128 registers, a chance of 4e-11.
+SLACK = 0.25
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, REGISTERS, dtype=np.uint64)
@@ -69,6 +69,12 @@ def joint_estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.
     return j[np.arange(len(j)), likely.argmax(axis=1)]
 
 
+def set_digest(elements: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set; zeros for the empty one."""
+    digest = hashlib.blake2b(elements.tobytes(), digest_size=16).digest() if len(elements) else bytes(16)
+    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+
+
 SKETCHES = "id long, n long, hi long, lo long, registers binary"
 
 
@@ -77,8 +83,7 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
         ids, out = batch.column(0), ([], [], [], [])
         for text in batch.column(1):
             found = shingles(word_hashes(text.as_py()), width)
-            digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else bytes(16)
-            for column, value in zip(out, (len(found), int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), sketch(found).tobytes() if len(found) else b"")):
+            for column, value in zip(out, (len(found), *set_digest(found), sketch(found).tobytes() if len(found) else b"")):
                 column.append(value)
         yield pa.record_batch([ids, pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], names=["id", "n", "hi", "lo", "registers"])
 
@@ -104,9 +109,11 @@ def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The sets of classes' first members; of several texts under one id only the one that the class stands for counts."""
     for batch in _sliced(batches):
-        found = [shingles(word_hashes(t.as_py()), width).tobytes() for t in batch.column(1)]
-        yield pa.record_batch([batch.column(0), batch.column(2), pa.array(found, pa.binary())], names=["id", "registers", "elements"])
+        found = [shingles(word_hashes(t.as_py()), width) for t in batch.column(1)]
+        own = pa.array([set_digest(x) == (h, l) for x, h, l in zip(found, batch.column(3).to_pylist(), batch.column(4).to_pylist())], pa.bool_())
+        yield pa.record_batch([batch.column(0), batch.column(2), pa.array([x.tobytes() for x in found], pa.binary())], names=["id", "registers", "elements"]).filter(own)
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -199,7 +206,8 @@ def residual_links(member: DataFrame, sets: DataFrame, component: DataFrame, per
 
     targets = rows.select("main", cut.alias("cut"), each("parts").alias("part"), "id", "component", F.lit(False).alias("query"))
     queries = rows.where("query").select("main", each("cuts").alias("cut"), part.alias("part"), "id", "component", "query")
-    blocks = targets.unionByName(queries).join(sets, "id")
+    # As many tasks as the session's setting: rows are few but costly, so small partitions must not be joined.
+    blocks = targets.unionByName(queries).join(sets, "id").repartition(wide(member.sparkSession), "main", "cut", "part")
     return blocks.groupBy("main", "cut", "part").applyInArrow(lambda t: in_block(t, percent), "a long, b long")
 
 
@@ -223,8 +231,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
     member = scratch.put(band.join(first, "key").select("key", "id", "n", "first"), "members")
     wanted = member.select("id").distinct()
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    chosen = classes.select("id", "registers").join(wanted, "id")
-    sets = scratch.put(texts.join(chosen, "id").select("id", "text", "registers").mapInArrow(lambda it: _sets(it, width), "id long, registers binary, elements binary"), "sets")
+    chosen = classes.select("id", "registers", "hi", "lo").join(wanted, "id")
+    sets = scratch.put(texts.join(chosen, "id").select("id", "text", "registers", "hi", "lo").mapInArrow(lambda it: _sets(it, width), "id long, registers binary, elements binary"), "sets")
     star = member.where((F.col("id") != F.col("first.id")) & (100 * F.least("n", "first.n") >= percent * F.greatest("n", "first.n")))
     links = scratch.put(verify(star.select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct(), sets, percent), "links")
     parts = scratch.put(connected_components(links, scratch, "cc1"), "parts")

@@ -103,3 +103,11 @@ def test_shingles_of_short_texts():
     assert len(shingles(word_hashes("a b"))) == 1
     assert len(shingles(word_hashes("a b c d e"))) == 1
     assert len(shingles(word_hashes("a a a a a a a"))) == 1
+
+
+def test_two_texts_under_one_id(shipped, docs):
+    """Each class is compared by its own set, whichever rows share its identifier."""
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, long), (1, "quite another text with nine words in it"), (2, long + " more"), (3, "unrelated words that stand here all by themselves")]
+    got = by_id(near_dedup(shipped, docs(rows)), "component_id")
+    assert got[2] == [(1,)] and got[3] == [(3,)] and got[1] == [(1,), (1,)]
