@@ -221,7 +221,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch], shipped) -> Iterator[pa.
     for batch in batches:
         for text in batch.column(0):
             words = set(WORD.findall((text.as_py() or "").lower()))
-            found[[terms[w] for w in words.intersection(terms)]] += 1
+            found[[terms[w] for w in words if w in terms]] += 1
             found[-1] += 1
     at = np.flatnonzero(found)
     yield pa.record_batch([pa.array(np.where(at == len(terms), -1, at)), pa.array(found[at])], names=["term", "n"])
