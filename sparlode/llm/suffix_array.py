@@ -68,11 +68,13 @@ def previous_smaller(values: np.ndarray) -> np.ndarray:
     found = np.arange(-1, n - 1)
     known = np.append(values, -1)  # place -1 is the last
     active = np.arange(n)
-    for _ in range(200):
+    spent = 0  # a round costs about as much as a few hundred places
+    while spent <= 8 * n + 1000:
         active = active[known[found[active]] > values[active]]
         if not len(active):
             return found
         found[active] = found[found[active]]
+        spent += len(active) + 300
     stack: list[int] = []
     listed = values.tolist()
     for i, x in enumerate(listed):
@@ -103,25 +105,31 @@ def common_prefix(symbols: np.ndarray, levels: list[tuple[int, np.ndarray]], dep
     return shared
 
 
-def longest_previous_factors(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def longest_previous_factors(symbols: np.ndarray, depth: int | None = None, shorter: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(factor, source): for each position the length, up to `depth`, of the longest string from there that also starts earlier, and a place where it does (-1 if none).
 
     Of the suffixes that start earlier, one that shares most lies at the previous or the next
     smaller position in suffix order. The symbols come from `concatenate`. Sorting stops at
-    the depth; suffixes that agree so far lie in order of position.
+    the depth; suffixes that agree so far lie in order of position. Without `shorter`, factors
+    that don't reach the depth aren't measured and count as 0.
     """
     n = len(symbols)
     factor, source = np.zeros(n, dtype=np.int64), np.full(n, -1, dtype=np.int64)
     if not n:
         return factor, source
     levels: list[tuple[int, np.ndarray]] = []
-    order, _ = suffix_order(symbols, depth, levels)
+    order, rank = suffix_order(symbols, depth, levels if shorter else None)
     before = previous_smaller(order)
     after = n - 1 - previous_smaller(order[::-1])[::-1]
     for near, none in ((before, -1), (after, n)):
         place = np.flatnonzero(near != none)
         at, other = order[place], order[near[place]]
-        shared = common_prefix(symbols, levels, n if depth is None else depth, at, other)
+        if shorter:
+            shared = common_prefix(symbols, levels, n if depth is None else depth, at, other)
+        else:
+            agree = rank[at] == rank[other]
+            at, other = at[agree], other[agree]
+            shared = np.full(len(at), depth)
         better = shared > factor[at]
         factor[at[better]], source[at[better]] = shared[better], other[better]
     return factor, source
@@ -132,7 +140,7 @@ def repeated_starts(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.nd
 
     Of several such positions each but the first has one of them as its source, the second has the first.
     """
-    factor, source = longest_previous_factors(symbols, length)
+    factor, source = longest_previous_factors(symbols, length, shorter=False)
     later = factor >= length
     anywhere = later.copy()
     anywhere[source[later]] = True

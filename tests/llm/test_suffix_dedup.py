@@ -82,6 +82,9 @@ def test_longest_previous_factors(parts):
         assert factor.tolist() == [min(k, depth or k) for k in want]
         for i, (k, j) in enumerate(zip(factor.tolist(), source.tolist())):
             assert (j == -1 and not k) or (j < i and symbols[i : i + k].tolist() == symbols[j : j + k].tolist())
+    for depth in (1, 2, 5):
+        factor, source = longest_previous_factors(symbols, depth, shorter=False)
+        assert factor.tolist() == [depth * (k >= depth) for k in want] and ((source >= 0) == (factor > 0)).all()
     order, _ = suffix_order(symbols)
     assert order.tolist() == sorted(range(len(symbols)), key=lambda i: symbols.tolist()[i:])
     for length in (1, 2, 5):
@@ -110,7 +113,7 @@ def test_factors_decide(shipped, docs, monkeypatch):
     assert count() > 8 * 100
     from sparlode.llm import suffix_array
 
-    monkeypatch.setattr(suffix_array, "longest_previous_factors", lambda symbols, depth=None: (np.zeros(len(symbols), dtype=np.int64), np.full(len(symbols), -1)))
+    monkeypatch.setattr(suffix_array, "longest_previous_factors", lambda symbols, depth=None, shorter=True: (np.zeros(len(symbols), dtype=np.int64), np.full(len(symbols), -1)))
     symbols, _ = concatenate([rows[0][1].encode(), rows[1][1].encode()])
     assert not suffix_array.repeated_starts(symbols, LENGTH)[1].any()
 
