@@ -3,7 +3,7 @@
 The units that repeat in real texts are seldom whole lines: a passage may stand inside a longer
 one. A paragraph here is a sentence of at least `min_words` words, or the short sentences between
 two such sentences of a line if together they have as many words. Where a passage lies in a line
-changes at most its first and last unit. Equal shingle sets are one
+changes at most its first and last unit. Equal words are one
 class; classes that share a band of MinHash values are compared on their full sets, first
 with the smallest class of their bucket, then, where a bucket still holds several components,
 in blocks. Components of links are clusters, and all paragraphs of a cluster but the first
@@ -17,20 +17,24 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
 from .common import Scratch
 from .components import connected_components
-from .setsketch import linked, residual_links
+from .setsketch import band_pairs, linked, residual_links
 from .shingles import all_shingles, mix
 from .suffix_dedup import remove
 
 #: Values in a band, and the chance with which a pair at the threshold must share one.
 BAND, RECALL = 2, 0.9999
+#: Bands that are shuffled at once.
+AT_ONCE = 4
 _rng = np.random.default_rng(20240302)
 _A = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, 256, dtype=np.uint64)
@@ -83,39 +87,50 @@ def units(data: bytes, min_words: int) -> Iterator[tuple[int, int, list[bytes]]]
         yield begin, at, words
 
 
-def _paragraph_rows(batches: Iterator[pa.RecordBatch], min_words: int, width: int, bands: int) -> Iterator[pa.RecordBatch]:
-    names = ["row", "id", "place", "past", "hi", "lo", "keys"]
+def _paragraph_rows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    names = ["row", "id", "place", "past", "hi", "lo"]
     for batch in batches:
         for i in range(0, batch.num_rows, 512):
             part = batch.slice(i, 512)
-            rows: list[list] = [[] for _ in names[:-1]]
-            keys = [np.zeros((0, bands), dtype=np.int64)]
+            rows: list[list] = [[] for _ in names[:-2]]
+            digests = []
             for row, doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2)):
-                found = list(units((text.as_py() or "").encode(), min_words))
-                if not found:
-                    continue
-                elements, begins = all_shingles([words for *_, words in found], width)
-                keys.append(band_keys(elements, begins, bands))
-                ends = [*begins[1:].tolist(), len(elements)]
-                for (place, past, _), a, b in zip(found, begins.tolist(), ends):
-                    digest = hashlib.blake2b(elements[a:b].tobytes(), digest_size=16).digest()
-                    for column, value in zip(rows, (row, doc_id, place, past, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True))):
+                for place, past, words in units((text.as_py() or "").encode(), min_words):
+                    digests.append(xxh3_128_digest(b" ".join(words)))
+                    for column, value in zip(rows, (row, doc_id, place, past)):
                         column.append(value)
-            flat = np.concatenate(keys)
-            offsets = pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands)
-            yield pa.record_batch([*(pa.array(c, pa.int64()) for c in rows), pa.ListArray.from_arrays(offsets, pa.array(flat.ravel()))], names=names)
+            hi_lo = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+            yield pa.record_batch([*(pa.array(c, pa.int64()) for c in rows), pa.array(hi_lo[:, 0]), pa.array(hi_lo[:, 1])], names=names)
 
 
-def _wanted_sets(batches: Iterator[pa.RecordBatch], min_words: int, width: int) -> Iterator[pa.RecordBatch]:
+def _class_keys(batches: Iterator[pa.RecordBatch], min_words: int, width: int, bands: int) -> Iterator[pa.RecordBatch]:
+    """The band keys of the listed paragraphs of each text."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            wanted = {x["place"]: x for x in batch.column(1)[i].as_py()}
-            found = [(wanted[begin], words) for begin, _, words in units((batch.column(0)[i].as_py() or "").encode(), min_words) if begin in wanted]
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            classes, texts = [], []
+            for text, listed in zip(part.column(0), part.column(1)):
+                wanted = {x["place"]: x["cls"] for x in listed.as_py()}
+                for begin, _, words in units((text.as_py() or "").encode(), min_words):
+                    if begin in wanted:
+                        classes.append(wanted[begin])
+                        texts.append(words)
+            if classes:
+                flat = band_keys(*all_shingles(texts, width), bands)
+                offsets = pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands)
+                yield pa.record_batch([pa.array(classes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat.ravel()))], names=["cls", "keys"])
+
+
+def _wanted_sets(batches: Iterator[pa.RecordBatch], min_words: int, width: int, bands: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for text, listed in zip(batch.column(0), batch.column(1)):
+            wanted = {x["place"]: x["cls"] for x in listed.as_py()}
+            found = [(wanted[begin], words) for begin, _, words in units((text.as_py() or "").encode(), min_words) if begin in wanted]
             if found:
                 elements, begins = all_shingles([words for _, words in found], width)
                 sets = [x.tobytes() for x in np.split(elements, begins[1:])]
-                keys = [np.array(x["keys"], dtype=np.int64).tobytes() for x, _ in found]
-                yield pa.record_batch([pa.array([x["cls"] for x, _ in found], pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["id", "registers", "elements"])
+                keys = [x.tobytes() for x in band_keys(elements, begins, bands)]
+                yield pa.record_batch([pa.array([cls for cls, _ in found], pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["id", "registers", "elements"])
 
 
 def _star_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -140,20 +155,17 @@ def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
             c = root[c]
         return c
 
-    targets, found = np.flatnonzero(~query), ([], [])
-    for q in np.flatnonzero(query):
-        low, high = np.minimum(size[targets], size[q]), np.maximum(size[targets], size[q])
-        near = targets[(comp[targets] != comp[q]) & (100 * low >= percent * high)]
-        shared = (keys[near] == keys[q]).sum(axis=1)
-        for k in np.argsort(-shared, kind="stable"):
-            if not shared[k]:
-                break
-            t = near[k]
-            one, other = find(int(comp[q])), find(int(comp[t]))
-            if one != other and linked(sets[q], sets[t], percent):
-                root[max(one, other)] = min(one, other)
-                found[0].append(int(ids[q]))
-                found[1].append(int(ids[t]))
+    found: tuple[list, list] = ([], [])
+    of, with_, shared = band_pairs(keys, np.flatnonzero(query), np.flatnonzero(~query))
+    fit = (comp[of] != comp[with_]) & (100 * np.minimum(size[of], size[with_]) >= percent * np.maximum(size[of], size[with_]))
+    of, with_, shared = of[fit], with_[fit], shared[fit]
+    for k in np.lexsort((with_, -shared, of)).tolist():
+        q, t = int(of[k]), int(with_[k])
+        one, other = find(int(comp[q])), find(int(comp[t]))
+        if one != other and linked(sets[q], sets[t], percent):
+            root[max(one, other)] = min(one, other)
+            found[0].append(int(ids[q]))
+            found[1].append(int(ids[t]))
     return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
 
@@ -191,37 +203,43 @@ def paragraph_dedup(
     scratch = Scratch(spark, "paragraphs")
     text = F.col(f"`{text_col}`")
     bands = bands_needed(percent / 100)
-    source = docs.select(F.xxhash64(F.col(f"`{id_col}`"), text).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("text"))
-    every = scratch.put(source.mapInArrow(lambda it: _paragraph_rows(it, min_words, width, bands), "row long, id long, place long, past long, hi long, lo long, keys array<long>"), "paragraphs")
-    lead = F.struct(F.coalesce("id", F.lit(-(2**63))).alias("id"), "row", "place")
-    grouped = every.groupBy("hi", "lo").agg(F.min(F.struct(lead.alias("lead"), "keys")).alias("r"), F.count("*").alias("copies"))
+    own = F.col(f"`{id_col}`").cast("long")
+    source = docs.select(F.xxhash64(own, text).alias("row"), F.coalesce(own, F.lit(-(2**63))).alias("id"), text.alias("text"), own.alias("own"))
+    places = scratch.put(source.select("row", "id", "text").mapInArrow(lambda it: _paragraph_rows(it, min_words), "row long, id long, place long, past long, hi long, lo long"), "places")
+    lead = F.struct("id", "row", "place")
+    grouped = places.groupBy("hi", "lo").agg(F.min(lead).alias("lead"), F.count("*").alias("copies"))
     # The number of a class is written with it, so it does not change when a task is run again.
-    classes = scratch.put(grouped.select(F.monotonically_increasing_id().alias("cls"), "hi", "lo", "copies", "r.lead", "r.keys"), "classes")
-    places = scratch.put(every.drop("keys"), "places")
-    scratch.drop("paragraphs")
-    band = classes.select(F.explode("keys").alias("key"), F.col("cls").alias("id"))
-    first = band.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").select("key", "first")
-    member = scratch.put(band.join(first, "key").select("key", "id", "first"), "members")
-    wanted = classes.join(member.select(F.col("id").alias("cls")).distinct(), "cls").select(F.col("lead.row").alias("row"), F.struct("cls", F.col("lead.place").alias("place"), "keys").alias("x"))
-    listed = wanted.groupBy("row").agg(F.collect_list("x").alias("listed"))
-    texts = source.select("row", "text").join(listed, "row").select("text", "listed")
-    sets = scratch.put(texts.mapInArrow(lambda it: _wanted_sets(it, min_words, width), "id long, registers binary, elements binary"), "sets")
+    classes = scratch.put(grouped.select(F.monotonically_increasing_id().alias("cls"), "hi", "lo", "copies", "lead"), "classes")
+    firsts = classes.groupBy(F.col("lead.row").alias("row"), F.col("lead.id").alias("id")).agg(F.collect_list(F.struct("cls", F.col("lead.place").alias("place"))).alias("listed"))
+    texts = source.select("row", "id", "text").join(firsts, ["row", "id"]).select("text", "listed")
+    keys = scratch.put(texts.mapInArrow(lambda it: _class_keys(it, min_words, width, bands), "cls long, keys array<long>"), "keys")
+    parts = []
+    for k in range(0, bands, AT_ONCE):  # a few bands at a time: what a round shuffles is gone before the next
+        band = keys.select(F.explode(F.slice("keys", k + 1, AT_ONCE)).alias("key"), F.col("cls").alias("id"))
+        first = band.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").select("key", "first")
+        parts.append(scratch.put(band.join(first, "key").select("key", "id", "first"), f"members{k}"))
+    scratch.drop("keys")
+    member = reduce(DataFrame.unionByName, parts)
+    wanted = classes.join(member.select(F.col("id").alias("cls")).distinct(), "cls").select(F.col("lead.row").alias("row"), F.col("lead.id").alias("id"), F.struct("cls", F.col("lead.place").alias("place")).alias("x"))
+    listed = wanted.groupBy("row", "id").agg(F.collect_list("x").alias("listed"))
+    texts = source.select("row", "id", "text").join(listed, ["row", "id"]).select("text", "listed")
+    sets = scratch.put(texts.mapInArrow(lambda it: _wanted_sets(it, min_words, width, bands), "id long, registers binary, elements binary"), "sets")
     star = member.where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     sides = [sets.select(F.col("id").alias(x), F.col("elements").alias(f"elements_{x}")) for x in "ab"]
     pairs = star.join(sides[0], "a").join(sides[1], "b").select("a", "b", "elements_a", "elements_b")
     links = scratch.put(pairs.mapInArrow(lambda it: _star_links(it, percent), "a long, b long"), "links")
     parts = scratch.put(connected_components(links, scratch, "cc1"), "parts")
     more = scratch.put(residual_links(member.select("key", "id"), sets, parts, percent, in_block=_links_in_block), "more")
-    for name in ("members", "sets"):
+    for name in ("sets", *(f"members{k}" for k in range(0, bands, AT_ONCE))):
         scratch.drop(name)
     final = parts if more.isEmpty() else connected_components(links.unionByName(more), scratch, "cc2")
     placed = classes.select("cls", "hi", "lo", "copies", "lead").join(final, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))
     placed = scratch.put(placed.where("copies > 1 OR node IS NOT NULL").drop("node"), "placed")
     keeper = placed.groupBy("component").agg(F.min("lead").alias("keeper"))
     told = placed.join(keeper, "component").select("hi", "lo", "keeper")
-    gone = places.join(told, ["hi", "lo"]).where((F.col("row") != F.col("keeper.row")) | (F.col("place") != F.col("keeper.place")))
-    gone = scratch.put(gone.groupBy("row").agg(F.collect_set(F.struct("place", "past")).alias("removed")), "gone")
+    gone = places.join(told, ["hi", "lo"]).where((F.col("id") != F.col("keeper.id")) | (F.col("row") != F.col("keeper.row")) | (F.col("place") != F.col("keeper.place")))
+    gone = scratch.put(gone.groupBy("row", "id").agg(F.collect_set(F.struct("place", "past")).alias("removed")), "gone")
     for name in ("places", "classes"):
         scratch.drop(name)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>" + ", kept string" * with_text
-    return source.join(gone, "row", "left").select("id", "text", "removed").mapInArrow(lambda it: _without(it, with_text), schema)
+    return source.join(gone, ["row", "id"], "left").select("own", "text", "removed").mapInArrow(lambda it: _without(it, with_text), schema)

@@ -145,6 +145,19 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(lambda it: _verified(it, percent), "a long, b long")
 
 
+def band_pairs(keys: np.ndarray, queries: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, target, bands shared) of all queries and targets, given by row, that share a band; in order of query and target."""
+    found = [np.zeros(0, dtype=np.int64)]
+    for column in keys.T:
+        order = targets[np.argsort(column[targets], kind="stable")]
+        first, last = (np.searchsorted(column[order], column[queries], side) for side in ("left", "right"))
+        many = last - first
+        at = np.arange(int(many.sum())) + np.repeat(first - np.cumsum(many) + many, many)
+        found.append(np.repeat(queries, many) * len(keys) + order[at])
+    pair, shared = np.unique(np.concatenate(found), return_counts=True)
+    return pair // len(keys), pair % len(keys), shared
+
+
 def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
     """Links between the queries and the targets of one block that join components.
 
@@ -164,13 +177,14 @@ def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
             c = root[c]
         return c
 
-    targets, found = np.flatnonzero(~query), ([], [])
-    for q in np.flatnonzero(query):
-        low, high = np.minimum(size[targets], size[q]), np.maximum(size[targets], size[q])
-        near = targets[(comp[targets] != comp[q]) & (100 * low >= percent * high)]
-        near = near[(bands_of[near] == bands_of[q]).any(axis=1)]
-        if not len(near):
+    found = ([], [])
+    of, with_, _ = band_pairs(bands_of, np.flatnonzero(query), np.flatnonzero(~query))
+    fit = (comp[of] != comp[with_]) & (100 * np.minimum(size[of], size[with_]) >= percent * np.maximum(size[of], size[with_]))
+    of, with_ = of[fit], with_[fit]
+    for part in np.split(np.arange(len(of)), np.flatnonzero(np.diff(of)) + 1):
+        if not len(part):
             continue
+        q, near = int(of[part[0]]), with_[part]
         likely = joint_estimate(regs[near], np.broadcast_to(regs[q], (len(near), REGISTERS)), size[near], np.full(len(near), size[q]))
         for k in np.argsort(-likely, kind="stable"):
             if likely[k] < percent / 100 - SLACK:
