@@ -103,8 +103,8 @@ def _paragraph_rows(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterat
             yield pa.record_batch([*(pa.array(c, pa.int64()) for c in rows), pa.array(hi_lo[:, 0]), pa.array(hi_lo[:, 1])], names=names)
 
 
-def _class_keys(batches: Iterator[pa.RecordBatch], min_words: int, width: int, bands: int) -> Iterator[pa.RecordBatch]:
-    """The band keys of the listed paragraphs of each text."""
+def _listed(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple[list[int], list[list[bytes]]]]:
+    """The classes and words of the listed paragraphs, some texts at a time."""
     for batch in batches:
         for i in range(0, batch.num_rows, 256):
             part = batch.slice(i, 256)
@@ -116,21 +116,23 @@ def _class_keys(batches: Iterator[pa.RecordBatch], min_words: int, width: int, b
                         classes.append(wanted[begin])
                         texts.append(words)
             if classes:
-                flat = band_keys(*all_shingles(texts, width), bands)
-                offsets = pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands)
-                yield pa.record_batch([pa.array(classes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat.ravel()))], names=["cls", "keys"])
+                yield classes, texts
+
+
+def _class_keys(batches: Iterator[pa.RecordBatch], min_words: int, width: int, bands: int) -> Iterator[pa.RecordBatch]:
+    """The band keys of the listed paragraphs of each text."""
+    for classes, texts in _listed(batches, min_words):
+        flat = band_keys(*all_shingles(texts, width), bands)
+        offsets = pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands)
+        yield pa.record_batch([pa.array(classes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat.ravel()))], names=["cls", "keys"])
 
 
 def _wanted_sets(batches: Iterator[pa.RecordBatch], min_words: int, width: int, bands: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for text, listed in zip(batch.column(0), batch.column(1)):
-            wanted = {x["place"]: x["cls"] for x in listed.as_py()}
-            found = [(wanted[begin], words) for begin, _, words in units((text.as_py() or "").encode(), min_words) if begin in wanted]
-            if found:
-                elements, begins = all_shingles([words for _, words in found], width)
-                sets = [x.tobytes() for x in np.split(elements, begins[1:])]
-                keys = [x.tobytes() for x in band_keys(elements, begins, bands)]
-                yield pa.record_batch([pa.array([cls for cls, _ in found], pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["id", "registers", "elements"])
+    for classes, texts in _listed(batches, min_words):
+        elements, begins = all_shingles(texts, width)
+        sets = [x.tobytes() for x in np.split(elements, begins[1:])]
+        keys = [x.tobytes() for x in band_keys(elements, begins, bands)]
+        yield pa.record_batch([pa.array(classes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], names=["id", "registers", "elements"])
 
 
 def _star_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
