@@ -229,7 +229,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch], shipped) -> Iterator[pa.
 
 def fit(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    max_examples: int = 4000, max_postings: int = 4_000_000, neighbours: int = 15,
+    max_examples: int = 2000, max_postings: int = 4_000_000, neighbours: int = 15,
 ) -> Index:
     """An index of at most max_examples labelled documents with at most max_postings different words, added up over documents.
 
