@@ -25,16 +25,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .common import Scratch
+from .common import Scratch, wide
 from .components import connected_components
 from .setsketch import band_pairs, linked, residual_links
-from .shingles import all_shingles, mix
+from .shingles import all_shingles, mix, runs
 from .suffix_dedup import remove
 
 #: Values in a band, and the chance with which a pair at the threshold must share one.
 BAND, RECALL = 2, 0.9999
 #: Bands that are shuffled at once.
 AT_ONCE = 4
+#: Classes in a row of keys, classes whose keys are sorted at once, pairs of key and class in a partition, members in a row, and rows of blocks compared at once.
+PACKED, SORTED, HELD, SENT, COMPARED = 64, 1 << 17, 1 << 21, 1 << 12, 4096
+#: Bits of a set's outline.
+OUTLINE = 256
 _rng = np.random.default_rng(20240302)
 _A = _rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, 256, dtype=np.uint64)
@@ -60,17 +64,20 @@ def band_keys(elements: np.ndarray, begins: np.ndarray, bands: int) -> np.ndarra
     return key.view(np.int64)
 
 
-#: A sentence with the blanks after it, else the rest of a line.
-PIECE = re.compile(rb"[^\n]*?[.!?][ \t]+\n?|[^\n]*\n|[^\n]+")
+#: What ends a piece: the mark and blanks after a sentence, with a newline behind them, or a newline.
+END = re.compile(rb"[.!?\n](?:(?<=\n)|[ \t]+\n?)")
 
 
 def units(data: bytes, min_words: int) -> Iterator[tuple[int, int, list[bytes]]]:
     """(begin, end, lower-case words) of the paragraphs; a newline belongs to the last of its line."""
     at = 0
     begin, words = 0, []  # the short sentences waiting
-    for piece in PIECE.findall(data.lower()):
-        found = piece.split()
-        end = at + len(piece)
+    low = data.lower()
+    ends = [m.end() for m in END.finditer(low)]
+    if low and (not ends or ends[-1] < len(low)):
+        ends.append(len(low))
+    for end in ends:
+        found = low[at:end].split()
         if len(found) >= min_words:
             if len(words) >= min_words:
                 yield begin, at, words
@@ -78,7 +85,7 @@ def units(data: bytes, min_words: int) -> Iterator[tuple[int, int, list[bytes]]]
             begin, words = end, []
         else:
             words += found
-            if piece.endswith(b"\n"):
+            if low[end - 1] == 10:
                 if len(words) >= min_words:
                     yield begin, end, words
                 begin, words = end, []
@@ -120,11 +127,78 @@ def _listed(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple
 
 
 def _class_keys(batches: Iterator[pa.RecordBatch], min_words: int, width: int, bands: int) -> Iterator[pa.RecordBatch]:
-    """The band keys of the listed paragraphs of each text."""
+    """The band keys of the listed paragraphs of each text: PACKED classes to a row, a column for the bands of a round."""
+    names = ["ids", *(f"k{k}" for k in range(0, bands, AT_ONCE))]
     for classes, texts in _listed(batches, min_words):
-        flat = band_keys(*all_shingles(texts, width), bands)
-        offsets = pa.array(np.arange(len(flat) + 1, dtype=np.int32) * bands)
-        yield pa.record_batch([pa.array(classes, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(flat.ravel()))], names=["cls", "keys"])
+        ids, flat = np.array(classes, dtype=np.int64), band_keys(*runs(texts, width), bands)  # a minimum needs no distinct shingles
+        columns = [ids, *(flat[:, k : k + AT_ONCE] for k in range(0, bands, AT_ONCE))]
+        yield pa.record_batch([pa.array([c[i : i + PACKED].tobytes() for i in range(0, len(ids), PACKED)], pa.binary()) for c in columns], names=names)
+
+
+def shared_keys(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the smallest id of each, and a row (key, id, smallest id) for each id whose key others have, too."""
+    order = np.argsort(keys)
+    keys, ids = keys[order], ids[order]
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    if not len(begins):
+        return keys, ids, np.empty((0, 3), dtype=np.int64)
+    firsts, many = np.minimum.reduceat(ids, begins), np.diff(np.append(begins, len(keys)))
+    both = np.repeat(many > 1, many)
+    return keys[begins], firsts, np.stack([keys[both].view(np.int64), ids[both], np.repeat(firsts, many)[both]], axis=1)
+
+
+def _deal(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Keys with their classes, dealt to parts by ranges of keys.
+
+    Classes that meet here are members of their bucket already, and only the first of them is
+    sent on with the key: a key that very many classes have reaches its part once for SORTED classes.
+    """
+    edges = np.array([(i << 64) // parts for i in range(parts)], dtype=np.uint64)
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def send() -> Iterator[pa.RecordBatch]:
+        ids, keys = (np.concatenate(x) for x in zip(*waiting))
+        waiting.clear()
+        keys, firsts, met = shared_keys(keys, np.repeat(ids, len(keys) // len(ids)))
+        at = np.append(np.searchsorted(keys, edges), len(keys))
+        full = np.flatnonzero(np.diff(at))
+        blocks = [[x[at[i] : at[i + 1]].tobytes() for i in full] for x in (keys, firsts)]
+        members = [met[i : i + SENT].tobytes() for i in range(0, len(met), SENT)]
+        places = [*full.tolist(), *((int(keys[0] % np.uint64(parts)) + i) % parts for i in range(len(members)))]
+        none: list = [None] * len(members)
+        columns = [pa.array(places, pa.int32()), *(pa.array(x + none, pa.binary()) for x in blocks), pa.array([None] * len(full) + members, pa.binary())]
+        yield pa.record_batch(columns, names=["part", "keys", "ids", "members"])
+
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            ids, keys = (np.frombuffer(b"".join(c.to_pylist()), dtype=kind) for c, kind in zip(batch.columns, (np.int64, np.uint64)))
+            waiting.append((ids, keys))
+            size += len(ids)
+            if size >= SORTED:
+                size = 0
+                yield from send()
+    if waiting:
+        yield from send()
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of the buckets of a part: (key, id, first)."""
+    waiting = [[np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]]
+
+    def rows(met: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c) for c in np.ascontiguousarray(met.T)], names=["key", "id", "first"])
+
+    for batch in batches:
+        for keys, ids, members in zip(*(batch.column(c).to_pylist() for c in ("keys", "ids", "members"))):
+            if members is not None:
+                yield rows(np.frombuffer(members, dtype=np.int64).reshape(-1, 3))
+            else:
+                waiting[0].append(np.frombuffer(keys, dtype=np.uint64))
+                waiting[1].append(np.frombuffer(ids, dtype=np.int64))
+    met = shared_keys(*map(np.concatenate, waiting))[2]
+    for i in range(0, len(met), 1 << 16):
+        yield rows(met[i : i + (1 << 16)])
 
 
 def _wanted_sets(batches: Iterator[pa.RecordBatch], min_words: int, width: int, bands: int) -> Iterator[pa.RecordBatch]:
@@ -142,13 +216,55 @@ def _star_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
         yield pa.record_batch([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
 
-def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
-    """Links of one block between classes that share a band and not a component; most shared bands first."""
-    ids, comp, query = table["id"].to_numpy(), table["component"].to_numpy(), table["query"].to_numpy()
-    signatures = table["registers"].to_pylist()
-    keys = np.frombuffer(b"".join(signatures), dtype=np.int64).reshape(len(ids), -1)
-    sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for c in table["elements"].chunks for x in c]
-    size = np.array([len(x) for x in sets])
+def outlines(elements: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """A bit for each hash value that a set has; the sets, none of them empty, lie one after the other."""
+    bit = (mix(elements) % np.uint64(OUTLINE)).astype(np.int64)
+    out = np.empty((len(begins), OUTLINE // 64), dtype=np.uint64)
+    for k in range(OUTLINE // 64):
+        out[:, k] = np.bitwise_or.reduceat(np.where(bit >> 6 == k, np.uint64(1) << (bit & 63).astype(np.uint64), np.uint64(0)), begins)
+    return out
+
+
+def possible(size: np.ndarray, outline: np.ndarray, of: np.ndarray, with_: np.ndarray, percent: int) -> np.ndarray:
+    """Whether pairs of sets may reach the similarity: a bit that only one set has is an element that only it has."""
+    x, y = outline[of], outline[with_]
+    alone_x, alone_y = (np.bitwise_count(a & ~b).sum(axis=1).astype(np.int64) for a, b in ((x, y), (y, x)))
+    both = np.minimum(size[of] - alone_x, size[with_] - alone_y)
+    return 100 * both >= percent * (size[of] + size[with_] - both)
+
+
+def _links_in_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links within blocks, whose rows come one block after the other; most blocks are small and many are compared at once."""
+    waiting: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        blocks = np.stack([batch.column(c).to_numpy() for c in ("main", "cut", "part")])
+        ends = np.flatnonzero((blocks[:, 1:] != blocks[:, :-1]).any(axis=0)) + 1
+        if waiting and size >= COMPARED and batch.num_rows and [waiting[-1].column(c)[-1].as_py() for c in ("main", "cut", "part")] != blocks[:, 0].tolist():
+            yield _compared(waiting, percent)
+            waiting, size = [], 0
+        begin = 0
+        for end in ends.tolist():
+            if size + end - begin >= COMPARED:
+                yield _compared([*waiting, batch.slice(begin, end - begin)], percent)
+                waiting, size, begin = [], 0, end
+        waiting.append(batch.slice(begin))
+        size += batch.num_rows - begin
+    if size:
+        yield _compared(waiting, percent)
+
+
+def _compared(batches: list[pa.RecordBatch], percent: int) -> pa.RecordBatch:
+    """Links between classes that share a block and a band and not a component; most shared bands first."""
+    table = pa.Table.from_batches(batches)
+    ids, comp, query, main, cut, part = (table[c].to_numpy() for c in ("id", "component", "query", "main", "cut", "part"))
+    block = np.cumsum(np.append(False, (main[1:] != main[:-1]) | (cut[1:] != cut[:-1]) | (part[1:] != part[:-1]))).astype(np.uint64)
+    keys = np.frombuffer(b"".join(table["registers"].to_pylist()), dtype=np.int64).reshape(len(ids), -1)
+    # Blocks are told apart by their keys; should two be equal for once, sets are compared in vain.
+    keys = keys ^ mix(block * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)[:, None]
+    raw = table["elements"].to_pylist()
+    size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 8
+    elements, begins = np.frombuffer(b"".join(raw), dtype=np.uint64), np.cumsum(size) - size
     root = {c: c for c in np.unique(comp).tolist()}
 
     def find(c: int) -> int:
@@ -159,16 +275,21 @@ def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
 
     found: tuple[list, list] = ([], [])
     of, with_, shared = band_pairs(keys, np.flatnonzero(query), np.flatnonzero(~query))
-    fit = (comp[of] != comp[with_]) & (100 * np.minimum(size[of], size[with_]) >= percent * np.maximum(size[of], size[with_]))
+    fit = comp[of] != comp[with_]
+    of, with_, shared = of[fit], with_[fit], shared[fit]
+    outline, kept = outlines(elements, begins), [np.zeros(0, dtype=bool)]
+    for i in range(0, len(of), 1 << 16):
+        kept.append(possible(size, outline, of[i : i + (1 << 16)], with_[i : i + (1 << 16)], percent))
+    fit = np.concatenate(kept)
     of, with_, shared = of[fit], with_[fit], shared[fit]
     for k in np.lexsort((with_, -shared, of)).tolist():
         q, t = int(of[k]), int(with_[k])
         one, other = find(int(comp[q])), find(int(comp[t]))
-        if one != other and linked(sets[q], sets[t], percent):
+        if one != other and linked(*(elements[begins[x] : begins[x] + size[x]] for x in (q, t)), percent):
             root[max(one, other)] = min(one, other)
             found[0].append(int(ids[q]))
             found[1].append(int(ids[t]))
-    return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+    return pa.record_batch([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64())], names=["a", "b"])
 
 
 def _without(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -214,12 +335,13 @@ def paragraph_dedup(
     classes = scratch.put(grouped.select(F.monotonically_increasing_id().alias("cls"), "hi", "lo", "copies", "lead"), "classes")
     firsts = classes.groupBy(F.col("lead.row").alias("row"), F.col("lead.id").alias("id")).agg(F.collect_list(F.struct("cls", F.col("lead.place").alias("place"))).alias("listed"))
     texts = source.select("row", "id", "text").join(firsts, ["row", "id"]).select("text", "listed")
-    keys = scratch.put(texts.mapInArrow(lambda it: _class_keys(it, min_words, width, bands), "cls long, keys array<long>"), "keys")
+    rounds = range(0, bands, AT_ONCE)
+    keys = scratch.put(texts.mapInArrow(lambda it: _class_keys(it, min_words, width, bands), ", ".join(["ids binary", *(f"k{k} binary" for k in rounds)])), "keys")
+    dealt = max(wide(spark), math.ceil(classes.count() * AT_ONCE / HELD))
     parts = []
-    for k in range(0, bands, AT_ONCE):  # a few bands at a time: what a round shuffles is gone before the next
-        band = keys.select(F.explode(F.slice("keys", k + 1, AT_ONCE)).alias("key"), F.col("cls").alias("id"))
-        first = band.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1").select("key", "first")
-        parts.append(scratch.put(band.join(first, "key").select("key", "id", "first"), f"members{k}"))
+    for k in rounds:  # a few bands at a time: what a round shuffles is gone before the next
+        blocks = keys.select("ids", f"k{k}").mapInArrow(lambda it: _deal(it, dealt), "part int, keys binary, ids binary, members binary")
+        parts.append(scratch.put(blocks.repartitionById(dealt, "part").select("keys", "ids", "members").mapInArrow(_meet, "key long, id long, first long"), f"members{k}"))
     scratch.drop("keys")
     member = reduce(DataFrame.unionByName, parts)
     wanted = classes.join(member.select(F.col("id").alias("cls")).distinct(), "cls").select(F.col("lead.row").alias("row"), F.col("lead.id").alias("id"), F.struct("cls", F.col("lead.place").alias("place")).alias("x"))
@@ -231,8 +353,8 @@ def paragraph_dedup(
     pairs = star.join(sides[0], "a").join(sides[1], "b").select("a", "b", "elements_a", "elements_b")
     links = scratch.put(pairs.mapInArrow(lambda it: _star_links(it, percent), "a long, b long"), "links")
     parts = scratch.put(connected_components(links, scratch, "cc1"), "parts")
-    more = scratch.put(residual_links(member.select("key", "id"), sets, parts, percent, in_block=_links_in_block), "more")
-    for name in ("sets", *(f"members{k}" for k in range(0, bands, AT_ONCE))):
+    more = scratch.put(residual_links(member.select("key", "id"), sets, parts, percent, in_blocks=_links_in_blocks), "more")
+    for name in ("sets", *(f"members{k}" for k in rounds)):
         scratch.drop(name)
     final = parts if more.isEmpty() else connected_components(links.unionByName(more), scratch, "cc2")
     placed = classes.select("cls", "hi", "lo", "copies", "lead").join(final, F.col("cls") == F.col("node"), "left").withColumn("component", F.coalesce("component", "cls"))

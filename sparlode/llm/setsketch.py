@@ -198,14 +198,15 @@ def _links_in_block(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
 
-def residual_links(member: DataFrame, sets: DataFrame, component: DataFrame, percent: int, block: int = 1024, in_block=_links_in_block) -> DataFrame:
+def residual_links(member: DataFrame, sets: DataFrame, component: DataFrame, percent: int, block: int = 1024, in_blocks=None) -> DataFrame:
     """Links between rows that share a band but not yet a component, enough to join all that belong together.
 
     Buckets within one component need nothing. Of any other bucket, the rows outside its
     largest component are queries against all its rows. Buckets with the same largest
     component are taken together, so a row is sent once for all its bands, in blocks of a
     bounded number of targets and queries. Pairs are compared where they meet and only links
-    are returned, at most one for two components and block.
+    are returned, at most one for two components and block. in_blocks, if given, finds the links
+    in rows that come one block after the other.
     """
     placed = member.join(component.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     by_comp = placed.groupBy("key", "component").agg(F.count("*").alias("c"))
@@ -222,7 +223,9 @@ def residual_links(member: DataFrame, sets: DataFrame, component: DataFrame, per
     queries = rows.where("query").select("main", each("cuts").alias("cut"), part.alias("part"), "id", "component", "query")
     # As many tasks as the session's setting: rows are few but costly, so small partitions must not be joined.
     blocks = targets.unionByName(queries).join(sets, "id").repartition(wide(member.sparkSession), "main", "cut", "part")
-    return blocks.groupBy("main", "cut", "part").applyInArrow(lambda t: in_block(t, percent), "a long, b long")
+    if in_blocks:
+        return blocks.sortWithinPartitions("main", "cut", "part").mapInArrow(lambda it: in_blocks(it, percent), "a long, b long")
+    return blocks.groupBy("main", "cut", "part").applyInArrow(lambda t: _links_in_block(t, percent), "a long, b long")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5) -> DataFrame:

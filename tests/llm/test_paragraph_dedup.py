@@ -1,11 +1,14 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from sparlode.llm.paragraph_dedup import BAND, RECALL, band_keys, bands_needed, paragraph_dedup, units
-from sparlode.llm.shingles import all_shingles, shingles, word_hashes
+import sparlode.llm.paragraph_dedup as module
+from sparlode.llm.paragraph_dedup import BAND, RECALL, band_keys, bands_needed, outlines, paragraph_dedup, possible, units
+from sparlode.llm.setsketch import linked
+from sparlode.llm.shingles import all_shingles, mix, shingles, word_hashes
 
 from .conftest import LONG, by_id
 
@@ -113,3 +116,73 @@ def test_passage_goes_from_all_but_one(shipped, docs):
     rows = [(i, f"{other(20)} {passage} {other(15)}") for i in range(1, 30)]
     got = by_id(paragraph_dedup(shipped, docs(rows)), "n_removed")
     assert got[1] == [(0,)] and all(got[i][0][0] > 0.5 * len(passage) for i in range(2, 30))
+
+
+def test_hot_keys_are_sent_once(monkeypatch):
+    """However classes are dealt, those of one key end in one bucket, and a hot key does not gather its classes in one part."""
+    rng = np.random.default_rng(5)
+    ids = rng.permutation(3000).astype(np.int64)
+    keys = rng.integers(0, 2**64, (3000, 2), dtype=np.uint64) >> np.uint64(54) << np.uint64(54)  # 1,024 keys a column
+    keys[:, 0] = np.where(ids % 2 == 0, np.uint64(77), keys[:, 0])
+    monkeypatch.setattr(module, "SORTED", 500)
+    batches = [pa.record_batch([pa.array([x[i : i + 50].tobytes() for i in range(0, 3000, 50)], pa.binary()) for x in (ids, keys)], names=["ids", "k0"])]
+    dealt = [r for b in module._deal((batches[0].slice(i, 5) for i in range(0, 60, 5)), 7) for r in b.to_pylist()]
+    parts = [[r for r in dealt if r["part"] == p] for p in range(7)]
+    sent = np.concatenate([np.frombuffer(r["keys"], dtype=np.uint64) for r in dealt if r["keys"]])
+    assert (sent == 77).sum() == 6 and set(range(7)) >= {r["part"] for r in dealt}
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    schema = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("keys", "ids", "members"))])
+    members = set()
+    for p in parts:
+        for b in module._meet(iter([pa.RecordBatch.from_pylist(p, schema=schema)])):
+            for key, i, first in zip(*(c.to_pylist() for c in b.columns)):
+                members |= {(key, i), (key, first)}
+                root[find((key, i))] = find((key, first))
+    want = {}
+    for i, both in zip(ids.tolist(), keys.view(np.int64).tolist()):
+        for key in set(both):
+            want.setdefault(key, set()).add(i)
+    want = {k: v for k, v in want.items() if len(v) > 1}
+    assert members == {(k, i) for k, v in want.items() for i in v}
+    assert all(len({find((k, i)) for i in v}) == 1 for k, v in want.items())
+
+
+def test_small_blocks_are_compared_together(monkeypatch):
+    """The links of many blocks are those of all pairs of a query and a target of one block, whatever the batches."""
+    rng = np.random.default_rng(6)
+    rows, sets = [], []
+    for n in range(400):
+        base = rng.integers(0, 2**63, 24, dtype=np.uint64)
+        for j in range(3):
+            own = np.unique(np.append(base[: 24 - 2 * j], rng.integers(0, 2**63, j, dtype=np.uint64)))
+            keys = band_keys(own, np.zeros(1, dtype=np.int64), 12)
+            sets.append(own)
+            rows += [(n // 2, 0, n % 2, 3 * n + j, 3 * n + j, q, keys.tobytes(), own.tobytes()) for q in ([False, True] if j else [False])]
+    rows.sort(key=lambda r: r[:3])
+    table = pa.table(dict(zip(("main", "cut", "part", "id", "component", "query", "registers", "elements"), map(list, zip(*rows)))))
+    calls = []
+    compared = module._compared
+    monkeypatch.setattr(module, "_compared", lambda *a: calls.append(1) or compared(*a))
+    monkeypatch.setattr(module, "COMPARED", 600)
+    found = {(a, b) for x in module._links_in_blocks(iter(table.to_batches(max_chunksize=77)), 75) for a, b in zip(*(c.to_pylist() for c in x.columns))}
+    assert 1 < len(calls) <= 4
+    alike = lambda a, b: 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))
+    assert found and all(alike(a, b) for a, b in found)
+    for n in range(0, 1200, 3):  # links enough to join what belongs together
+        joined = sum(a // 3 == n // 3 for a, b in found)
+        assert joined == 2 or joined == sum(alike(n + j, n + k) for j in range(3) for k in range(j)) < 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 400), min_size=1, max_size=60, unique=True), st.lists(st.integers(0, 400), min_size=1, max_size=60, unique=True))
+def test_outlines_exclude_no_link(x, y):
+    sets = [np.sort(mix(np.array(v, dtype=np.uint64))) for v in (x, y)]
+    outline = outlines(np.concatenate(sets), np.array([0, len(x)]))
+    may = possible(np.array([len(x), len(y)]), outline, np.array([0]), np.array([1]), 75)[0]
+    assert may or not linked(*sets, 75)
