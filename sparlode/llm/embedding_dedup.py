@@ -3,7 +3,7 @@
 Equal vectors are one class first. Classes are dealt to shards by a hash; each shard's task
 builds a graph of its vectors, settles the beam and finds the links among them. Then blocks of
 queries of every shard go to every other shard, where a graph is read once and many blocks pass
-by it. Two audits against brute force over the shard settle how wide a beam is: probes, made
+by it; both travel in rows of bounded size, few to a batch. Two audits against brute force over the shard settle how wide a beam is: probes, made
 from the shard's own vectors at exactly the threshold, so that there are always links to be
 found; and a sample of the queries of each block. The beam is doubled until the recall is
 reached, up to half the shard, beyond which the whole shard is looked at. A query whose whole
@@ -23,16 +23,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, wide
 from .components import connected_components
 from .hnsw import Graph
 
 #: Beam to start with, queries per block, probes of a graph and audited queries per block, recall that audits must reach.
 BEAM, BLOCK, PROBES, AUDITED, RECALL = 32, 1024, 256, 32, 0.995
-#: Fewest shards, most vectors in a shard (but for chance), and blocks that share one copy of a graph.
-FEWEST_SHARDS, SHARD_SIZE, TOGETHER = 6, 50_000, 16
-#: Queries that are searched at once.
-STEP = 256
+#: Fewest shards, most vectors and bytes of vectors in a shard (but for chance), and blocks that share one copy of a graph, at least and where there are tasks enough.
+FEWEST_SHARDS, SHARD_SIZE, SHARD_BYTES, TOGETHER, MANY_TOGETHER = 6, 50_000, 1 << 25, 16, 128
+#: Bytes of a graph in a row, most bytes of a block of queries, and rows in a batch of either.
+PIECE, BLOCK_BYTES, PASSING_ROWS = 1 << 18, 1 << 20, 16
+#: Queries that are searched at once, places in their beams together, and cosines in a table of them.
+STEP, PLACES, CELLS = 256, 1 << 19, 1 << 22
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +68,9 @@ def settle(graph: Graph, units: np.ndarray, queries: np.ndarray, cosine: float,
     beam of the shard's size stands for looking at the whole shard.
     """
     n = len(units)
-    truth = (queries @ units.T) >= cosine
+    truth = np.empty((len(queries), n), dtype=bool)
+    for i in range(0, len(queries), rows := max(1, CELLS // n)):
+        truth[i : i + rows] = (queries[i : i + rows] @ units.T) >= cosine
     if own is not None:
         truth[np.arange(len(queries)), own] = False
     true = int(truth.sum())
@@ -93,8 +97,9 @@ def probes(units: np.ndarray, cosine: float) -> np.ndarray:
 def links(graph: Graph, units: np.ndarray, queries: np.ndarray, cosine: float, beam: int) -> Iterator[tuple[int, np.ndarray, bool]]:
     """(query, positions of the shard's vectors at or above the cosine in double precision, whether the whole shard was looked at)."""
     margin = cosine - 1e-4  # the search works in single precision
-    for first in range(0, len(queries), STEP):
-        part = queries[first : first + STEP]
+    step = max(1, min(STEP, CELLS // len(units) if 2 * beam >= len(units) else PLACES // beam))
+    for first in range(0, len(queries), step):
+        part = queries[first : first + step]
         if 2 * beam >= len(units):
             for k, row in enumerate((part @ units.T) >= cosine):
                 yield first + k, np.flatnonzero(row), True
@@ -110,12 +115,13 @@ def links(graph: Graph, units: np.ndarray, queries: np.ndarray, cosine: float, b
 
 
 def _build(table: pa.Table, cosine: float) -> pa.Table:
-    """A shard's graph, the links within the shard and what its audits found."""
+    """A row with the links within a shard and what its audits found, and rows with the pieces of its vectors and graph."""
     table = table.sort_by("id")
     dim, shard = table["dim"][0].as_py(), table["shard"][0].as_py()
     units = np.frombuffer(b"".join(table["unit"].to_pylist()), dtype=np.float64).reshape(-1, dim)
     graph = Graph.build(units.astype(np.float32))
     many, ids = (np.ascontiguousarray(table[c].to_numpy()) for c in ("copies", "id"))
+    del table
     beam, found, true = settle(graph, units, probes(units, cosine), cosine, min(BEAM, len(units)))
     sample = np.linspace(0, len(units) - 1, min(4 * AUDITED, len(units))).astype(int)
     beam, more, truth = settle(graph, units, units[sample], cosine, beam, sample)
@@ -137,15 +143,18 @@ def _build(table: pa.Table, cosine: float) -> pa.Table:
             parent[top] = top[0]
             parent[both] = top[0]
     labels = ids[roots(np.arange(len(ids)))]  # in order of ids, so the smallest position has the smallest id
-    rows = {"dim": dim, "shard": shard, "graph": graph.to_bytes(), "units": units.tobytes(), "ids": ids.tobytes(), "copies": many.tobytes(), "labels": labels.tobytes(), "linked": linked.tobytes()}
-    rows |= {"beam": beam, "true": true + truth, "found": found + more, "asked": len(ids), "whole": whole}
-    return pa.table({k: [v] for k, v in rows.items()}, schema=_GRAPHS)
+    data = units.tobytes() + graph.to_bytes()
+    pieces = [data[i : i + PIECE] for i in range(0, len(data), PIECE)]
+    head = {"pieces": len(pieces), "cut": units.nbytes, "ids": ids.tobytes(), "copies": many.tobytes(), "labels": labels.tobytes(), "linked": linked.tobytes()}
+    head |= {"beam": beam, "true": true + truth, "found": found + more, "asked": len(ids), "whole": whole}
+    rows = [head, *({"data": x} for x in pieces)]
+    return pa.Table.from_pylist([{"dim": dim, "shard": shard, "piece": k} | x for k, x in enumerate(rows)], schema=_GRAPHS)
 
 
-_BYTES = ("graph", "units", "ids", "copies", "labels", "linked")
-_COUNTS = ("beam", "true", "found", "asked", "whole")
-_GRAPHS = pa.schema([("dim", pa.int32()), ("shard", pa.int32()), *[(c, pa.binary()) for c in _BYTES], *[(c, pa.int64()) for c in _COUNTS]])
-GRAPHS = "dim int, shard int, " + ", ".join(f"{c} binary" for c in _BYTES) + ", " + ", ".join(f"{c} long" for c in _COUNTS)
+_BYTES = ("data", "ids", "copies", "labels", "linked")
+_COUNTS = ("cut", "beam", "true", "found", "asked", "whole")
+_GRAPHS = pa.schema([*((c, pa.int32()) for c in ("dim", "shard", "piece", "pieces")), *((c, pa.binary()) for c in _BYTES), *((c, pa.int64()) for c in _COUNTS)])
+GRAPHS = "dim int, shard int, piece int, pieces int, " + ", ".join(f"{c} binary" for c in _BYTES) + ", " + ", ".join(f"{c} long" for c in _COUNTS)
 
 
 def _block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +173,7 @@ def _block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, units = waiting.setdefault((dim, shard), ([], []))
             ids.append(i)
             units.append(unit)
-            if len(ids) >= BLOCK:
+            if len(ids) >= BLOCK or (len(ids) + 1) * len(unit) > BLOCK_BYTES:
                 yield pack((dim, shard))
     for key in sorted(waiting):
         yield pack(key)
@@ -180,19 +189,27 @@ def _met(**columns: list) -> pa.RecordBatch:
 
 
 def _meet(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.RecordBatch]:
-    """Rows come by shard, the graph before its blocks.
+    """Rows come by shard, the graph in pieces before its blocks.
 
     (a, b, n): query a has n links in the shard and one of them is in the component of b; a
     further component is a row with 0. A row without a has the audit of a block.
     """
     loaded: tuple | None = None
+    head: dict = {}
+    pieces: list[bytes] = []
     for batch in batches:
         for row in range(batch.num_rows):
             got = {k: batch.column(k)[row] for k in batch.schema.names}
             place = (got["dim"].as_py(), got["shard"].as_py())
-            if got["graph"].is_valid:
-                units = _flat(got["units"], np.float64).reshape(-1, place[0])
-                loaded = (place, Graph.from_bytes(got["graph"].as_py(), units.astype(np.float32)), units, _flat(got["copies"], np.int64), _flat(got["labels"], np.int64), got["beam"].as_py())
+            if got["piece"].is_valid:
+                if not got["piece"].as_py():
+                    loaded, head, pieces = None, got, []  # one graph at a time
+                    continue
+                pieces.append(got["data"].as_py())
+                if len(pieces) == head["pieces"].as_py():
+                    data, pieces, cut = b"".join(pieces), [], head["cut"].as_py()
+                    units = np.frombuffer(data, dtype=np.float64, count=cut // 8).reshape(-1, place[0])
+                    loaded = (place, Graph.from_bytes(data[cut:], units.astype(np.float32)), units, _flat(head["copies"], np.int64), _flat(head["labels"], np.int64), head["beam"].as_py())
                 continue
             if loaded is None or loaded[0] != place:
                 continue  # a shard without vectors
@@ -244,7 +261,7 @@ def embedding_dedup(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     classes = scratch.put(grouped.select("dim", "hi", "lo", "copies", "r.id", "r.unit"), "classes")
     sizes = {r["dim"]: r["n"] for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     most = max(sizes.values(), default=0)
-    shards = max(FEWEST_SHARDS, math.ceil(most / SHARD_SIZE))
+    shards = max(FEWEST_SHARDS, math.ceil(most / SHARD_SIZE), *(math.ceil(8 * d * n / SHARD_BYTES) for d, n in sizes.items()))
     dealt = classes.withColumn("shard", F.pmod(F.xxhash64("hi", "lo"), F.lit(shards)).cast("int"))
     dealt = scratch.put(dealt.select("dim", "shard", "id", "unit", "copies"), "dealt")
     homes = len(sizes) * shards
@@ -254,12 +271,17 @@ def embedding_dedup(spark: SparkSession, vectors: DataFrame, id_col: str = "vec_
     total = sum(sizes.values())
     each = max(1, math.ceil(total / (BLOCK * max(1, homes))))
     blocks = dealt.repartition(max(1, homes * each), "dim", "shard", F.pmod(F.xxhash64("id"), F.lit(each))).select("id", "dim", "shard", "unit").mapInArrow(_block, "dim int, home int, block long, query_ids binary, queries binary")
-    salts = max(1, math.ceil(total / (BLOCK * TOGETHER)))
+    # Copies of a graph, so that there are tasks enough; beyond that as few as keep tasks short.
+    salts = max(1, math.ceil(total / (BLOCK * MANY_TOGETHER)), min(math.ceil(total / (BLOCK * TOGETHER)), math.ceil(wide(spark) / max(1, homes))))
+    blocks = scratch.put(blocks, "blocks")
     asked = blocks.withColumn("shard", F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda x: x != F.col("home")))).withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)))
-    shown = graphs.select("dim", "shard", "graph", "units", "copies", "labels", "beam").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    shown = graphs.select("dim", "shard", "piece", "pieces", "data", "copies", "labels", "cut", "beam").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     passing = shown.unionByName(asked.select("dim", "shard", "salt", "query_ids", "queries"), allowMissingColumns=True)
-    passing = passing.repartition(max(1, 3 * homes * salts), "dim", "shard", "salt").sortWithinPartitions("dim", "shard", "salt", F.col("graph").isNull())
-    met = scratch.put(passing.mapInArrow(lambda it: _meet(it, cosine), MET).unionByName(graphs.select("ids", "labels", "linked", "true", "found", "asked", "whole").mapInArrow(_within, MET)), "met")
+    passing = passing.repartition(max(1, 3 * homes * salts), "dim", "shard", "salt").sortWithinPartitions("dim", "shard", "salt", F.col("piece").isNull(), "piece")
+    within = graphs.where("piece = 0").select("ids", "labels", "linked", "true", "found", "asked", "whole")
+    met = scratch.put(passing.mapInArrow(lambda it: _meet(it, cosine), MET).unionByName(within.mapInArrow(_within, MET)), "met", PASSING_ROWS)
+    for name in ("dealt", "graphs", "blocks"):
+        scratch.drop(name)
     if report is not None:
         report.update(met.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("true", "found", "asked", "whole")]).first().asDict())
     found = connected_components(met.where("a != b").select("a", "b"), scratch)

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import sparlode.llm.embedding_dedup as module
@@ -106,3 +107,38 @@ def test_recall_against_brute_force(n):
     hits = sum(int(truth[i, f].sum()) for i, f in enumerate(found))
     assert hits >= 0.995 * truth.sum()
     assert sum(len(f) for f in found) == hits
+
+
+def test_graphs_and_blocks_travel_in_small_rows(shipped, monkeypatch):
+    """Neither the size of a shard nor the length of vectors makes a row large, and batches hold few rows."""
+    rng = np.random.default_rng(8)
+    units = rng.normal(size=(700, 48))
+    units[350:] = units[:350] + rng.normal(size=(350, 48)) * 0.02
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    monkeypatch.setattr(module, "PIECE", 4096)
+    monkeypatch.setattr(module, "BLOCK_BYTES", 48 * 8 * 20)
+    ids = list(range(0, 1400, 2))
+    table = pa.table({"dim": pa.array([48] * 700, pa.int32()), "shard": pa.array([1] * 700, pa.int32()), "id": ids, "unit": [u.tobytes() for u in units], "copies": [1] * 700})
+    built = module._build(table, 0.95)
+    assert built.num_rows > 60 and max(len(x or b"") for x in built["data"].to_pylist()) == 4096
+    asked = table.set_column(1, "shard", pa.array([0] * 700, pa.int32())).select(["id", "dim", "shard", "unit"])
+    blocks = [r for b in module._block(iter(asked.to_batches())) for r in b.to_pylist()]
+    assert max(len(r["queries"]) for r in blocks) == module.BLOCK_BYTES and len(blocks) == 35
+    names = ["dim", "shard", "piece", "pieces", "data", "copies", "labels", "cut", "beam"]
+    schema = pa.schema([*(module._GRAPHS.field(c) for c in names), ("query_ids", pa.binary()), ("queries", pa.binary())])
+    rows = [*built.select(names).to_pylist(), *({"dim": 48, "shard": 1} | {c: r[c] for c in ("query_ids", "queries")} for r in blocks)]
+    batches = pa.Table.from_pylist(rows, schema=schema).to_batches(max_chunksize=module.PASSING_ROWS)
+    met = [r for b in module._meet(iter(batches), 0.95) for r in b.to_pylist()]
+    got = {i: sum(r["n"] for r in met if r["a"] == i) for i in ids}
+    truth = (units @ units.T) >= 0.95
+    assert got == dict(zip(ids, truth.sum(axis=1).tolist()))
+
+
+def test_long_vectors_make_more_shards(shipped, monkeypatch):
+    monkeypatch.setattr(module, "SHARD_BYTES", 16 * 8 * 20)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in sample() if i < 200]
+    report = {}
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup(shipped, frame(shipped, rows), report=report).collect()}
+    assert got == brute(rows)
+    classes = len({tuple(v) for _, v in rows})
+    assert report["asked"] == classes * math.ceil(classes / 20)
